@@ -5,6 +5,7 @@ from farelake.functions.months import (
     month_columns,
     month_file_name,
     month_of_name,
+    month_path,
 )
 from farelake.functions.numeric import exact_avg, exact_sum
 from farelake.functions.times import iso_seconds, parse_timestamp
@@ -17,5 +18,6 @@ __all__ = [
     "month_columns",
     "month_file_name",
     "month_of_name",
+    "month_path",
     "parse_timestamp",
 ]

@@ -24,6 +24,11 @@ def month_file_name(color: str, year: int, month: int) -> str:
     return f"{dataset_name(color)}_{year}-{month:02d}.parquet"
 
 
+def month_path(raw_base: str, color: str, year: int, month: int) -> str:
+    """Where that raw file lies below ``raw_base``, on any file system Spark reads."""
+    return f"{raw_base.rstrip('/')}/{month_file_name(color, year, month)}"
+
+
 def month_of_name(path: str) -> tuple[int | None, int | None]:
     """Year and month of one path, from the first match in its last segment."""
     found = re.search(MONTH_PATTERN, path.rstrip("/").rsplit("/", 1)[-1])

@@ -63,9 +63,9 @@ def ingest_bronze_months(
         other = named.setdefault(month_of_name(path), path)
         if other != path:
             raise ValueError(f"{other} and {path} are the same month; Bronze keeps one input each")
-    for _, paths in schema_groups(spark, inputs) if inputs else []:
-        months = month_columns(F.col("_metadata.file_path"), f"{dataset}[^/]*?")
-        rows = read_raw(spark, *paths).withColumns(months)
+    months = month_columns(F.col("_metadata.file_path"), f"{dataset}[^/]*?")
+    for schema, paths in schema_groups(spark, inputs):
+        rows = read_raw(spark, *paths, schema=schema).withColumns(months)
         write_months(rows, f"{bronze_base}/{dataset}", replace="present")
     return inputs
 

@@ -30,9 +30,16 @@ def _reader(
     return reader.option("basePath", base_path) if base_path else reader
 
 
-def read_raw(spark: SparkSession, *paths: str, skip_corrupt: bool = False) -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    *paths: str,
+    schema: T.StructType | None = None,
+    skip_corrupt: bool = False,
+) -> DataFrame:
     """Raw monthly files as they are; columns missing from some files read as null."""
-    return _reader(spark, skip_corrupt=skip_corrupt).option("mergeSchema", True).parquet(*paths)
+    reader = _reader(spark, skip_corrupt=skip_corrupt)
+    reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
+    return reader.parquet(*paths)
 
 
 def _file_list(spark: SparkSession, path: str) -> DataFrame:
@@ -101,6 +108,17 @@ def schema_groups(
     return list(groups.values())
 
 
+def _native_scans(spark: SparkSession, root: str, skip_corrupt: bool) -> list[DataFrame]:
+    """One scan per schema below ``root``, with ``year`` and ``month`` from the path."""
+    scans = []
+    groups = schema_groups(spark, _month_directories(spark, root), root, skip_corrupt)
+    for schema, paths in groups:
+        data = [field for field in schema if field.name not in PARTITION.names]
+        reader = _reader(spark, root, skip_corrupt).schema(T.StructType(data + PARTITION.fields))
+        scans.append(reader.parquet(*paths))
+    return scans
+
+
 def read_bronze(
     spark: SparkSession,
     bronze_base: str,
@@ -114,17 +132,25 @@ def read_bronze(
     afterwards. Reading an INT64 file directly as double would fail, and with
     corrupt files skipped its rows would be missing without a word.
     """
-    root = f"{bronze_base}/{dataset}"
-    months = _month_directories(spark, root)
-    if not months:
+    scans = _native_scans(spark, f"{bronze_base}/{dataset}", skip_corrupt)
+    if not scans:
         return spark.createDataFrame([], T.StructType(contract.fields + PARTITION.fields))
-    partition_names = set(PARTITION.names)
-    branches = []
-    for schema, paths in schema_groups(spark, months, root, skip_corrupt):
-        data = [f for f in schema if f.name not in partition_names]
-        native = _reader(spark, root, skip_corrupt).schema(T.StructType(data + PARTITION.fields))
-        branches.append(conform(native.parquet(*paths), contract, keep=PARTITION.names))
-    return reduce(DataFrame.unionByName, branches)
+    conformed = [conform(scan, contract, keep=PARTITION.names) for scan in scans]
+    return reduce(DataFrame.unionByName, conformed)
+
+
+def skipped_files(
+    spark: SparkSession, bronze_base: str, dataset: str = DEFAULT_DATASET
+) -> DataFrame:
+    """Bronze files that give no rows when corrupt ones are skipped: broken or empty."""
+    root = f"{bronze_base}/{dataset}"
+    path = F.col("_metadata.file_path").alias("path")
+    files = _file_list(spark, root).select(path)
+    for scan in _native_scans(spark, root, skip_corrupt=True):
+        some_value = F.coalesce(*[F.col(name).cast("string") for name in scan.columns])
+        readable = scan.groupBy(path).agg(F.count(some_value).alias("n")).where("n >= 0")
+        files = files.join(readable, "path", "left_anti")
+    return files
 
 
 def read_silver(
@@ -150,9 +176,10 @@ def first_rows(df: DataFrame, limit: int | None) -> DataFrame:
     """The first ``limit`` rows of a Parquet scan, in the order of its files; all without one.
 
     A plain ``limit`` sends up to ``limit`` rows of every task to one task. Here
-    the cut is found from row counts alone: every file holds at least one row,
-    so no more than ``limit`` counts are ever ordered. Rows are then kept by
-    their position in their own file, where they are.
+    the cut is found from row counts, which the footers hold: every file has at
+    least one row, so no more than ``limit`` counts are ever put in order. Rows
+    are then kept by their position in their own file, and files behind the cut
+    are not opened.
     """
     if not limit:
         return df
@@ -161,27 +188,12 @@ def first_rows(df: DataFrame, limit: int | None) -> DataFrame:
         df.groupBy(path.alias("path")).agg(F.count("*").alias("n")).orderBy("path").limit(limit)
     )
     before = F.sum("n").over(Window.orderBy("path")) - F.col("n")
-    last = (
-        counts.select("path", before.alias("before"))
-        .where(F.col("before") < limit)
-        .agg(F.max(F.struct("path", "before")).alias("last"))
-    )
-    last_path = last.select("last.path").scalar()
-    room = last.select(F.lit(limit) - F.col("last.before")).scalar()
-    return df.where((path < last_path) | ((path == last_path) & (position < room)))
-
-
-def skipped_files(spark: SparkSession, path: str, contract: T.StructType = BRONZE) -> DataFrame:
-    """Files that give no rows when corrupt files are skipped: broken or empty ones."""
-    readable = (
-        _reader(spark, skip_corrupt=True)
-        .schema(contract)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(path)
-        .groupBy(F.col("_metadata.file_path").alias("uri"))
-        .agg(*[F.count(name).alias(name) for name in contract.names])
-        .select(F.regexp_replace("uri", "^file:/+", "/").alias("path"))
+    cut = (
+        counts.select("path", (F.lit(limit) - before).alias("room"))
+        .where("room > 0")
+        .orderBy(F.desc("path"))
+        .first()
     )
-    files = _file_list(spark, path).select(F.regexp_replace("path", "^file:/+", "/").alias("path"))
-    return files.join(readable, "path", "left_anti")
+    if cut is None:
+        return df
+    return df.where((path <= cut.path) & ((path < cut.path) | (position < cut.room)))
