@@ -144,8 +144,9 @@ def skipped_files(
 ) -> DataFrame:
     """Bronze files that give no rows when corrupt ones are skipped: broken or empty."""
     root = f"{bronze_base}/{dataset}"
-    path = F.col("_metadata.file_path").alias("path")
-    files = _file_list(spark, root).select(path)
+    encoded = F.regexp_replace("_metadata.file_path", r"\+", "%2B")
+    path = F.url_decode(encoded).alias("path")
+    files = _file_list(spark, root)
     for scan in _native_scans(spark, root, skip_corrupt=True):
         some_value = F.coalesce(*[F.col(name).cast("string") for name in scan.columns])
         readable = scan.groupBy(path).agg(F.count(some_value).alias("n")).where("n >= 0")
