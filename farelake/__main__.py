@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from farelake import plans
 from farelake.functions import dataset_name, month_path
 from farelake.functions.months import COLORS
+from farelake.operators.clean import PICKUP
 from farelake.session import get_session
 from farelake.sinks import FileWarehouse, JdbcWarehouse, Warehouse
 from farelake.streaming import KafkaTopic
@@ -42,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--startingOffsets", default="earliest")
         sub.add_argument("--endingOffsets", default="latest")
         sub.add_argument("--num_partitions", type=int, default=1)
+        sub.add_argument("--min_tasks", type=int, help="split partitions into so many reads")
         sub.add_argument("--failOnDataLoss", action="store_true")
         return sub
 
@@ -54,7 +56,8 @@ def _parser() -> argparse.ArgumentParser:
 
     with_input(job("bronze", "one raw month to Bronze", "bronze_base"))
     job("bronze-all", "all raw months to Bronze", "raw_base", "bronze_base")
-    job("silver", "Bronze to Silver", "bronze_base", "silver_base")
+    silver = job("silver", "Bronze to Silver", "bronze_base", "silver_base")
+    silver.add_argument("--pickup", default=PICKUP, help="column that dates a trip")
     job("gold", "Silver to Gold and the warehouse", "silver_base", "gold_base", publishes=True)
     with_topic(job("topic-to-bronze", "all messages of a topic to Bronze", "bronze_base"))
     publish = with_topic(with_input(job("publish", "a raw month onto a topic")))
@@ -63,7 +66,8 @@ def _parser() -> argparse.ArgumentParser:
     job("evaluate", "totals over Gold", "gold_base", publishes=True)
     job("zones", "zone CSV into the warehouse", "input", publishes=True)
     layers = ("bronze_base", "silver_base", "gold_base")
-    with_input(job("batch", "raw month to Gold", *layers, publishes=True))
+    batch = with_input(job("batch", "raw month to Gold", *layers, publishes=True))
+    batch.add_argument("--pickup", default=PICKUP, help="column that dates a trip")
     chain = with_topic(
         with_input(job("topic-batch", "raw month over a topic to Gold", *layers, publishes=True))
     )
@@ -88,6 +92,7 @@ def _topic(args: argparse.Namespace) -> KafkaTopic:
         args.startingOffsets,
         args.endingOffsets,
         args.failOnDataLoss,
+        args.min_tasks,
     )
 
 
@@ -108,7 +113,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
         case "bronze-all":
             return plans.ingest_bronze_months(spark, args.raw_base, args.bronze_base, dataset)
         case "silver":
-            return plans.build_silver(spark, args.bronze_base, args.silver_base, dataset)
+            return plans.build_silver(
+                spark, args.bronze_base, args.silver_base, dataset, args.pickup
+            )
         case "gold":
             return plans.build_gold(
                 spark, args.silver_base, args.gold_base, _warehouse(args), dataset
@@ -132,6 +139,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
                 args.gold_base,
                 _warehouse(args),
                 dataset,
+                args.pickup,
             )
         case "topic-batch":
             return plans.run_topic_batch(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from farelake.operators.clean import PICKUP
 from farelake.plans.jobs import (
     GoldStatus,
     build_gold,
@@ -27,10 +28,11 @@ def run_batch(
     gold_base: str,
     warehouse: Warehouse,
     dataset: str = DEFAULT_DATASET,
+    pickup: str = PICKUP,
 ) -> GoldStatus:
     """One raw month through Bronze, Silver and Gold."""
     ingest_bronze(spark, input_path, bronze_base, dataset)
-    build_silver(spark, bronze_base, silver_base, dataset)
+    build_silver(spark, bronze_base, silver_base, dataset, pickup)
     return build_gold(spark, silver_base, gold_base, warehouse, dataset)
 
 

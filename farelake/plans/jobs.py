@@ -79,14 +79,17 @@ def build_silver(
 ) -> str:
     """All of Silver from all of Bronze. Returns the path written.
 
+    ``pickup`` names the column of the raw files that dates a trip; Silver keeps
+    it under the name of its contract.
+
     Silver is laid out by pickup month and Bronze by file month, which agree for
     nearly all rows: those are written by the task that read them. Only rows
     that move to another month, or to none, are shuffled.
     """
     path = f"{silver_base}/{dataset}"
-    bronze = read_bronze(spark, bronze_base, dataset)
+    bronze = read_bronze(spark, bronze_base, dataset, rename={pickup: PICKUP})
     cleaned = clean_trips(
-        bronze.withColumnsRenamed({"year": "file_year", "month": "file_month"}), pickup
+        bronze.withColumnsRenamed({"year": "file_year", "month": "file_month"})
     )
     at_home = F.col("year").eqNullSafe(F.col("file_year")) & F.col("month").eqNullSafe(
         F.col("file_month")

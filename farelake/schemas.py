@@ -142,5 +142,10 @@ PRIMARY_KEYS = {
     "taxi_zone_lookup": ["location_id"],
 }
 
+LATEST_VIEWS = {
+    "dq_results": "v_latest_dq",
+    "metrics_pipeline_runs": "v_latest_metrics",
+}
+
 DEFAULT_DATASET = "yellow_tripdata"
 GOLD_TABLE = "kpis_trips_monthly"

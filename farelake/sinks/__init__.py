@@ -1,12 +1,13 @@
 """Writers of every layer."""
 
 from farelake.sinks.parquet import spread_by_month, write_month, write_months
-from farelake.sinks.warehouse import FileWarehouse, JdbcWarehouse, Warehouse
+from farelake.sinks.warehouse import FileWarehouse, JdbcWarehouse, Warehouse, register_views
 
 __all__ = [
     "FileWarehouse",
     "JdbcWarehouse",
     "Warehouse",
+    "register_views",
     "spread_by_month",
     "write_month",
     "write_months",

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
 from farelake.operators.conform import to_table
-from farelake.schemas import SERVING_TABLES
+from farelake.operators.serving import latest_run
+from farelake.schemas import LATEST_VIEWS, SERVING_TABLES
 
 
 class Warehouse(Protocol):
@@ -77,3 +79,14 @@ class FileWarehouse:
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.schema(SERVING_TABLES[table]).parquet(f"{self.base}/{table}")
+
+
+def register_views(
+    spark: SparkSession, warehouse: Warehouse, tables: Sequence[str] = tuple(SERVING_TABLES)
+) -> None:
+    """Serving tables as temporary views for SQL, with a view of the latest run of each kind."""
+    for table in tables:
+        stored = warehouse.read(spark, table)
+        stored.createOrReplaceTempView(table)
+        if table in LATEST_VIEWS:
+            latest_run(stored).createOrReplaceTempView(LATEST_VIEWS[table])

@@ -43,9 +43,15 @@ def read_raw(
 
 
 def _file_list(spark: SparkSession, path: str) -> DataFrame:
-    """Paths of the Parquet files below ``path``; no file is opened."""
+    """Paths of the Parquet files below ``path``; no file is opened.
+
+    Tasks are cut by file size as if files were read. A session of its own lets
+    one task list as many files as an even share, not one file each.
+    """
+    listing = spark.newSession()
+    listing.conf.set("spark.sql.files.maxPartitionBytes", "1t")
     return (
-        spark.read.format("binaryFile")
+        listing.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", True)
         .load(path)
@@ -123,19 +129,24 @@ def read_bronze(
     spark: SparkSession,
     bronze_base: str,
     dataset: str = DEFAULT_DATASET,
-    contract: T.StructType = BRONZE,
+    rename: dict[str, str] | None = None,
     skip_corrupt: bool = False,
 ) -> DataFrame:
     """All of Bronze in one contract, with ``year`` and ``month`` from the path.
 
+    ``rename`` maps names of other datasets to those of the contract.
+
     Files are read with their own types by the vectorized reader and cast
     afterwards. Reading an INT64 file directly as double would fail, and with
     corrupt files skipped its rows would be missing without a word.
     """
     scans = _native_scans(spark, f"{bronze_base}/{dataset}", skip_corrupt)
     if not scans:
-        return spark.createDataFrame([], T.StructType(contract.fields + PARTITION.fields))
-    conformed = [conform(scan, contract, keep=PARTITION.names) for scan in scans]
+        return spark.createDataFrame([], T.StructType(BRONZE.fields + PARTITION.fields))
+    conformed = [
+        conform(scan.withColumnsRenamed(rename or {}), BRONZE, keep=PARTITION.names)
+        for scan in scans
+    ]
     return reduce(DataFrame.unionByName, conformed)
 
 
@@ -146,7 +157,8 @@ def skipped_files(
     root = f"{bronze_base}/{dataset}"
     encoded = F.regexp_replace("_metadata.file_path", r"\+", "%2B")
     path = F.url_decode(encoded).alias("path")
-    files = _file_list(spark, root)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+    files = files.select("path")
     for scan in _native_scans(spark, root, skip_corrupt=True):
         some_value = F.coalesce(*[F.col(name).cast("string") for name in scan.columns])
         readable = scan.groupBy(path).agg(F.count(some_value).alias("n")).where("n >= 0")

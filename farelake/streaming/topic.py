@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelake.functions.times import iso_seconds, parse_timestamp
+from farelake.operators.clean import PICKUP
 from farelake.schemas import PAYLOAD
 
 # Client time-outs and waits in milliseconds, and the default topic.
@@ -47,7 +48,11 @@ class Topic(Protocol):
 
 @dataclass(frozen=True)
 class KafkaTopic:
-    """A Kafka topic read by explicit partition assignment, without a consumer group."""
+    """A Kafka topic read by explicit partition assignment, without a consumer group.
+
+    A partition is one task unless ``min_tasks`` asks for more; partitions are
+    then split by offsets, so one that holds most messages is not one task.
+    """
 
     bootstrap: str = DEFAULT_BOOTSTRAP
     topic: str = DEFAULT_TOPIC
@@ -55,15 +60,18 @@ class KafkaTopic:
     starting_offsets: str = "earliest"
     ending_offsets: str = "latest"
     fail_on_data_loss: bool = False
+    min_tasks: int | None = None
 
     def read_options(self) -> dict[str, str]:
         """Options of the bounded read."""
+        split = {"minPartitions": str(self.min_tasks)} if self.min_tasks else {}
         return {
             "kafka.bootstrap.servers": self.bootstrap,
             "assign": json.dumps({self.topic: list(range(self.num_partitions))}),
             "startingOffsets": self.starting_offsets,
             "endingOffsets": self.ending_offsets,
             "failOnDataLoss": str(self.fail_on_data_loss).lower(),
+            **split,
             **CLIENT_OPTIONS,
         }
 
@@ -116,12 +124,12 @@ def decode(
     return parsed.select(*keep, *fields)
 
 
-def decode_trips(envelope: DataFrame, pickup: str = "tpep_pickup_datetime") -> DataFrame:
+def decode_trips(envelope: DataFrame) -> DataFrame:
     """Trip records from messages, with the ``year`` and ``month`` of their pickup."""
     records = decode(envelope)
     times = [name for name in records.columns if "datetime" in name]
     return records.withColumns({name: parse_timestamp(F.col(name)) for name in times}).withColumns(
-        {"year": F.year(pickup), "month": F.month(pickup)}
+        {"year": F.year(PICKUP), "month": F.month(PICKUP)}
     )
 
 

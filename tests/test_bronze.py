@@ -195,3 +195,17 @@ def test_corrupt_files_stop_the_read_unless_skipped(spark, base):
         read_bronze(spark, base).count()
     assert read_bronze(spark, base, skip_corrupt=True).count() == 1
     assert [r.path for r in skipped_files(spark, base).collect()] == [f"file:{broken}"]
+
+
+def test_old_timestamp_encoding_reads_the_same(spark, base, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    leaf = tmp_path / DATASET / "year=2023" / "month=1"
+    leaf.mkdir(parents=True)
+    times = pa.array([when("1890-01-01T00:00:00"), when("2023-01-05T10:00:00")], pa.timestamp("us"))
+    table = pa.table({"tpep_pickup_datetime": times})
+    pq.write_table(table, leaf / "old.parquet", use_deprecated_int96_timestamps=True)
+    pq.write_table(table, leaf / "new.parquet")
+    found = sorted(r[0] for r in read_bronze(spark, base).select("tpep_pickup_datetime").collect())
+    assert found == [when("1890-01-01T00:00:00")] * 2 + [when("2023-01-05T10:00:00")] * 2

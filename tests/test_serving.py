@@ -24,7 +24,7 @@ from farelake.operators import (
     to_table,
 )
 from farelake.schemas import DQ_RESULTS, FACT_TRIPS_MONTHLY
-from farelake.sinks import FileWarehouse, JdbcWarehouse
+from farelake.sinks import FileWarehouse, JdbcWarehouse, register_views
 
 
 @pytest.fixture
@@ -119,6 +119,17 @@ def test_file_warehouse_replaces_and_appends(spark, base, gold):
     assert warehouse.read(spark, "dq_results").count() == 2
 
 
+def test_views_answer_sql(spark, base, gold):
+    warehouse = FileWarehouse(base)
+    warehouse.replace(gold, "fact_trips_monthly")
+    scores = [(name, epoch, 1, 0, 0, 0, 0, 0.0, 0.0, 0.0, 0.0, 1) for name, epoch in (("a", 1), ("b", 2))]
+    warehouse.append(spark.createDataFrame(scores, DQ_RESULTS), "dq_results")
+    register_views(spark, warehouse, ["fact_trips_monthly", "dq_results"])
+    assert spark.sql("SELECT run_id FROM v_latest_dq").first()[0] == "b"
+    top = spark.sql("SELECT year, month FROM fact_trips_monthly ORDER BY year DESC, month DESC LIMIT 1")
+    assert tuple(top.first()) == (2023, 12)
+
+
 def test_jdbc_options_and_password():
     warehouse = JdbcWarehouse("jdbc:postgresql://host:5432/db", "user", "secret")
     options = warehouse.options("dq_results")

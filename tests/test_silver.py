@@ -92,3 +92,20 @@ def test_hot_month_is_split_over_tasks(spark, base):
     assert len(parquet_files(f"{base}/year=2023/month=1")) > 4
     assert len(parquet_files(f"{base}/year=2023/month=2")) <= 2
     assert spark.read.parquet(base).count() == 200_000
+
+
+def test_pickup_column_of_another_dataset(spark, base):
+    from helpers import when
+
+    from farelake.sinks import write_month
+
+    raw = spark.createDataFrame(
+        [(when("2023-04-02T00:00:00"), 1.0, 1.0)],
+        "lpep_pickup_datetime timestamp_ntz, trip_distance double, fare_amount double",
+    )
+    write_month(raw, f"{base}/bronze/green_tripdata", 2023, 4)
+    build_silver(spark, f"{base}/bronze", f"{base}/silver", "green_tripdata", "lpep_pickup_datetime")
+    silver = read_silver(spark, f"{base}/silver", "green_tripdata")
+    assert rows(silver.select("tpep_pickup_datetime", "year", "month")) == [
+        (when("2023-04-02T00:00:00"), 2023, 4)
+    ]

@@ -27,6 +27,8 @@ def test_read_options_assign_partitions():
     assert options["startingOffsets"] == "earliest" and options["endingOffsets"] == "latest"
     assert options["failOnDataLoss"] == "false" and "subscribe" not in options
     assert len([name for name in options if name.endswith(".ms")]) == 7
+    assert "minPartitions" not in options
+    assert KafkaTopic(min_tasks=64).read_options()["minPartitions"] == "64"
     assert KafkaTopic(fail_on_data_loss=True).read_options()["failOnDataLoss"] == "true"
 
 

@@ -228,6 +228,11 @@ ORDER BY run_epoch DESC, run_id DESC LIMIT 1
 SELECT 'bronze' AS layer, count(*) AS row_count FROM trips
 UNION ALL SELECT 'silver', count(*) FROM silver
 UNION ALL SELECT 'gold', count(*) FROM gold
+""",
+    "serve_sql_views": f"""
+{_LAYERS}
+SELECT {_RUN}, count(*) AS row_count FROM trips
+UNION ALL SELECT {_RUN}, count(*) FROM gold
 """,
     "validate_null_kpis": f"""
 {_LAYERS}

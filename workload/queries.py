@@ -39,7 +39,7 @@ from farelake.plans import (
 )
 from farelake.schemas import BRONZE, PAYLOAD, contract
 from farelake.session import scratch_path
-from farelake.sinks import FileWarehouse, write_months
+from farelake.sinks import FileWarehouse, register_views, write_months
 from farelake.sources import first_rows, read_bronze, read_gold_or_empty, read_silver
 from farelake.streaming import decode, decode_trips, encode, peek
 from workload.tables import (
@@ -281,6 +281,19 @@ def serve_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def serve_sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "serve-views")
+    warehouse = FileWarehouse(f"{base}/warehouse")
+    scored = profile(trips(spark, sf_dir), RUN_ID, RUN_EPOCH)
+    warehouse.append(scored, "dq_results")
+    warehouse.append(summarise_gold(gold(spark, sf_dir), RUN_ID, RUN_EPOCH), "metrics_pipeline_runs")
+    register_views(spark, warehouse, ["dq_results", "metrics_pipeline_runs"])
+    return spark.sql(
+        "SELECT run_id, run_epoch, rows_total AS row_count FROM v_latest_dq "
+        "UNION ALL SELECT run_id, run_epoch, rows_gold FROM v_latest_metrics"
+    )
+
+
 def validate_null_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_kpis(gold(spark, sf_dir))
 
@@ -329,6 +342,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "serve_recent_months": serve_recent_months,
     "serve_year": serve_year,
     "serve_counts": serve_counts,
+    "serve_sql_views": serve_sql_views,
     "validate_null_kpis": validate_null_kpis,
     "validate_negative_kpis": validate_negative_kpis,
     "validate_outlier_months": validate_outlier_months,
