@@ -15,6 +15,7 @@ from farelake.operators.clean import PICKUP
 from farelake.schemas import DEFAULT_DATASET, FACT_TRIPS_MONTHLY, GOLD_TABLE
 from farelake.sinks import Warehouse, spread_by_month, write_month, write_months
 from farelake.sources import (
+    below,
     first_rows,
     raw_inputs,
     read_bronze,
@@ -22,6 +23,7 @@ from farelake.sources import (
     read_raw,
     read_silver,
     read_zone_csv,
+    scanned_path,
     schema_groups,
 )
 from farelake.streaming import Topic, decode_trips, encode
@@ -63,7 +65,7 @@ def ingest_bronze_months(
         other = named.setdefault(month_of_name(path), path)
         if other != path:
             raise ValueError(f"{other} and {path} are the same month; Bronze keeps one input each")
-    months = month_columns(F.col("_metadata.file_path"), f"{dataset}[^/]*?")
+    months = month_columns(below(raw_base, scanned_path()), f"^[^/]*{dataset}[^/]*?")
     for schema, paths in schema_groups(spark, inputs):
         rows = read_raw(spark, *paths, schema=schema).withColumns(months)
         write_months(rows, f"{bronze_base}/{dataset}", replace="present")

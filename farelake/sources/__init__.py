@@ -2,17 +2,20 @@
 
 from farelake.sources.csv import read_zone_csv
 from farelake.sources.parquet import (
+    below,
     first_rows,
     raw_inputs,
     read_bronze,
     read_gold_or_empty,
     read_raw,
     read_silver,
+    scanned_path,
     schema_groups,
     skipped_files,
 )
 
 __all__ = [
+    "below",
     "first_rows",
     "raw_inputs",
     "read_bronze",
@@ -20,6 +23,7 @@ __all__ = [
     "read_raw",
     "read_silver",
     "read_zone_csv",
+    "scanned_path",
     "schema_groups",
     "skipped_files",
 ]

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -59,16 +60,27 @@ def _file_list(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def below(base: str, path: Column) -> Column:
+    """The part of a file path under ``base``, with or without a scheme on either."""
+    root = urlsplit(base).path.rstrip("/")
+    return F.regexp_replace(path, rf"^.*?\Q{root}\E/", "")
+
+
+def scanned_path() -> Column:
+    """Path of the file a row was read from, without the escapes of a URI."""
+    return F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+
+
 def raw_inputs(
     spark: SparkSession, raw_base: str, dataset: str = DEFAULT_DATASET
 ) -> list[str]:
-    """The monthly inputs of one dataset below ``raw_base``, files or directories.
+    """The monthly inputs of one dataset in ``raw_base``, files or directories.
 
     Only their names reach the driver: one per month, however many files or rows.
     """
-    name = F.regexp_extract("path", rf"^(.*?/[^/]*{dataset}[^/]*)(/|$)", 1)
-    found = _file_list(spark, raw_base).select(name.alias("input")).where("input != ''").distinct()
-    return sorted(row.input for row in found.collect())
+    name = F.regexp_extract(below(raw_base, F.col("path")), rf"^([^/]*{dataset}[^/]*)", 1)
+    found = _file_list(spark, raw_base).select(name.alias("name")).where("name != ''").distinct()
+    return sorted(f"{raw_base.rstrip('/')}/{row.name}" for row in found.collect())
 
 
 def _month_directories(spark: SparkSession, root: str) -> list[str]:
@@ -155,8 +167,7 @@ def skipped_files(
 ) -> DataFrame:
     """Bronze files that give no rows when corrupt ones are skipped: broken or empty."""
     root = f"{bronze_base}/{dataset}"
-    encoded = F.regexp_replace("_metadata.file_path", r"\+", "%2B")
-    path = F.url_decode(encoded).alias("path")
+    path = scanned_path().alias("path")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
     files = files.select("path")
     for scan in _native_scans(spark, root, skip_corrupt=True):

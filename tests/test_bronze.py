@@ -143,6 +143,20 @@ def test_ingest_all_months_over_two_schemas(spark, base):
     ]
 
 
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_names_above_the_inputs_do_not_count(spark, base, scheme):
+    raw = f"{base}/yellow_tripdata_2019-09 old+/raw"
+    for month, kind in ((1, "bigint"), (2, "double")):
+        name = f"yellow_tripdata_2023-{month:02d}.parquet"
+        vendor(spark, kind, month if kind == "bigint" else 2.0).write.parquet(f"{raw}/{name}")
+    inputs = ingest_bronze_months(spark, scheme + raw, f"{base}/bronze")
+    assert inputs == [f"{scheme}{raw}/yellow_tripdata_2023-{m:02d}.parquet" for m in (1, 2)]
+    assert rows(read_bronze(spark, f"{base}/bronze").select("VendorID", "year", "month")) == [
+        (1.0, 2023, 1),
+        (2.0, 2023, 2),
+    ]
+
+
 def test_two_inputs_of_one_month_are_refused(spark, base):
     for name in ("yellow_tripdata_2023-01.parquet", "yellow_tripdata_2023-01_v2.parquet"):
         vendor(spark, "bigint", 1).write.parquet(f"{base}/raw/{name}")
