@@ -17,6 +17,7 @@ from farelake.schemas import BRONZE, DEFAULT_DATASET, GOLD, GOLD_TABLE, PARTITIO
 
 _MERGE_CONFLICTS = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
 _SCHEMAS_AT_ONCE = 16
+_UNDATED = "/year=None/month=None"
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -127,13 +128,25 @@ def schema_groups(
 
 
 def _native_scans(spark: SparkSession, root: str, skip_corrupt: bool) -> list[DataFrame]:
-    """One scan per schema below ``root``, with ``year`` and ``month`` from the path."""
+    """One scan per schema below ``root``, with ``year`` and ``month`` from the path.
+
+    A month directory named ``None`` is one without a month. Columns of the same
+    names inside the files are ignored.
+    """
+    months = _month_directories(spark, root)
+    undated = [path for path in months if path.endswith(_UNDATED)]
+    dated = [path for path in months if path not in undated]
     scans = []
-    groups = schema_groups(spark, _month_directories(spark, root), root, skip_corrupt)
-    for schema, paths in groups:
-        data = [field for field in schema if field.name not in PARTITION.names]
-        reader = _reader(spark, root, skip_corrupt).schema(T.StructType(data + PARTITION.fields))
-        scans.append(reader.parquet(*paths))
+    for paths, base_path in ((dated, root), (undated, None)):
+        for schema, members in schema_groups(spark, paths, base_path, skip_corrupt):
+            fields = [field for field in schema if field.name not in PARTITION.names]
+            reader = _reader(spark, base_path, skip_corrupt)
+            if base_path:
+                scan = reader.schema(T.StructType(fields + PARTITION.fields)).parquet(*members)
+            else:
+                nulls = {field.name: F.lit(None).cast(field.dataType) for field in PARTITION}
+                scan = reader.schema(T.StructType(fields)).parquet(*members).withColumns(nulls)
+            scans.append(scan)
     return scans
 
 

@@ -200,6 +200,16 @@ def test_partition_columns_live_in_the_path_only(spark, base):
     assert not {"year", "month"} & set(stored.columns)
 
 
+def test_layout_of_older_lakes(spark, base):
+    inside = by_file_month(vendor(spark, "bigint", 1), 1999, 9)
+    inside.write.parquet(f"{base}/{DATASET}/year=2023/month=1")
+    vendor(spark, "bigint", 2).write.parquet(f"{base}/{DATASET}/year=None/month=None")
+    assert rows(read_bronze(spark, base).select("VendorID", "year", "month")) == [
+        (1.0, 2023, 1),
+        (2.0, None, None),
+    ]
+
+
 def test_corrupt_files_stop_the_read_unless_skipped(spark, base):
     write_month(vendor(spark, "double", 1.0).coalesce(1), f"{base}/{DATASET}", 2023, 1)
     broken = f"{base}/{DATASET}/year=2023/month=1/broken file+1.parquet"
