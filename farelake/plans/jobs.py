@@ -60,6 +60,8 @@ def ingest_bronze_months(
     Tasks write where they read: nothing is shuffled. Returns the inputs.
     """
     inputs = raw_inputs(spark, raw_base, dataset)
+    if not inputs:
+        raise FileNotFoundError(f"no inputs of {dataset} in {raw_base}")
     named = {}
     for path in inputs:
         other = named.setdefault(month_of_name(path), path)

@@ -63,7 +63,8 @@ def _file_list(spark: SparkSession, path: str) -> DataFrame:
 
 def below(base: str, path: Column) -> Column:
     """The part of a file path under ``base``, with or without a scheme on either."""
-    root = urlsplit(base).path.rstrip("/")
+    parts = urlsplit(base)
+    root = parts.path.rstrip("/") or parts.netloc
     return F.regexp_replace(path, rf"^.*?\Q{root}\E/", "")
 
 

@@ -11,7 +11,7 @@ from farelake.operators import conform
 from farelake.plans import ingest_bronze, ingest_bronze_months
 from farelake.schemas import BRONZE, PARTITION
 from farelake.sinks import write_month, write_months
-from farelake.sources import raw_inputs, read_bronze, schema_groups, skipped_files
+from farelake.sources import below, raw_inputs, read_bronze, schema_groups, skipped_files
 
 DATASET = "yellow_tripdata"
 
@@ -157,6 +157,27 @@ def test_names_above_the_inputs_do_not_count(spark, base, scheme):
     ]
 
 
+@pytest.mark.parametrize(
+    ("base_path", "path"),
+    [
+        ("s3a://bucket", "s3a://bucket/a/b.parquet"),
+        ("s3a://bucket/x/", "s3a://bucket/x/a/b.parquet"),
+        ("hdfs:///x", "hdfs://node:8020/x/a/b.parquet"),
+        ("/x", "file:/x/a/b.parquet"),
+        ("/x.y(z", "file:/x.y(z/a/b.parquet"),
+    ],
+)
+def test_path_below_a_base(spark, base_path, path):
+    found = spark.range(1).select(below(base_path, F.lit(path))).first()[0]
+    assert found == "a/b.parquet"
+
+
+def test_a_folder_without_inputs_is_an_error(spark, base):
+    vendor(spark, "bigint", 1).write.parquet(f"{base}/raw/green_tripdata_2023-01.parquet")
+    with pytest.raises(FileNotFoundError):
+        ingest_bronze_months(spark, f"{base}/raw", f"{base}/bronze")
+
+
 def test_two_inputs_of_one_month_are_refused(spark, base):
     for name in ("yellow_tripdata_2023-01.parquet", "yellow_tripdata_2023-01_v2.parquet"):
         vendor(spark, "bigint", 1).write.parquet(f"{base}/raw/{name}")
