@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -21,14 +20,10 @@ def get_session(app_name: str = "farelake", conf: dict[str, str] | None = None)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path every executor can reach, under ``spark.checkpoint.dir``.
+    """A fresh path every executor can reach.
 
-    Only a local session may do without that setting; there the driver's
-    temporary folder is shared by construction.
+    It lies under ``spark.checkpoint.dir``, or where that is unset under the
+    warehouse folder, which all executors share as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/farelake-{name}-{uuid.uuid4().hex}"
