@@ -53,22 +53,35 @@ def per_text(schema: str, factory: Callable[[], Callable[[str | None], tuple]])
     return apply
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only ``k_id``, ``k_text`` (digest of the text) and ``text``.
+#: Columns that name a document: its id, whether the id is null, a digest of its text.
+KEY = ["k_id", "k_null", "k_text"]
 
-    Rows of the same id and the same text are one document read twice. Digests
-    only need to tell apart the texts of one id.
+
+def key_of(id_col: str, text_col: str) -> list[Column]:
+    """The columns of :data:`KEY`.
+
+    Rows of the same id and the same text are one document read twice. The digest
+    only needs to tell apart the texts of one id.
     """
-    return docs.select(
-        F.col(id_col).cast("bigint").alias("k_id"),
+    number = F.col(id_col).cast("bigint")
+    return [
+        F.coalesce(number, F.lit(0)).alias("k_id"),
+        number.isNull().alias("k_null"),
         F.xxhash64(F.col(text_col)).alias("k_text"),
-        F.col(text_col).alias("text"),
-    )
+    ]
 
 
-def same_key(left: DataFrame, right: DataFrame) -> Column:
-    """Equal keys of :func:`keyed`; a null id equals a null id."""
-    return left["k_id"].eqNullSafe(right["k_id"]) & (left["k_text"] == right["k_text"])
+def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """:data:`KEY` and the whole row as ``row``, so that no column name can clash."""
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    return docs.select(*key_of(id_col, text_col), row)
+
+
+def unpacked(docs: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of ``row``, with some of them replaced."""
+    return docs.select(
+        *[changed.get(name, F.col("row").getField(name)).alias(name) for name in columns]
+    )
 
 
 def ascii_lower(text: str | Column) -> Column:

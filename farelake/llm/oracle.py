@@ -2,4 +2,70 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from farelake.llm.common import LOWER, UPPER
+from farelake.llm.decontaminate import WORD
+
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}')"
+
+_OP2 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+sized AS (SELECT item, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0),
+win AS (
+    SELECT DISTINCT item, n, array_to_string(w[s : s + n - 1], ' ') AS t
+    FROM sized, unnest(range(1, len(w) - n + 2)) AS u(s)
+),
+sizes AS (SELECT DISTINCT n FROM win),
+spans AS (
+    SELECT doc_id, s, n, array_to_string(w[s : s + n - 1], ' ') AS t
+    FROM (SELECT * FROM d, sizes WHERE len(w) >= n), unnest(range(1, len(w) - n + 2)) AS u(s)
+),
+occ AS (SELECT doc_id, s, n, item FROM spans JOIN win USING (n, t)),
+hit AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT DISTINCT doc_id, s, n FROM occ), unnest(range(s, s + n)) AS u(p)
+    GROUP BY doc_id
+),
+found AS (
+    SELECT doc_id, count(DISTINCT item) AS n_items,
+        string_agg(DISTINCT item, ',' ORDER BY item) AS ids
+    FROM occ GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+_OP8 = r"""
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents),
+p AS (
+    SELECT doc_id, i, a[i] AS line, len(regexp_extract_all(a[i], '[^\x20\x09-\x0D]+')) AS n
+    FROM l, unnest(range(1, len(a) + 1)) AS u(i)
+),
+c AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM p),
+runs AS (
+    SELECT doc_id, x.i AS s, y.i AS e, array_to_string(a[x.i : y.i], chr(10)) AS t
+    FROM c AS x JOIN c AS y USING (doc_id) JOIN l USING (doc_id)
+    WHERE x.i <= y.i AND y.upto - x.upto + x.n > 50
+        AND (y.upto - y.n - x.upto + x.n <= 50 OR y.upto - x.upto <= 50)
+),
+firsts AS (SELECT *, min(row(doc_id, s)) OVER (PARTITION BY t) AS f FROM runs),
+gone AS (
+    SELECT DISTINCT doc_id, i
+    FROM (SELECT * FROM firsts WHERE row(doc_id, s) > f), unnest(range(s, e + 1)) AS u(i)
+),
+kept AS (
+    SELECT doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+        string_agg(line, chr(10) ORDER BY p.i) FILTER (WHERE g.i IS NULL) AS t
+    FROM p LEFT JOIN gone AS g USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+    CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(t, '')) AS text_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_decontaminate": _OP2, "op8_line_dedup": _OP8}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm import bpe, toxicity
+from farelake.llm import bpe, decontaminate, linededup, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,7 +50,34 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("*", predicted)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return decontaminate.report(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = linededup.line_dedup(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "row.doc_id",
+        "cut.n_lines",
+        "cut.n_removed",
+        F.sha2(F.coalesce("cut.text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_bpe": op3_bpe,
     "op5_toxicity": op5_toxicity,
+    "op8_line_dedup": op8_line_dedup,
+    "op10_simhash": op10_simhash,
 }
