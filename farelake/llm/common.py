@@ -29,11 +29,16 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def memo(name: str, build: Callable[[], Any]) -> Any:
-    """A value built once per Python process and kept for later tasks."""
+    """A value built once per Python process and kept for its next tasks.
+
+    Only the latest is kept, so what one operator remembers doesn't add to what
+    the next one does.
+    """
     kept = sys.modules.setdefault("farelake_llm_memo", types.ModuleType("farelake_llm_memo"))
-    if not hasattr(kept, name):
-        setattr(kept, name, build())
-    return getattr(kept, name)
+    if getattr(kept, "name", None) != name:
+        kept.name, kept.value = None, None
+        kept.name, kept.value = name, build()
+    return kept.value
 
 
 def per_text(schema: str, factory: Callable[[], Callable[[str | None], tuple]]) -> Callable:

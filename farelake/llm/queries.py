@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm import bpe, decontaminate, linededup, simhash, toxicity
+from farelake.llm import bpe, ctph, decontaminate, langid, linededup, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctph.edit_report(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = linededup.line_dedup(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select(
@@ -65,6 +69,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    model = langid.train(spark, docs.where(~held_out).select("text", "lang"))
+    found = langid.predictor(spark, model)(F.col("text")).alias("found")
+    return docs.select("doc_id", held_out.alias("held_out"), found).select(
+        "doc_id", "held_out", "found.*"
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
     return found.select(
@@ -78,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_bpe": op3_bpe,
     "op5_toxicity": op5_toxicity,
+    "op6_fingerprints": op6_fingerprints,
     "op8_line_dedup": op8_line_dedup,
+    "op9_language": op9_language,
     "op10_simhash": op10_simhash,
 }

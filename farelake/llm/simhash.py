@@ -106,7 +106,9 @@ def near_duplicates(
     distinct = materialize(
         spark, rows.groupBy("fp").agg(F.min("id").alias("least_id")), "fingerprints-distinct"
     )
-    roots = components(spark, links(distinct))
+    # Few bytes become many cells, so they are dealt out by number, not by bytes.
+    spread = distinct.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "fp")
+    roots = components(spark, links(spread))
     classes = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     classes = classes.select("fp", "least_id", F.coalesce("root", "fp").alias("class"))
     smallest = classes.groupBy("class").agg(F.min("least_id").alias("component_id"))

@@ -25,13 +25,13 @@ from farelake.llm.common import materialize, memo, per_text, sampled
 
 BITS = 20
 #: Most labelled rows the model is fitted on; they fit into one task.
-SAMPLE_ROWS = 16_000
+SAMPLE_ROWS = 12_000
 EPOCHS = 10
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.0
 #: Weight of a toxic row; toxic rows are the rarer ones.
 TOXIC_WEIGHT = 2.0
 THRESHOLD = 0.7
-_MOST_WORDS_KEPT = 1 << 20
+_MOST_WORDS_KEPT = 1 << 18
 _BIAS = 0
 
 
