@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from farelake.llm.common import LOWER, UPPER
+from farelake.llm import secrets
 from farelake.llm.decontaminate import WORD
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}')"
@@ -68,4 +69,76 @@ SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
 FROM documents LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_decontaminate": _OP2, "op8_line_dedup": _OP8}
+
+
+def _spans(kind: int, pattern: str) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""
+    SELECT doc_id, {kind} AS kind, m[i] AS found,
+        CAST(list_sum([len(x) FOR x IN gaps[1:i]]) + coalesce(list_sum([len(x) FOR x IN m[1:i-1]]), 0)
+            AS BIGINT) AS s
+    FROM (
+        SELECT doc_id, regexp_extract_all(t, '{quoted}') AS m, string_split_regex(t, '{quoted}') AS gaps
+        FROM d
+    ), unnest(range(1, len(m) + 1)) AS u(i)"""
+
+
+_LIMIT = f"""CASE WHEN regexp_full_match(found, '[0-9A-Fa-f]*') THEN {secrets.most_weight(secrets.LEAST_BITS["hex"])}
+    WHEN regexp_full_match(found, '[^A-Z]*') OR regexp_full_match(found, '[^a-z]*')
+        THEN {secrets.most_weight(secrets.LEAST_BITS["single"])}
+    ELSE {secrets.most_weight(secrets.LEAST_BITS["mixed"])} END"""
+
+_OP4 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+fixed AS (
+    {_spans(0, secrets.ASSIGN)}
+    UNION ALL {_spans(1, secrets.ACCESS)}
+    UNION ALL {_spans(2, secrets.HEX)}
+),
+base AS (
+    SELECT doc_id, kind, s, s + len(found) AS e FROM fixed
+    WHERE kind > 0 OR len(regexp_extract(found, '{secrets.ASSIGN.replace("'", "''")}', 2))
+        >= {secrets.LEAST_ASSIGNED}
+),
+cand AS (
+    SELECT * FROM ({_spans(3, secrets.CANDIDATE)})
+    WHERE NOT regexp_matches(found, '{secrets.ALLOWED}')
+),
+letters AS (
+    SELECT doc_id, s, found, w, count(*) AS n
+    FROM cand, unnest(range(1, len(found) - {secrets.WINDOW} + 2)) AS a(w),
+        unnest(range(0, {secrets.WINDOW})) AS b(k)
+    GROUP BY doc_id, s, found, w, substr(found, w + k, 1)
+),
+windows AS (
+    SELECT doc_id, s, found, w, sum(CAST(round(n * log2(n) * 1e6) AS BIGINT)) AS total
+    FROM letters GROUP BY doc_id, s, found, w
+),
+made AS (
+    SELECT doc_id, 3 AS kind, s + min(w) - 1 AS s, s + max(w) - 1 + {secrets.WINDOW} AS e
+    FROM windows AS w0 WHERE total <= {_LIMIT} GROUP BY doc_id, w0.s, found
+),
+added AS (
+    SELECT * FROM made AS m WHERE NOT EXISTS (
+        SELECT 1 FROM base AS b WHERE b.doc_id = m.doc_id AND b.s <= m.s AND m.e <= b.e)
+),
+every AS (SELECT * FROM base UNION ALL SELECT * FROM added),
+named AS (SELECT *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || s || ':' || e AS x FROM every),
+g AS (
+    SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n0, count(*) FILTER (WHERE kind = 1) AS n1,
+        count(*) FILTER (WHERE kind = 2) AS n2,
+        string_agg(x, ',' ORDER BY s, kind) FILTER (WHERE kind < 3) AS base,
+        string_agg(x, ',' ORDER BY s, kind) AS spans
+    FROM named GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n0, 0) AS BIGINT) AS n_assign, CAST(coalesce(n1, 0) AS BIGINT) AS n_access,
+    CAST(coalesce(n2, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+    coalesce(spans, '') AS spans
+FROM documents LEFT JOIN g USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontaminate": _OP2,
+    "op4_secrets": _OP4,
+    "op8_line_dedup": _OP8,
+}

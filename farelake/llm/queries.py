@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm import bpe, ctph, decontaminate, langid, linededup, simhash, toxicity
+from farelake.llm import bpe, ctph, decontaminate, langid, linededup, secrets, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctph.edit_report(spark, table(spark, sf_dir, "documents"))
 
@@ -91,6 +95,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_bpe": op3_bpe,
+    "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
     "op6_fingerprints": op6_fingerprints,
     "op8_line_dedup": op8_line_dedup,
