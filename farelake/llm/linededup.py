@@ -14,23 +14,17 @@ lines to a copy within itself. Extra columns pass through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.llm.common import KEY, key_of, materialize, packed, unpacked
-from farelake.llm.runs import tight_runs
+from farelake.llm.runs import all_runs, in_repeated_class, tight_runs
 
 MORE_THAN_WORDS = 50
 
-_RUNS = "k_id bigint, k_null boolean, k_text bigint, start int, end int, n1 bigint, n2 bigint"
-
-
 def _runs_of(text: str | None, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lines = (text or "").encode().split(b"\n")
     weights = np.fromiter((len(line.split()) for line in lines), np.int64, len(lines))
@@ -43,34 +37,11 @@ def _runs_of(text: str | None, least: int) -> tuple[np.ndarray, np.ndarray, np.n
 def repeated_lines(spark: SparkSession, docs: DataFrame, more_than: int) -> DataFrame:
     """For each document (:data:`KEY`) with deletions, ``spans``: starts and ends in turn."""
     least = more_than + 1
-
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = [_runs_of(text, least) for text in texts]
-            at = np.repeat(np.arange(len(texts)), [len(x[0]) for x in found])
-            names = np.concatenate([x[2] for x in found] or [np.empty((0, 2), np.uint64)])
-            columns = [batch.column(name).take(pa.array(at)) for name in KEY]
-            columns += [
-                pa.array(np.concatenate([x[i] for x in found] or [at]).astype(np.int32))
-                for i in (0, 1)
-            ]
-            columns += [pa.array(names[:, i].copy().view(np.int64)) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, [*KEY, "start", "end", "n1", "n2"])
-
-    rows = docs.select(*key_of("id", "text"), "text").mapInArrow(runs, _RUNS)
+    keyed = docs.select(*key_of("id", "text"), "text")
+    rows = all_runs(keyed, lambda row: _runs_of(row["text"], least), ["text"])
     rows = materialize(spark, rows, "line-runs")
     place = F.struct((~F.col("k_null")).alias("known"), "k_id", "k_text", "start")
-    classes = (
-        rows.groupBy("n1", "n2")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where(F.col("first") < F.col("last"))
-        .drop("last")
-    )
-    # Written, so that both sides of the join are dealt out anew and a class that
-    # holds a third of all runs can be split.
-    classes = materialize(spark, classes, "line-classes")
-    later = rows.join(classes, ["n1", "n2"]).where(place > F.col("first"))
+    later = in_repeated_class(spark, rows, place).where(place > F.col("first"))
 
     @F.pandas_udf("array<int>")
     def union(spans: pd.Series) -> pd.Series:
@@ -89,7 +60,6 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, more_than: int) -> Data
     return spans.select(*KEY, union("s").alias("spans"))
 
 
-@F.pandas_udf("text string, n_lines long, n_removed long")
 def _cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
     def cut(text: str | None, flat: np.ndarray | None) -> tuple:
         if text is None:
@@ -119,7 +89,8 @@ def line_dedup(
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     spans = materialize(spark, repeated_lines(spark, plain, more_than), "line-spans")
     rows = packed(docs, id_col, text_col).join(spans, KEY, "left")
-    return rows.select("row", _cut(F.col("row").getField(text_col), "spans").alias("cut"))
+    cut = F.pandas_udf(_cut, "text string, n_lines long, n_removed long")
+    return rows.select("row", cut(F.col("row").getField(text_col), "spans").alias("cut"))
 
 
 def without_repeated_lines(

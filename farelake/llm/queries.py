@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm import bpe, ctph, decontaminate, langid, linededup, secrets, simhash, toxicity
+from farelake.llm import (
+    bpe,
+    ctph,
+    decontaminate,
+    html,
+    langid,
+    linededup,
+    secrets,
+    simhash,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +73,10 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctph.edit_report(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(spark, table(spark, sf_dir, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = linededup.line_dedup(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select(
@@ -98,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
     "op6_fingerprints": op6_fingerprints,
+    "op7_main_text": op7_main_text,
     "op8_line_dedup": op8_line_dedup,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,

@@ -17,8 +17,15 @@ prefix reaches ``least``, and their union is that of all maximal repeated runs.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from numpy.typing import NDArray
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from farelake.llm.common import KEY, materialize
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -68,3 +75,47 @@ def tight_runs(tokens: NDArray, weights: NDArray, least: int) -> tuple[NDArray,
         ranks = _paired(ranks[:-width], ranks[width:], 1 << 40)
         level += 1
     return start, end, names
+
+
+_RUNS = "k_id bigint, k_null boolean, k_text bigint, start int, end int, n1 bigint, n2 bigint"
+
+
+def all_runs(
+    rows: DataFrame, of: Callable[[dict], tuple[NDArray, NDArray, NDArray]], inputs: list[str]
+) -> DataFrame:
+    """Tight runs of every row: :data:`KEY`, ``start``, ``end`` and the name ``n1``, ``n2``.
+
+    ``of`` gives starts, ends and names from a row's ``inputs``.
+    """
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [of(row) for row in batch.select(inputs).to_pylist()]
+            at = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])
+            none = np.empty(0, np.int64)
+            names = np.concatenate([x[2] for x in found] or [none.reshape(0, 2)])
+            columns = [batch.column(name).take(pa.array(at)) for name in KEY]
+            for i in (0, 1):
+                part = np.concatenate([x[i] for x in found] or [none])
+                columns.append(pa.array(part.astype(np.int32)))
+            names = names.astype(np.uint64)
+            columns += [pa.array(names[:, i].copy().view(np.int64)) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, [*KEY, "start", "end", "n1", "n2"])
+
+    return rows.select(*KEY, *inputs).mapInArrow(runs, _RUNS)
+
+
+def in_repeated_class(spark: SparkSession, rows: DataFrame, place: Column) -> DataFrame:
+    """Runs whose class has two different ``place`` values, with the ``first`` of them.
+
+    Counts are made in part before the exchange. The classes are written, so that
+    both sides of the join are dealt out anew and a class that holds a third of all
+    runs can be split.
+    """
+    classes = (
+        rows.groupBy("n1", "n2")
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .where(F.col("first") < F.col("last"))
+        .drop("last")
+    )
+    return rows.join(materialize(spark, classes, "run-classes"), ["n1", "n2"])
