@@ -143,24 +143,43 @@ def decoded(vocabulary: str) -> Callable[[Column], Column]:
     return lambda ids: udf(ids).getField("decoded")
 
 
-def digests(vocabulary: str) -> Callable[[Column], Column]:
-    """Column function: count and digest of a text's ids, and digest of the ids decoded.
+def coded(vocabulary: str) -> Callable[[Column], Column]:
+    """Column function: ``n_tokens``, ``ids``, and digests of the ids and of the text
+    decoded from them."""
 
-    Encoding and decoding happen in one task, so ids of very long texts are not
-    carried between stages only to be counted.
-    """
+    def factory() -> Callable[[str | None], tuple]:
+        codec = memo(f"bpe_{vocabulary}", lambda: Codec(vocabulary))
+
+        def both(text: str | None) -> tuple:
+            ids = codec.encode(text or "")
+            return (len(ids), ids, *_digests(codec, ids))
+
+        return both
+
+    return per_text(f"n_tokens long, ids array<int>, {_DIGESTS}", factory)
+
+
+def digests(vocabulary: str) -> Callable[[Column], Column]:
+    """As :func:`coded` without the ids, which so are not carried only to be counted."""
 
     def factory() -> Callable[[str | None], tuple]:
         codec = memo(f"bpe_{vocabulary}", lambda: Codec(vocabulary))
 
         def both(text: str | None) -> tuple:
             ids = codec.encode(text or "")
-            return (
-                len(ids),
-                hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
-                hashlib.sha256(codec.decode(ids).encode()).hexdigest(),
-            )
+            return (len(ids), *_digests(codec, ids))
 
         return both
 
-    return per_text("n_tokens long, ids_sha256 string, decoded_sha256 string", factory)
+    return per_text(f"n_tokens long, {_DIGESTS}", factory)
+
+
+_DIGESTS = "ids_sha256 string, decoded_sha256 string"
+
+
+def _digests(codec: Codec, ids: list[int]) -> tuple[str, str]:
+    text = codec.decode(ids)
+    return (
+        hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+        hashlib.sha256(text.encode()).hexdigest(),
+    )

@@ -14,6 +14,7 @@ from farelake.llm import (
     html,
     langid,
     linededup,
+    quality,
     secrets,
     simhash,
     toxicity,
@@ -60,6 +61,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("*", predicted)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(spark, table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return decontaminate.report(spark, docs, table(spark, sf_dir, "benchmark"))
@@ -107,6 +112,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
     "op3_bpe": op3_bpe,
     "op4_secrets": op4_secrets,
