@@ -88,7 +88,7 @@ def line_dedup(
     """``row`` (the whole input row) and ``cut``: the text kept, ``n_lines``, ``n_removed``."""
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     spans = materialize(spark, repeated_lines(spark, plain, more_than), "line-spans")
-    rows = packed(docs, id_col, text_col).join(spans, KEY, "left")
+    rows = packed(docs, id_col, text_col).join(spans.hint("merge"), KEY, "left")
     cut = F.pandas_udf(_cut, "text string, n_lines long, n_removed long")
     return rows.select("row", cut(F.col("row").getField(text_col), "spans").alias("cut"))
 

@@ -118,4 +118,4 @@ def in_repeated_class(spark: SparkSession, rows: DataFrame, place: Column) -> Da
         .where(F.col("first") < F.col("last"))
         .drop("last")
     )
-    return rows.join(materialize(spark, classes, "run-classes"), ["n1", "n2"])
+    return rows.join(materialize(spark, classes, "run-classes").hint("merge"), ["n1", "n2"])

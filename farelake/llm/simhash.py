@@ -125,5 +125,5 @@ def one_of_each(
     place = F.struct("k_null", "k_id", "k_text")
     kept = found.groupBy("class").agg(F.min(place).alias("k")).select("k.*")
     kept = materialize(spark, kept, "near-dedup-kept")
-    rows = packed(docs, id_col, text_col).join(kept, KEY).dropDuplicates(KEY)
+    rows = packed(docs, id_col, text_col).join(kept.hint("merge"), KEY).dropDuplicates(KEY)
     return unpacked(rows, docs.columns)
