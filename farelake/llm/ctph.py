@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from farelake.llm.common import per_text
 
-CHUNKS = 48
+CHUNKS = 64
 MOST_CHUNKS = 256
 ROLLED = 7
 #: Ranges of ids for each task; several even out what a task gets.
