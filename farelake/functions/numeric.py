@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _LAST_BITS = 1e-14
+# Whole numbers below this are exact as doubles.
+_MOST_UNITS = 1 << 53
 
 
 def exact_sum(value: str | Column, places: int = 4) -> Column:
@@ -13,22 +15,22 @@ def exact_sum(value: str | Column, places: int = 4) -> Column:
 
     A plain ``sum`` of doubles depends on how rows were split into tasks, so a
     retried or re-partitioned run of a very large month can differ in the cents.
-    Here each value is also counted in whole units of ``10**-places`` as a
-    bigint. If all values of the group are such multiples, up to the last bits of
-    a double, the total of units is used: it is exact in any order. If one is not
-    (NaN, infinity, a third of a cent) or the units overflow, the result is the
-    plain sum of doubles. Only primitive types are used, so the aggregate stays
-    in generated code.
+    Here each value that is a multiple of ``10**-places``, up to the last bits of a
+    double, is counted in such units as a bigint; their total is exact in any order.
+    Values that are no multiple (a third of a cent, NaN, infinity) or have 2**53 units
+    are summed apart as doubles and added to it. A total beyond a bigint stops the
+    query. Only primitive types are used, so the aggregate stays in generated code.
     """
     col = F.col(value) if isinstance(value, str) else value
     scale = F.lit(float(10**places))
-    units = F.rint(col * scale).try_cast("bigint")
-    same = F.abs(units / scale - col) <= F.abs(col) * _LAST_BITS
-    representable = F.when(col.isNotNull(), F.coalesce(same, F.lit(False)))
-    return F.coalesce(
-        F.when(F.bool_and(representable), F.try_sum(units) / scale),
-        F.sum(col),
-    )
+    counted = F.rint(col * scale).try_cast("bigint")
+    near = F.abs(counted / scale - col) <= F.abs(col) * _LAST_BITS
+    multiple = F.coalesce(near & (F.abs(counted) < _MOST_UNITS), F.lit(False))
+    units = F.when(multiple, counted)
+    too_large = F.raise_error(F.lit("a sum of exact units is beyond a bigint")).cast("bigint")
+    total = F.coalesce(F.try_sum(units), F.when(F.count(units) > 0, too_large))
+    rest = F.sum(F.when(~multiple, col))
+    return F.when(total.isNull(), rest).otherwise(total / scale + F.coalesce(rest, F.lit(0.0)))
 
 
 def exact_avg(value: str | Column, places: int = 4) -> Column:

@@ -4,20 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farelake.operators.conform import to_table
 from farelake.operators.serving import latest_run
-from farelake.schemas import LATEST_VIEWS, SERVING_TABLES
+from farelake.schemas import LATEST_VIEWS, PRIMARY_KEYS, SERVING_TABLES
+
+
+def check_keys(df: DataFrame, table: str) -> None:
+    """Raise if rows meant for a table have null or repeated keys.
+
+    One aggregate over the rows, before anything stored is touched.
+    """
+    keys = PRIMARY_KEYS.get(table)
+    if not keys:
+        return
+    rows = df.groupBy(*keys).count()
+    null = reduce(or_, [F.col(key).isNull() for key in keys])
+    found = rows.agg(
+        F.count_if(null).alias("null"), F.count_if(F.col("count") > 1).alias("repeated")
+    ).first()
+    if found["null"] or found["repeated"]:
+        raise ValueError(
+            f"{table}: {found['null']} null and {found['repeated']} repeated keys of "
+            f"({', '.join(keys)}); the table was left as it is"
+        )
 
 
 class Warehouse(Protocol):
     """Where serving tables live."""
 
     def replace(self, df: DataFrame, table: str) -> None:
-        """Make the rows of ``df`` the whole content of the table."""
+        """Make the rows of ``df`` the whole content of the table, if their keys are sound."""
 
     def append(self, df: DataFrame, table: str) -> None:
         """Add the rows of ``df`` to the table."""
@@ -55,6 +78,7 @@ class JdbcWarehouse:
         }
 
     def replace(self, df: DataFrame, table: str) -> None:
+        check_keys(df, table)
         writer = to_table(df, table).write.format("jdbc").options(**self.options(table))
         writer.option("truncate", True).mode("overwrite").save()
 
@@ -72,6 +96,7 @@ class FileWarehouse:
     base: str
 
     def replace(self, df: DataFrame, table: str) -> None:
+        check_keys(df, table)
         to_table(df, table).write.mode("overwrite").parquet(f"{self.base}/{table}")
 
     def append(self, df: DataFrame, table: str) -> None:

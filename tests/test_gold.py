@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from decimal import Decimal
 
+import pytest
 from helpers import parquet_files, rows, trips_frame
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -107,6 +108,40 @@ def test_empty_silver_leaves_gold_alone(spark, base):
     assert build_gold(spark, f"{base}/bare", f"{base}/gold", warehouse) is GoldStatus.SILVER_EMPTY
 
 
+def test_one_value_that_is_no_multiple_leaves_the_rest_exact(spark):
+    values = [0.1, 0.2, 0.3] * 1000 + [1 / 3] + [1e9 + 0.01] * 7
+    results = {total(spark, values, parts=parts) for parts in (1, 7, 64)}
+    assert results == {7 * 10**9 + 0.07 + 600.0 + 1 / 3}
+
+
+def test_units_beyond_a_bigint_stop_the_query(spark):
+    with pytest.raises(Exception, match="beyond a bigint"):
+        total(spark, [8e11] * 2000)
+
+
+def test_a_null_month_leaves_the_table_unless_it_is_given_one(spark, base):
+    warehouse = FileWarehouse(f"{base}/warehouse")
+    silver_of(spark, base, [("2023-01-01T00:00:00", 1.0, 2.0, 0.5)])
+    build_gold(spark, f"{base}/silver", f"{base}/gold", warehouse)
+    before = rows(warehouse.read(spark, "fact_trips_monthly"))
+    silver_of(spark, base, [(None, 1.0, 2.0, 0.5), ("2023-01-01T00:00:00", 1.0, 2.0, 0.5)])
+    with pytest.raises(ValueError, match="1 null"):
+        build_gold(spark, f"{base}/silver", f"{base}/gold", warehouse)
+    assert rows(warehouse.read(spark, "fact_trips_monthly")) == before
+    build_gold(spark, f"{base}/silver", f"{base}/gold", warehouse, undated=(1900, 1))
+    assert rows(warehouse.read(spark, "fact_trips_monthly"))[0][:3] == (1900, 1, 1)
+
+
+def test_keys_are_checked_before_a_database_is_touched(spark, monkeypatch):
+    from farelake.sinks import JdbcWarehouse
+
+    monkeypatch.setattr("pyspark.sql.DataFrameWriter.save", lambda *a, **k: pytest.fail("wrote"))
+    schema = "year int, month int, trips bigint, total_fare double, total_tip double, avg_distance double"
+    for data in ([(None, 1, 1, 1.0, 1.0, 1.0)], [(2023, 1, 1, 1.0, 1.0, 1.0)] * 2):
+        with pytest.raises(ValueError):
+            JdbcWarehouse("jdbc:x", "u", "p").replace(spark.createDataFrame(data, schema), "fact_trips_monthly")
+
+
 def test_trips_of_gold_are_rows_of_silver(spark):
     silver = clean_trips(trips_frame(spark, [(None, 1.0, 1.0, 1.0), ("2023-01-01T00:00:00", 2.0, 1.0, 1.0)]))
     assert monthly_kpis(silver).agg(F.sum("trips")).first()[0] == silver.count()
