@@ -148,4 +148,6 @@ LATEST_VIEWS = {
 }
 
 DEFAULT_DATASET = "yellow_tripdata"
+# Messages carry fewer columns than files, so they have months of their own.
+TOPIC_DATASET = "yellow_tripdata_topic"
 GOLD_TABLE = "kpis_trips_monthly"

@@ -6,7 +6,10 @@ from farelake.sources.parquet import (
     first_rows,
     raw_inputs,
     read_bronze,
+    read_gold,
     read_gold_or_empty,
+    read_inputs,
+    read_mixed,
     read_raw,
     read_silver,
     scanned_path,
@@ -19,7 +22,10 @@ __all__ = [
     "first_rows",
     "raw_inputs",
     "read_bronze",
+    "read_gold",
     "read_gold_or_empty",
+    "read_inputs",
+    "read_mixed",
     "read_raw",
     "read_silver",
     "read_zone_csv",

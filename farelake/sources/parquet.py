@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import urlsplit
+from urllib.parse import unquote, urlsplit
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -16,7 +15,6 @@ from farelake.operators.conform import conform
 from farelake.schemas import BRONZE, DEFAULT_DATASET, GOLD, GOLD_TABLE, PARTITION, SILVER
 
 _MERGE_CONFLICTS = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
-_SCHEMAS_AT_ONCE = 16
 _UNDATED = "/year=None/month=None"
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -45,16 +43,15 @@ def read_raw(
 
 
 def _file_list(spark: SparkSession, path: str) -> DataFrame:
-    """Paths of the Parquet files below ``path``; no file is opened.
+    """Paths of all files below ``path`` but hidden ones; no file is opened.
 
-    Tasks are cut by file size as if files were read. A session of its own lets
+    What Spark reads it reads whatever the suffix, so none is asked for. Tasks are cut by file size as if files were read. A session of its own lets
     one task list as many files as an even share, not one file each.
     """
     listing = spark.newSession()
     listing.conf.set("spark.sql.files.maxPartitionBytes", "1t")
     return (
         listing.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", True)
         .load(path)
         .select("path")
@@ -91,64 +88,138 @@ def _month_directories(spark: SparkSession, root: str) -> list[str]:
     return sorted(r.d for r in _file_list(spark, root).select(directory.alias("d")).distinct().collect())
 
 
+def _merged_schema(
+    spark: SparkSession, paths: list[str], base_path: str | None, skip_corrupt: bool
+) -> T.StructType | None:
+    """One schema for all files of some inputs, or None if types of a column differ."""
+    try:
+        reader = _reader(spark, base_path, skip_corrupt).option("mergeSchema", True)
+        return reader.parquet(*paths).schema
+    except Exception as error:
+        if not any(name in str(error) for name in _MERGE_CONFLICTS):
+            raise
+        return None
+
+
 def schema_groups(
     spark: SparkSession,
     paths: list[str],
     base_path: str | None = None,
     skip_corrupt: bool = False,
 ) -> list[tuple[T.StructType, list[str]]]:
-    """Split inputs into groups with one schema each, so a group is one scan.
+    """Split inputs into groups whose files agree on types, so a group is one scan.
 
-    The footers of an input are merged by a distributed job; the driver asks for
-    a few inputs at a time and gets one schema for each. An input whose own
-    files disagree on a type is split down to its files.
+    One distributed job merges the footers of all inputs. Only where types differ is
+    the list halved and each half tried, so vintages next to each other stay
+    together and k of them among n inputs take about k log n jobs. A group has the
+    columns of all its inputs. An input whose own files disagree is split down to
+    its files; the names of that input's files are all that reaches the driver.
     """
-
-    def schema_of(path: str) -> T.StructType | None:
-        try:
-            reader = _reader(spark, base_path, skip_corrupt).option("mergeSchema", True)
-            return reader.parquet(path).schema
-        except Exception as error:
-            if not any(name in str(error) for name in _MERGE_CONFLICTS):
-                raise
-            return None
-
-    with ThreadPoolExecutor(_SCHEMAS_AT_ONCE) as pool:
-        schemas = list(pool.map(schema_of, paths))
+    if not paths:
+        return []
+    schema = _merged_schema(spark, paths, base_path, skip_corrupt)
+    if schema is not None:
+        return [(schema, paths)]
+    if len(paths) > 1:
+        middle = len(paths) // 2
+        parts = [paths[:middle], paths[middle:]]
+    else:
+        files = sorted(row.path for row in _file_list(spark, paths[0]).collect())
+        if files == paths:
+            raise ValueError(f"the types of {paths[0]} cannot be told")
+        parts = [files]
     groups: dict[frozenset, tuple[T.StructType, list[str]]] = {}
-    for path, schema in zip(paths, schemas):
-        if schema is None:
-            files = sorted(row.path for row in _file_list(spark, path).collect())
-            members = schema_groups(spark, files, base_path, skip_corrupt)
-        else:
-            members = [(schema, [path])]
-        for native, inputs in members:
+    for part in parts:
+        for native, inputs in schema_groups(spark, part, base_path, skip_corrupt):
             key = frozenset((f.name.lower(), f.dataType.simpleString()) for f in native)
             groups.setdefault(key, (native, []))[1].extend(inputs)
     return list(groups.values())
 
 
+def _widest(types: list[T.DataType]) -> T.DataType:
+    """A type every one of ``types`` can be cast to without losing a row."""
+    if all(kind == types[0] for kind in types):
+        return types[0]
+    if all(isinstance(kind, T.IntegralType) for kind in types):
+        return T.LongType()
+    if all(isinstance(kind, T.NumericType) for kind in types):
+        return T.DoubleType()
+    if all(isinstance(kind, T.DatetimeType) for kind in types):
+        return T.TimestampType()
+    return T.StringType()
+
+
+def read_mixed(spark: SparkSession, groups: list[tuple[T.StructType, list[str]]]) -> DataFrame:
+    """Files of several schemas as one frame; each column has the widest of its types."""
+    kinds: dict[str, tuple[str, list[T.DataType]]] = {}
+    for schema, _ in groups:
+        for field in schema:
+            kinds.setdefault(field.name.lower(), (field.name, []))[1].append(field.dataType)
+    wide = T.StructType([T.StructField(name, _widest(types)) for name, types in kinds.values()])
+    scans = [conform(read_raw(spark, *paths, schema=schema), wide) for schema, paths in groups]
+    return reduce(DataFrame.unionByName, scans)
+
+
+def read_inputs(
+    spark: SparkSession, inputs: list[str], skip_corrupt: bool = False
+) -> dict[str, DataFrame]:
+    """One frame for each raw input, from as few looks at footers as they have schemas."""
+    found: dict[str, list[tuple[T.StructType, list[str]]]] = {path: [] for path in inputs}
+    split: list[tuple[T.StructType, list[str]]] = []
+    for schema, paths in schema_groups(spark, inputs, skip_corrupt=skip_corrupt):
+        for path in paths:
+            if path in found:
+                found[path].append((schema, [path]))
+        split.append((schema, [path for path in paths if path not in found]))
+    frames = {}
+    for path, groups in found.items():
+        if not groups:
+            root = urlsplit(path).path.rstrip("/")
+            below_path = [
+                (schema, [f for f in files if f"{root}/" in unquote(f)]) for schema, files in split
+            ]
+            groups = [(schema, files) for schema, files in below_path if files]
+        frames[path] = read_mixed(spark, groups) if len(groups) > 1 else read_raw(
+            spark, *groups[0][1], schema=groups[0][0]
+        )
+    return frames
+
+
 def _native_scans(spark: SparkSession, root: str, skip_corrupt: bool) -> list[DataFrame]:
     """One scan per schema below ``root``, with ``year`` and ``month`` from the path.
 
-    A month directory named ``None`` is one without a month. Columns of the same
-    names inside the files are ignored.
+    A lake of one schema is one look at its footers and one scan. A month directory
+    named ``None`` is one without a month. Columns of the same names inside the files
+    are ignored.
     """
+
+    def scan(schema: T.StructType, paths: list[str], base_path: str | None) -> DataFrame:
+        fields = [field for field in schema if field.name not in PARTITION.names]
+        reader = _reader(spark, base_path, skip_corrupt)
+        if base_path:
+            return reader.schema(T.StructType(fields + PARTITION.fields)).parquet(*paths)
+        nulls = {field.name: F.lit(None).cast(field.dataType) for field in PARTITION}
+        return reader.schema(T.StructType(fields)).parquet(*paths).withColumns(nulls)
+
+    try:
+        schema = _merged_schema(spark, [root], root, skip_corrupt)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return []
+    if schema is not None and all(
+        name in schema.names and isinstance(schema[name].dataType, T.IntegerType)
+        for name in PARTITION.names
+    ):
+        return [scan(schema, [root], root)]
     months = _month_directories(spark, root)
     undated = [path for path in months if path.endswith(_UNDATED)]
     dated = [path for path in months if path not in undated]
-    scans = []
-    for paths, base_path in ((dated, root), (undated, None)):
-        for schema, members in schema_groups(spark, paths, base_path, skip_corrupt):
-            fields = [field for field in schema if field.name not in PARTITION.names]
-            reader = _reader(spark, base_path, skip_corrupt)
-            if base_path:
-                scan = reader.schema(T.StructType(fields + PARTITION.fields)).parquet(*members)
-            else:
-                nulls = {field.name: F.lit(None).cast(field.dataType) for field in PARTITION}
-                scan = reader.schema(T.StructType(fields)).parquet(*members).withColumns(nulls)
-            scans.append(scan)
-    return scans
+    return [
+        scan(schema, members, base_path)
+        for paths, base_path in ((dated, root), (undated, None))
+        for schema, members in schema_groups(spark, paths, base_path, skip_corrupt)
+    ]
 
 
 def read_bronze(
@@ -182,8 +253,7 @@ def skipped_files(
     """Bronze files that give no rows when corrupt ones are skipped: broken or empty."""
     root = f"{bronze_base}/{dataset}"
     path = scanned_path().alias("path")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
-    files = files.select("path")
+    files = _file_list(spark, root)
     for scan in _native_scans(spark, root, skip_corrupt=True):
         some_value = F.coalesce(*[F.col(name).cast("string") for name in scan.columns])
         readable = scan.groupBy(path).agg(F.count(some_value).alias("n")).where("n >= 0")
@@ -199,11 +269,16 @@ def read_silver(
     return _reader(spark, root).schema(SILVER).parquet(root)
 
 
+def read_gold(spark: SparkSession, gold_base: str) -> DataFrame:
+    """Gold under its contract; an error where it was never written."""
+    root = f"{gold_base}/{GOLD_TABLE}"
+    return _reader(spark, root).schema(GOLD).parquet(root)
+
+
 def read_gold_or_empty(spark: SparkSession, gold_base: str) -> DataFrame:
     """Gold under its contract, or no rows where it was never written."""
-    root = f"{gold_base}/{GOLD_TABLE}"
     try:
-        return _reader(spark, root).schema(GOLD).parquet(root)
+        return read_gold(spark, gold_base)
     except AnalysisException as error:
         if error.getCondition() not in _NOTHING_THERE:
             raise

@@ -254,3 +254,63 @@ def test_old_timestamp_encoding_reads_the_same(spark, base, tmp_path):
     pq.write_table(table, leaf / "new.parquet")
     found = sorted(r[0] for r in read_bronze(spark, base).select("tpep_pickup_datetime").collect())
     assert found == [when("1890-01-01T00:00:00")] * 2 + [when("2023-01-05T10:00:00")] * 2
+
+
+def test_types_that_differ_within_one_raw_month_lose_no_row(spark, base):
+    raw = f"{base}/raw/yellow_tripdata_2023-01.parquet"
+    for kind, value in (("int", 1), ("bigint", 2), ("double", 3.0)):
+        vendor(spark, kind, value).coalesce(1).write.mode("append").parquet(raw)
+    vendor(spark, "int", 9).write.parquet(f"{base}/raw/yellow_tripdata_2023-02.parquet")
+    spark.createDataFrame([(7.5,)], "trip_distance double").write.parquet(
+        f"{base}/raw/yellow_tripdata_2023-03.parquet"
+    )
+    ingest_bronze_months(spark, f"{base}/raw", f"{base}/bronze")
+    expected = [(1.0, 2023, 1), (2.0, 2023, 1), (3.0, 2023, 1), (9.0, 2023, 2), (None, 2023, 3)]
+    bronze = read_bronze(spark, f"{base}/bronze").select("VendorID", "year", "month")
+    assert rows(bronze) == expected
+    ingest_bronze(spark, raw, f"{base}/single")
+    assert rows(read_bronze(spark, f"{base}/single").select("VendorID")) == [(1.0,), (2.0,), (3.0,)]
+
+
+def test_files_without_a_suffix_are_read(spark, base):
+    import os
+
+    for root in (f"{base}/raw/yellow_tripdata_2023-01.parquet", f"{base}/{DATASET}/year=2023/month=2"):
+        vendor(spark, "bigint", 1).coalesce(1).write.parquet(root)
+        vendor(spark, "int", 2).coalesce(1).write.mode("append").parquet(root)
+        for i, path in enumerate(parquet_files(root)):
+            os.rename(path, f"{root}/part-{i:05d}")
+    ingest_bronze_months(spark, f"{base}/raw", base)
+    assert rows(read_bronze(spark, base).select("VendorID", "month")) == [
+        (1.0, 1),
+        (1.0, 2),
+        (2.0, 1),
+        (2.0, 2),
+    ]
+
+
+def test_months_of_one_schema_are_found_in_few_jobs(spark, base):
+    frame = vendor(spark, "bigint", 1).crossJoin(spark.range(80).select(F.col("id").alias("n")))
+    months = {"year": (F.col("n") / 12 + 2000).cast("int"), "month": (F.col("n") % 12 + 1).cast("int")}
+    write_months(frame.withColumns(months).drop("n"), f"{base}/{DATASET}", replace="all")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("schemas", "looking at footers")
+    bronze = read_bronze(spark, base)
+    jobs = len(tracker.getJobIdsForGroup("schemas"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 3 and bronze.count() == 80
+
+
+def test_bulk_ingest_parses_no_names_per_row(spark, base, monkeypatch):
+    """Months are literals: what is written has no expression over paths."""
+    from farelake.plans import jobs
+
+    vendor(spark, "bigint", 1).write.parquet(f"{base}/raw/yellow_tripdata_2023-01.parquet")
+    plans, write = [], jobs.write_month
+    monkeypatch.setattr(
+        jobs,
+        "write_month",
+        lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, *a),
+    )
+    ingest_bronze_months(spark, f"{base}/raw", f"{base}/bronze")
+    assert len(plans) == 1 and not any(word in plans[0] for word in ("regexp_", "url_decode"))
