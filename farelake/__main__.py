@@ -21,6 +21,11 @@ from farelake.streaming import KafkaTopic
 from farelake.streaming.topic import DEFAULT_BOOTSTRAP, DEFAULT_TOPIC
 
 
+def _month(text: str) -> tuple[int, int]:
+    year, month = text.split("-")
+    return int(year), int(month)
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="farelake")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -42,9 +47,9 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--topic", default=DEFAULT_TOPIC)
         sub.add_argument("--startingOffsets", default="earliest")
         sub.add_argument("--endingOffsets", default="latest")
-        sub.add_argument("--num_partitions", type=int, default=1)
+        sub.add_argument("--num_partitions", type=int, help="the first so many; default all")
         sub.add_argument("--min_tasks", type=int, help="split partitions into so many reads")
-        sub.add_argument("--failOnDataLoss", action="store_true")
+        sub.add_argument("--failOnDataLoss", action=argparse.BooleanOptionalAction, default=True)
         return sub
 
     def with_input(sub: argparse.ArgumentParser) -> argparse.ArgumentParser:
@@ -58,11 +63,14 @@ def _parser() -> argparse.ArgumentParser:
     job("bronze-all", "all raw months to Bronze", "raw_base", "bronze_base")
     silver = job("silver", "Bronze to Silver", "bronze_base", "silver_base")
     silver.add_argument("--pickup", default=PICKUP, help="column that dates a trip")
-    job("gold", "Silver to Gold and the warehouse", "silver_base", "gold_base", publishes=True)
+    gold = job("gold", "Silver to Gold and the warehouse", "silver_base", "gold_base", publishes=True)
     with_topic(job("topic-to-bronze", "all messages of a topic to Bronze", "bronze_base"))
     publish = with_topic(with_input(job("publish", "a raw month onto a topic")))
-    publish.add_argument("--limit", type=int, default=50_000, help="0 for all rows")
-    job("dq", "quality of Silver", "silver_base", publishes=True)
+    publish.add_argument("--limit", type=int, help="only the first so many rows")
+    dq = job("dq", "quality of a layer", publishes=True)
+    dq.add_argument("--layer", choices=("silver", "bronze"), default="silver")
+    dq.add_argument("--silver_base")
+    dq.add_argument("--bronze_base")
     job("evaluate", "totals over Gold", "gold_base", publishes=True)
     job("zones", "zone CSV into the warehouse", "input", publishes=True)
     layers = ("bronze_base", "silver_base", "gold_base")
@@ -71,7 +79,12 @@ def _parser() -> argparse.ArgumentParser:
     chain = with_topic(
         with_input(job("topic-batch", "raw month over a topic to Gold", *layers, publishes=True))
     )
-    chain.add_argument("--limit", type=int, default=40_000, help="0 for all rows")
+    chain.add_argument("--limit", type=int, help="only the first so many rows")
+    for sub in (gold, batch, chain):
+        sub.add_argument("--undated", type=_month, help="YYYY-MM to publish the null month under")
+    for sub in (silver, batch):
+        sub.add_argument("--skip_corrupt", action="store_true", help="skip broken files")
+    batch.add_argument("--rebuild", action="store_true", help="all months, not only those touched")
     job("evaluation", "dq, then evaluate", "silver_base", "gold_base", publishes=True)
     return parser
 
@@ -114,18 +127,22 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
             return plans.ingest_bronze_months(spark, args.raw_base, args.bronze_base, dataset)
         case "silver":
             return plans.build_silver(
-                spark, args.bronze_base, args.silver_base, dataset, args.pickup
+                spark, args.bronze_base, args.silver_base, dataset, args.pickup, args.skip_corrupt
             )
         case "gold":
             return plans.build_gold(
-                spark, args.silver_base, args.gold_base, _warehouse(args), dataset
+                spark, args.silver_base, args.gold_base, _warehouse(args), dataset, args.undated
             )
         case "topic-to-bronze":
-            return plans.ingest_topic(spark, _topic(args), args.bronze_base, dataset)
+            return plans.ingest_topic(spark, _topic(args), args.bronze_base, f"{dataset}_topic")
         case "publish":
             return plans.publish_topic(spark, _input(args), _topic(args), args.limit)
         case "dq":
-            return plans.score_silver(spark, args.silver_base, _warehouse(args), dataset)
+            score = {"silver": plans.score_silver, "bronze": plans.score_bronze}[args.layer]
+            base = {"silver": args.silver_base, "bronze": args.bronze_base}[args.layer]
+            if not base:
+                raise SystemExit(f"give --{args.layer}_base")
+            return score(spark, base, _warehouse(args), dataset)
         case "evaluate":
             return plans.evaluate_gold(spark, args.gold_base, _warehouse(args))
         case "zones":
@@ -140,6 +157,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
                 _warehouse(args),
                 dataset,
                 args.pickup,
+                args.undated,
+                args.skip_corrupt,
+                args.rebuild,
             )
         case "topic-batch":
             return plans.run_topic_batch(
@@ -150,8 +170,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
                 args.silver_base,
                 args.gold_base,
                 _warehouse(args),
-                dataset,
+                f"{dataset}_topic",
                 args.limit,
+                args.undated,
             )
         case "evaluation":
             return plans.run_evaluation(

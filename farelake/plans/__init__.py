@@ -1,8 +1,9 @@
 """Jobs that read, transform and write, and chains of them."""
 
-from farelake.plans.chains import run_batch, run_evaluation, run_topic_batch
+from farelake.plans.chains import run_batch, run_batch_all, run_evaluation, run_topic_batch
 from farelake.plans.jobs import (
     GoldStatus,
+    SilverBuild,
     build_gold,
     build_silver,
     evaluate_gold,
@@ -12,12 +13,15 @@ from farelake.plans.jobs import (
     ingest_topic,
     load_zone_lookup,
     new_run,
+    pickup_months,
     publish_topic,
+    score_bronze,
     score_silver,
 )
 
 __all__ = [
     "GoldStatus",
+    "SilverBuild",
     "build_gold",
     "build_silver",
     "evaluate_gold",
@@ -27,9 +31,12 @@ __all__ = [
     "ingest_topic",
     "load_zone_lookup",
     "new_run",
+    "pickup_months",
     "publish_topic",
     "run_batch",
+    "run_batch_all",
     "run_evaluation",
     "run_topic_batch",
+    "score_bronze",
     "score_silver",
 ]

@@ -2,24 +2,54 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from farelake.functions.months import month_of_name
 from farelake.operators.clean import PICKUP
 from farelake.plans.jobs import (
     GoldStatus,
+    Month,
     build_gold,
     build_silver,
     evaluate_gold,
     ingest_bronze,
+    ingest_bronze_months,
     ingest_topic,
+    pickup_months,
     publish_topic,
     score_silver,
 )
-from farelake.schemas import DEFAULT_DATASET
+from farelake.schemas import DEFAULT_DATASET, TOPIC_DATASET
 from farelake.sinks import Warehouse
+from farelake.sources import read_bronze, read_gold, read_inputs, read_silver
 from farelake.streaming import Topic
 
 
+def _exists(read, *args) -> bool:
+    try:
+        read(*args)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def _months_in_bronze(
+    spark: SparkSession, bronze_base: str, dataset: str, pickup: str, month: Month
+) -> set[Month]:
+    """Pickup months of what a month of Bronze holds now."""
+    if not _exists(read_bronze, spark, bronze_base, dataset):
+        return set()
+    bronze = read_bronze(spark, bronze_base, dataset, rename={pickup: PICKUP})
+    here = F.lit(True)
+    for name, value in zip(("year", "month"), month):
+        here = here & F.col(name).eqNullSafe(F.lit(value).cast("int"))
+    return pickup_months(bronze.where(here))
+
+
 def run_batch(
     spark: SparkSession,
     input_path: str,
@@ -29,11 +59,45 @@ def run_batch(
     warehouse: Warehouse,
     dataset: str = DEFAULT_DATASET,
     pickup: str = PICKUP,
+    undated: Month | None = None,
+    skip_corrupt: bool = False,
+    rebuild: bool = False,
 ) -> GoldStatus:
-    """One raw month through Bronze, Silver and Gold."""
+    """One raw month through Bronze, Silver and Gold.
+
+    Where Silver and Gold exist, only months are rebuilt that the new file or the
+    Bronze month it replaces has pickups in. ``rebuild`` builds them all, as is
+    needed where Bronze was changed by other means.
+    """
+    stored = _exists(read_silver, spark, silver_base, dataset) and _exists(
+        read_gold, spark, gold_base
+    )
+    months = None
+    if stored and not rebuild:
+        month = month_of_name(input_path)
+        months = _months_in_bronze(spark, bronze_base, dataset, pickup, month)
+        months |= pickup_months(read_inputs(spark, [input_path])[input_path], pickup)
     ingest_bronze(spark, input_path, bronze_base, dataset)
-    build_silver(spark, bronze_base, silver_base, dataset, pickup)
-    return build_gold(spark, silver_base, gold_base, warehouse, dataset)
+    build_silver(spark, bronze_base, silver_base, dataset, pickup, skip_corrupt, months)
+    return build_gold(spark, silver_base, gold_base, warehouse, dataset, undated, months)
+
+
+def run_batch_all(
+    spark: SparkSession,
+    raw_base: str,
+    bronze_base: str,
+    silver_base: str,
+    gold_base: str,
+    warehouse: Warehouse,
+    dataset: str = DEFAULT_DATASET,
+    pickup: str = PICKUP,
+    undated: Month | None = None,
+    skip_corrupt: bool = False,
+) -> GoldStatus:
+    """All raw months of a dataset through Bronze, Silver and Gold."""
+    ingest_bronze_months(spark, raw_base, bronze_base, dataset)
+    build_silver(spark, bronze_base, silver_base, dataset, pickup, skip_corrupt)
+    return build_gold(spark, silver_base, gold_base, warehouse, dataset, undated)
 
 
 def run_topic_batch(
@@ -44,14 +108,19 @@ def run_topic_batch(
     silver_base: str,
     gold_base: str,
     warehouse: Warehouse,
-    dataset: str = DEFAULT_DATASET,
-    limit: int | None = 40_000,
+    dataset: str = TOPIC_DATASET,
+    limit: int | None = None,
+    undated: Month | None = None,
 ) -> GoldStatus:
-    """One raw month onto a topic, and the topic through Bronze, Silver and Gold."""
+    """One raw month onto a topic, and the topic through Bronze, Silver and Gold.
+
+    Messages go into a dataset of their own: they lack columns that raw files have,
+    and a topic may hold less than a month.
+    """
     publish_topic(spark, input_path, topic, limit)
     ingest_topic(spark, topic, bronze_base, dataset)
     build_silver(spark, bronze_base, silver_base, dataset)
-    return build_gold(spark, silver_base, gold_base, warehouse, dataset)
+    return build_gold(spark, silver_base, gold_base, warehouse, dataset, undated)
 
 
 def run_evaluation(
@@ -60,7 +129,9 @@ def run_evaluation(
     gold_base: str,
     warehouse: Warehouse,
     dataset: str = DEFAULT_DATASET,
+    runs: tuple[tuple[str, int], tuple[str, int]] | None = None,
 ) -> None:
-    """Quality of Silver, then totals over Gold."""
-    score_silver(spark, silver_base, warehouse, dataset)
-    evaluate_gold(spark, gold_base, warehouse)
+    """Quality of Silver, then totals over Gold; ``runs`` names and dates the two records."""
+    scored, summed = runs or (None, None)
+    score_silver(spark, silver_base, warehouse, dataset, scored)
+    evaluate_gold(spark, gold_base, warehouse, summed)

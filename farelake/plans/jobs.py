@@ -4,31 +4,40 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from enum import Enum
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from farelake.functions.months import month_columns, month_of_name
+from farelake.functions.months import month_of_name
 from farelake.operators import clean_trips, monthly_kpis, profile, summarise_gold
 from farelake.operators.clean import PICKUP
-from farelake.schemas import DEFAULT_DATASET, FACT_TRIPS_MONTHLY, GOLD_TABLE
+from farelake.schemas import DEFAULT_DATASET, FACT_TRIPS_MONTHLY, GOLD_TABLE, TOPIC_DATASET
 from farelake.sinks import Warehouse, spread_by_month, write_month, write_months
 from farelake.sources import (
-    below,
     first_rows,
     raw_inputs,
     read_bronze,
+    read_gold,
     read_gold_or_empty,
+    read_inputs,
     read_raw,
     read_silver,
     read_zone_csv,
-    scanned_path,
-    schema_groups,
+    skipped_files,
 )
 from farelake.streaming import Topic, decode_trips, encode
 
 
+#: Year and month, both null for trips without a pickup.
+Month = tuple[int | None, int | None]
+
+_MONTHS_AT_ONCE = 8
+
+
 class GoldStatus(Enum):
     """What became of a Gold build."""
 
@@ -46,18 +55,23 @@ def ingest_bronze(
 ) -> str:
     """One raw month into Bronze; its month is read from the name of the input.
 
-    Columns and types stay as they are in the file. Returns the path written.
+    Columns and types stay as they are in the file; where files of the month differ
+    in the type of a column, it gets the widest. Returns the path written.
     """
-    year, month = month_of_name(input_path)
-    return write_month(read_raw(spark, input_path), f"{bronze_base}/{dataset}", year, month)
+    rows = read_inputs(spark, [input_path])[input_path]
+    return write_month(rows, f"{bronze_base}/{dataset}", *month_of_name(input_path))
 
 
 def ingest_bronze_months(
     spark: SparkSession, raw_base: str, bronze_base: str, dataset: str = DEFAULT_DATASET
 ) -> list[str]:
-    """All raw months of a dataset into Bronze, as few jobs as they have schemas.
+    """All raw months of a dataset into Bronze. Returns the inputs.
 
-    Tasks write where they read: nothing is shuffled. Returns the inputs.
+    The inputs' footers are merged in one look. Every month is then written on its
+    own, several at a time, straight into its directory: tasks write where they
+    read, nothing is shuffled or sorted, and no row is parsed for its month. Files of
+    one month whose types differ are brought to the widest and written together. A
+    month has the columns of all inputs of its schema; those it lacks are null.
     """
     inputs = raw_inputs(spark, raw_base, dataset)
     if not inputs:
@@ -67,31 +81,94 @@ def ingest_bronze_months(
         other = named.setdefault(month_of_name(path), path)
         if other != path:
             raise ValueError(f"{other} and {path} are the same month; Bronze keeps one input each")
-    months = month_columns(below(raw_base, scanned_path()), f"^[^/]*{dataset}[^/]*?")
-    for schema, paths in schema_groups(spark, inputs):
-        rows = read_raw(spark, *paths, schema=schema).withColumns(months)
-        write_months(rows, f"{bronze_base}/{dataset}", replace="present")
+    frames = read_inputs(spark, inputs)
+    root = f"{bronze_base}/{dataset}"
+    with ThreadPoolExecutor(_MONTHS_AT_ONCE) as pool:
+        list(pool.map(lambda path: write_month(frames[path], root, *month_of_name(path)), inputs))
     return inputs
 
 
+class SilverBuild(NamedTuple):
+    """Where Silver was written, and the Bronze files that were skipped as corrupt."""
+
+    path: str
+    skipped: list[str]
+
+
+def pickup_months(trips: DataFrame, pickup: str = PICKUP) -> set[Month]:
+    """Months of the pickups of some trips; (None, None) for trips without one.
+
+    Reads one column. Text that is no time counts as without one, as in Silver.
+    """
+    names = {name.lower(): name for name in trips.columns}
+    if pickup.lower() not in names:
+        return {(None, None)}
+    day = F.col(names[pickup.lower()]).try_cast("timestamp").cast("date")
+    months = trips.select(F.year(day).alias("year"), F.month(day).alias("month")).distinct()
+    return {(row.year, row.month) for row in months.collect()}
+
+
+def _picked_up_in(months: set[Month]) -> Column:
+    """A filter on the pickup that reaches the scan."""
+    found = F.lit(False)
+    for year, month in sorted(months, key=str):
+        if year is None:
+            found = found | F.col(PICKUP).isNull()
+            continue
+        after = (year, month + 1) if month < 12 else (year + 1, 1)
+        since, until = (F.expr(f"TIMESTAMP '{y:04d}-{m:02d}-01'") for y, m in ((year, month), after))
+        found = found | ((F.col(PICKUP) >= since) & (F.col(PICKUP) < until))
+    return found
+
+
+def _dated_in(months: set[Month]) -> Column:
+    """A filter on the partition columns."""
+    found = F.lit(False)
+    for year, month in sorted(months, key=str):
+        if year is None:
+            found = found | F.col("year").isNull()
+        else:
+            found = found | ((F.col("year") == year) & (F.col("month") == month))
+    return found
+
+
+def _replace_months(
+    spark: SparkSession, rows: DataFrame, path: str, months: set[Month], left: set[Month]
+) -> None:
+    """Overwrite some months; those without rows any more are overwritten with none."""
+    write_months(rows, path, replace="present")
+    fields = [field for field in rows.schema if field.name not in ("year", "month")]
+    for year, month in months - left:
+        write_month(spark.createDataFrame([], StructType(fields)), path, year, month)
+
+
 def build_silver(
     spark: SparkSession,
     bronze_base: str,
     silver_base: str,
     dataset: str = DEFAULT_DATASET,
     pickup: str = PICKUP,
-) -> str:
-    """All of Silver from all of Bronze. Returns the path written.
+    skip_corrupt: bool = False,
+    months: set[Month] | None = None,
+) -> SilverBuild:
+    """Silver from Bronze: all of it, or some pickup ``months`` and nothing else.
 
     ``pickup`` names the column of the raw files that dates a trip; Silver keeps
-    it under the name of its contract.
+    it under the name of its contract. With ``skip_corrupt``, broken files are left
+    out and named in the result.
 
     Silver is laid out by pickup month and Bronze by file month, which agree for
     nearly all rows: those are written by the task that read them. Only rows
-    that move to another month, or to none, are shuffled.
+    that move to another month, or to none, are shuffled. For some months Bronze is
+    read with their pickup ranges pushed into the scan, whatever month the files
+    belong to.
     """
     path = f"{silver_base}/{dataset}"
-    bronze = read_bronze(spark, bronze_base, dataset, rename={pickup: PICKUP})
+    bronze = read_bronze(
+        spark, bronze_base, dataset, rename={pickup: PICKUP}, skip_corrupt=skip_corrupt
+    )
+    if months is not None:
+        bronze = bronze.where(_picked_up_in(months))
     cleaned = clean_trips(
         bronze.withColumnsRenamed({"year": "file_year", "month": "file_month"})
     )
@@ -99,8 +176,14 @@ def build_silver(
         F.col("file_month")
     )
     rows = cleaned.where(at_home).unionByName(spread_by_month(cleaned.where(~at_home)))
-    write_months(rows.drop("file_year", "file_month"), path, replace="all")
-    return path
+    rows = rows.drop("file_year", "file_month")
+    if months is None:
+        write_months(rows, path, replace="all")
+    else:
+        left = {(r.year, r.month) for r in cleaned.select("year", "month").distinct().collect()}
+        _replace_months(spark, rows, path, months, left)
+    skipped = skipped_files(spark, bronze_base, dataset).collect() if skip_corrupt else []
+    return SilverBuild(path, sorted(row.path for row in skipped))
 
 
 def build_gold(
@@ -109,18 +192,33 @@ def build_gold(
     gold_base: str,
     warehouse: Warehouse,
     dataset: str = DEFAULT_DATASET,
+    undated: Month | None = None,
+    months: set[Month] | None = None,
 ) -> GoldStatus:
     """Monthly KPIs from Silver into Gold and from there into the warehouse.
 
-    The aggregate leaves each month in one task, so each month is one file. The
+    All months are built, or some ``months`` from their Silver directories. The
+    aggregate leaves each month in one task, so each month is one file. The
     warehouse is filled from the files just written: the aggregate runs once,
     and a lost executor cannot make it run again.
+
+    Gold keeps the KPIs of trips without a pickup under a null month. The serving
+    table's key allows none: they are published under the year and month that
+    ``undated`` gives; without it they stop the job before the table is touched.
     """
     silver = read_silver(spark, silver_base, dataset)
     if silver.isEmpty():
         return GoldStatus.SILVER_EMPTY
-    write_months(monthly_kpis(silver), f"{gold_base}/{GOLD_TABLE}", replace="all")
-    published = read_gold_or_empty(spark, gold_base).select(*FACT_TRIPS_MONTHLY.names)
+    path = f"{gold_base}/{GOLD_TABLE}"
+    if months is None:
+        write_months(monthly_kpis(silver), path, replace="all")
+    else:
+        touched = silver.where(_dated_in(months))
+        left = {(r.year, r.month) for r in touched.select("year", "month").distinct().collect()}
+        _replace_months(spark, monthly_kpis(touched), path, months, left)
+    published = read_gold(spark, gold_base).select(*FACT_TRIPS_MONTHLY.names)
+    if undated is not None:
+        published = published.fillna(dict(zip(("year", "month"), undated)))
     warehouse.replace(published, "fact_trips_monthly")
     return GoldStatus.WRITTEN
 
@@ -135,17 +233,23 @@ def ingest_messages(
 
 
 def ingest_topic(
-    spark: SparkSession, topic: Topic, bronze_base: str, dataset: str = DEFAULT_DATASET
+    spark: SparkSession, topic: Topic, bronze_base: str, dataset: str = TOPIC_DATASET
 ) -> str:
-    """Everything a topic holds into Bronze."""
+    """Everything a topic holds into Bronze.
+
+    Whole months are overwritten, so a topic that is read in part is refused.
+    """
+    if not topic.whole:
+        raise ValueError("months would lose the messages outside the offsets; read the whole topic")
     return ingest_messages(topic.read(spark), bronze_base, dataset)
 
 
 def publish_topic(
-    spark: SparkSession, input_path: str, topic: Topic, limit: int | None = 50_000
+    spark: SparkSession, input_path: str, topic: Topic, limit: int | None = None
 ) -> None:
-    """The first ``limit`` rows of a raw month, or all, onto a topic."""
-    topic.write(encode(first_rows(read_raw(spark, input_path), limit)))
+    """All rows of a raw month, or the first ``limit``, onto a topic."""
+    rows = read_raw(spark, input_path) if limit else read_inputs(spark, [input_path])[input_path]
+    topic.write(encode(first_rows(rows, limit)))
 
 
 def score_silver(
@@ -160,6 +264,18 @@ def score_silver(
     warehouse.append(scored, "dq_results")
 
 
+def score_bronze(
+    spark: SparkSession,
+    bronze_base: str,
+    warehouse: Warehouse,
+    dataset: str = DEFAULT_DATASET,
+    run: tuple[str, int] | None = None,
+) -> None:
+    """Quality of Bronze, before its filters, added to the results of earlier runs."""
+    scored = profile(read_bronze(spark, bronze_base, dataset), *(run or new_run()))
+    warehouse.append(scored, "dq_results")
+
+
 def evaluate_gold(
     spark: SparkSession,
     gold_base: str,

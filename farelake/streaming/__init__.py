@@ -1,6 +1,7 @@
 """The message topic, read and written as a bounded batch."""
 
 from farelake.streaming.topic import (
+    FileTopic,
     KafkaTopic,
     Topic,
     decode,
@@ -9,4 +10,4 @@ from farelake.streaming.topic import (
     peek,
 )
 
-__all__ = ["KafkaTopic", "Topic", "decode", "decode_trips", "encode", "peek"]
+__all__ = ["FileTopic", "KafkaTopic", "Topic", "decode", "decode_trips", "encode", "peek"]

@@ -30,6 +30,12 @@ CLIENT_OPTIONS = {
     "kafka.reconnect.backoff.max.ms": "10000",
     "kafka.retry.backoff.ms": "3000",
 }
+# Time-outs and waits of the client that writes.
+PRODUCER_OPTIONS = {
+    "kafka.request.timeout.ms": "60000",
+    "kafka.max.block.ms": "180000",
+    "kafka.connections.max.idle.ms": "300000",
+}
 DEFAULT_BOOTSTRAP = "kafka:9092"
 DEFAULT_TOPIC = "trips_raw"
 
@@ -39,6 +45,10 @@ _TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
 class Topic(Protocol):
     """Something messages are written to and read from."""
 
+    @property
+    def whole(self) -> bool:
+        """Whether a read gives all messages the topic holds."""
+
     def read(self, spark: SparkSession) -> DataFrame:
         """All messages with their envelope."""
 
@@ -48,26 +58,36 @@ class Topic(Protocol):
 
 @dataclass(frozen=True)
 class KafkaTopic:
-    """A Kafka topic read by explicit partition assignment, without a consumer group.
+    """A Kafka topic, read without committing offsets of a consumer group.
 
+    All partitions are read, or the first ``num_partitions`` by explicit assignment
+    where that is given. Messages that are gone before they are read stop the job.
     A partition is one task unless ``min_tasks`` asks for more; partitions are
     then split by offsets, so one that holds most messages is not one task.
     """
 
     bootstrap: str = DEFAULT_BOOTSTRAP
     topic: str = DEFAULT_TOPIC
-    num_partitions: int = 1
+    num_partitions: int | None = None
     starting_offsets: str = "earliest"
     ending_offsets: str = "latest"
-    fail_on_data_loss: bool = False
+    fail_on_data_loss: bool = True
     min_tasks: int | None = None
 
+    @property
+    def whole(self) -> bool:
+        return self.starting_offsets == "earliest" and self.ending_offsets == "latest"
+
     def read_options(self) -> dict[str, str]:
         """Options of the bounded read."""
         split = {"minPartitions": str(self.min_tasks)} if self.min_tasks else {}
+        if self.num_partitions is None:
+            partitions = {"subscribe": self.topic}
+        else:
+            partitions = {"assign": json.dumps({self.topic: list(range(self.num_partitions))})}
         return {
             "kafka.bootstrap.servers": self.bootstrap,
-            "assign": json.dumps({self.topic: list(range(self.num_partitions))}),
+            **partitions,
             "startingOffsets": self.starting_offsets,
             "endingOffsets": self.ending_offsets,
             "failOnDataLoss": str(self.fail_on_data_loss).lower(),
@@ -77,7 +97,11 @@ class KafkaTopic:
 
     def write_options(self) -> dict[str, str]:
         """Options of the write; messages have no key, so partitions take turns."""
-        return {"kafka.bootstrap.servers": self.bootstrap, "topic": self.topic}
+        return {
+            "kafka.bootstrap.servers": self.bootstrap,
+            "topic": self.topic,
+            **PRODUCER_OPTIONS,
+        }
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.format("kafka").options(**self.read_options()).load()
@@ -86,6 +110,21 @@ class KafkaTopic:
         messages.select("value").write.format("kafka").options(**self.write_options()).save()
 
 
+@dataclass(frozen=True)
+class FileTopic:
+    """Messages as Parquet files, for use without a broker."""
+
+    path: str
+    whole: bool = True
+
+    def write(self, messages: DataFrame) -> None:
+        value = F.col("value").cast("binary").alias("value")
+        messages.select(value).write.mode("append").parquet(self.path)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema("value binary").parquet(self.path)
+
+
 def encode(df: DataFrame) -> DataFrame:
     """Each row as one JSON object in ``value``.
 

@@ -2,30 +2,28 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
 
 import pytest
-from helpers import rows, when
-from pyspark.sql import functions as F
+from helpers import parquet_files, plan, rows, when
 
 from farelake import __main__ as cli
-from farelake.plans import GoldStatus, load_zone_lookup, run_batch, run_evaluation, run_topic_batch
+from farelake.plans import (
+    GoldStatus,
+    build_silver,
+    ingest_bronze,
+    ingest_topic,
+    load_zone_lookup,
+    run_batch,
+    run_batch_all,
+    run_evaluation,
+    run_topic_batch,
+)
+from farelake.schemas import TOPIC_DATASET
 from farelake.session import scratch_path
 from farelake.sinks import FileWarehouse
-from farelake.sources import read_bronze
-
-
-@dataclass
-class FileTopic:
-    """A topic kept as Parquet files."""
-
-    path: str
-
-    def write(self, messages):
-        messages.select(F.col("value").cast("binary").alias("value")).write.mode("append").parquet(self.path)
-
-    def read(self, spark):
-        return spark.read.parquet(self.path)
+from farelake.sources import read_bronze, read_silver
+from farelake.streaming import FileTopic, KafkaTopic
 
 
 @pytest.fixture
@@ -62,7 +60,8 @@ def test_topic_chain_equals_the_batch_on_what_messages_carry(spark, base, raw):
     topic = FileTopic(f"{base}/topic")
     assert run_topic_batch(spark, raw, topic, *bases(base)) is GoldStatus.WRITTEN
     assert rows(bases(base)[3].read(spark, "fact_trips_monthly")) == FACT
-    assert rows(read_bronze(spark, f"{base}/bronze").groupBy("year", "month").count()) == [
+    bronze = read_bronze(spark, f"{base}/bronze", TOPIC_DATASET)
+    assert rows(bronze.groupBy("year", "month").count()) == [
         (2022, 12, 1),
         (2023, 1, 4),
     ]
@@ -141,3 +140,110 @@ def test_scratch_is_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first.startswith(shared) and first != second
+
+
+def test_topic_chain_leaves_the_batch_months_alone(spark, base, raw):
+    run_batch(spark, raw, *bases(base))
+    before = rows(read_bronze(spark, f"{base}/bronze"))
+    assert len(before) == 5 and {r[0] for r in before} == {1.0, 2.0}
+    run_topic_batch(spark, raw, FileTopic(f"{base}/topic"), *bases(base))
+    assert rows(read_bronze(spark, f"{base}/bronze")) == before
+
+
+def test_a_topic_read_in_part_is_refused(spark, base):
+    for topic in (KafkaTopic(starting_offsets="latest"), FileTopic(f"{base}/topic", whole=False)):
+        with pytest.raises(ValueError, match="whole topic"):
+            ingest_topic(spark, topic, f"{base}/bronze")
+    assert KafkaTopic().whole
+
+
+def test_empty_or_repeated_zone_ids_leave_the_table(spark, base, tmp_path):
+    warehouse = FileWarehouse(f"{base}/warehouse")
+    (tmp_path / "good.csv").write_text(ZONES)
+    load_zone_lookup(spark, f"{base}/good.csv", warehouse)
+    for name, row in (("null", ",x,y,z\n"), ("twice", "2,x,y,z\n"), ("text", "two,x,y,z\n")):
+        (tmp_path / f"{name}.csv").write_text(ZONES + row)
+        with pytest.raises(Exception):
+            load_zone_lookup(spark, f"{base}/{name}.csv", warehouse)
+        assert warehouse.read(spark, "taxi_zone_lookup").count() == 2
+
+
+SCHEMA = (
+    "VendorID bigint, tpep_pickup_datetime timestamp_ntz, trip_distance double, "
+    "fare_amount double, tip_amount double"
+)
+
+
+def month_file(spark, base, month, trips):
+    """A raw month of (pickup, tip) trips."""
+    path = f"{base}/raw/yellow_tripdata_2023-{month:02d}.parquet"
+    data = [(1, when(t) if t else None, 1.0, 2.0, tip) for t, tip in trips]
+    spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+    return path
+
+
+def test_one_new_month_equals_a_full_rebuild(spark, base):
+    """Strays in other files, null pickups, and months that lose all their rows."""
+    files = {
+        1: [("2023-01-05T00:00:00", 1.0), ("2023-02-01T00:00:00", 2.0), ("2022-07-01T00:00:00", 9.0)],
+        2: [("2023-02-05T00:00:00", 3.0), ("2023-01-31T23:59:59", 4.0), (None, 5.0)],
+        3: [("2023-03-05T00:00:00", 6.0), (None, 7.0)],
+    }
+    for month, trips in files.items():
+        month_file(spark, base, month, trips)
+    layers, undated = bases(base), (1900, 1)
+    run_batch_all(spark, f"{base}/raw", *layers, undated=undated)
+    untouched = parquet_files(f"{base}/silver/yellow_tripdata/year=2023/month=3")
+    path = month_file(spark, base, 1, [("2023-02-02T00:00:00", 8.0), ("2023-01-06T00:00:00", 1.5)])
+    assert run_batch(spark, path, *layers, undated=undated) is GoldStatus.WRITTEN
+    assert parquet_files(f"{base}/silver/yellow_tripdata/year=2023/month=3") == untouched
+    other = bases(f"{base}/other")
+    run_batch_all(spark, f"{base}/raw", *other, undated=undated)
+    silver = [rows(read_silver(spark, s)) for s in (layers[1], other[1])]
+    assert silver[0] == silver[1] and len(silver[0]) == 7
+    facts = [rows(w.read(spark, "fact_trips_monthly")) for w in (layers[3], other[3])]
+    assert facts[0] == facts[1] and [f[:3] for f in facts[0]] == [
+        (1900, 1, 2),
+        (2023, 1, 2),
+        (2023, 2, 2),
+        (2023, 3, 1),
+    ]
+    again = month_file(spark, base, 3, [("2023-03-06T00:00:00", 6.5)])
+    run_batch(spark, again, *layers, undated=undated)
+    assert rows(layers[3].read(spark, "fact_trips_monthly"))[0][:3] == (1900, 1, 1)
+    run_batch(spark, again, *layers, undated=undated, rebuild=True)
+    assert rows(layers[3].read(spark, "fact_trips_monthly"))[0][:3] == (1900, 1, 1)
+
+
+def test_silver_of_one_month_pushes_its_range(spark, base, capsys):
+    from farelake.plans.jobs import _dated_in, _picked_up_in
+
+    ingest_bronze(spark, month_file(spark, base, 1, [("2023-01-05T00:00:00", 1.0)]), base)
+    build_silver(spark, base, f"{base}/silver")
+    frame = spark.read.schema("tpep_pickup_datetime timestamp").parquet(f"{base}/yellow_tripdata")
+    text = plan(frame.where(_picked_up_in({(2023, 1)})), capsys)
+    assert "GreaterThanOrEqual(tpep_pickup_datetime" in text and "LessThan(" in text
+    text = plan(read_silver(spark, f"{base}/silver").where(_dated_in({(2023, 1), (None, None)})), capsys)
+    assert re.search(r"PartitionFilters: \[.*2023.*isnull\(year", text)
+
+
+def test_corrupt_files_are_named_by_the_build(spark, base, raw):
+    ingest_bronze(spark, raw, f"{base}/bronze")
+    broken = f"{base}/bronze/yellow_tripdata/year=2023/month=1/broken"
+    with open(broken, "wb") as file:
+        file.write(b"PAR1 not a file PAR1")
+    with pytest.raises(Exception):
+        build_silver(spark, f"{base}/bronze", f"{base}/silver")
+    built = build_silver(spark, f"{base}/bronze", f"{base}/silver", skip_corrupt=True)
+    assert built.skipped == [f"file:{broken}"] and read_silver(spark, f"{base}/silver").count() == 3
+
+
+def test_command_line_defaults_lose_nothing(spark, base, raw):
+    parse = cli._parser().parse_args
+    args = parse(["publish", f"--input={raw}"])
+    assert args.limit is None and args.num_partitions is None and args.failOnDataLoss
+    assert not parse(["publish", f"--input={raw}", "--no-failOnDataLoss"]).failOnDataLoss
+    cli.run(spark, parse(["bronze", f"--input={raw}", f"--bronze_base={base}/bronze"]))
+    dq = ["dq", "--layer=bronze", f"--bronze_base={base}/bronze", f"--warehouse_base={base}/w"]
+    cli.run(spark, parse(dq))
+    assert FileWarehouse(f"{base}/w").read(spark, "dq_results").first().rows_total == 5

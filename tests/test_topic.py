@@ -25,15 +25,19 @@ def test_read_options_assign_partitions():
     options = KafkaTopic("broker:9092", "trips", num_partitions=3).read_options()
     assert json.loads(options["assign"]) == {"trips": [0, 1, 2]}
     assert options["startingOffsets"] == "earliest" and options["endingOffsets"] == "latest"
-    assert options["failOnDataLoss"] == "false" and "subscribe" not in options
+    assert options["failOnDataLoss"] == "true" and "subscribe" not in options
     assert len([name for name in options if name.endswith(".ms")]) == 7
     assert "minPartitions" not in options
     assert KafkaTopic(min_tasks=64).read_options()["minPartitions"] == "64"
-    assert KafkaTopic(fail_on_data_loss=True).read_options()["failOnDataLoss"] == "true"
+    assert KafkaTopic(fail_on_data_loss=False).read_options()["failOnDataLoss"] == "false"
+    every = KafkaTopic("b:1", "t").read_options()
+    assert every["subscribe"] == "t" and "assign" not in every
 
 
 def test_write_options():
-    assert KafkaTopic("b:1", "t").write_options() == {"kafka.bootstrap.servers": "b:1", "topic": "t"}
+    options = KafkaTopic("b:1", "t").write_options()
+    assert options["kafka.bootstrap.servers"] == "b:1" and options["topic"] == "t"
+    assert options["kafka.max.block.ms"] == "180000" and len(options) == 5
 
 
 def test_bad_json_and_null_values_give_nulls(spark):
