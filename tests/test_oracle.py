@@ -8,6 +8,8 @@ import pytest
 from oracle_compare import connect, differences
 
 import __spark_entry__ as entry_points
+from workload.oracle import ORACLE_SQL
+from workload.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,7 +20,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 def test_entry_is_the_monthly_kpis(spark):
@@ -27,7 +30,7 @@ def test_entry_is_the_monthly_kpis(spark):
     assert result.count() == 84
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    result = entry_points.queries()[name](spark, SF_DIR)
-    assert differences(result, con, entry_points.oracle_sql()[name]) == []
+    result = QUERIES[name](spark, SF_DIR)
+    assert differences(result, con, ORACLE_SQL[name]) == []

@@ -132,9 +132,39 @@ WITH runs AS (
 
 _COLOR = "CASE o_orderstatus WHEN 'O' THEN 'yellow' WHEN 'F' THEN 'green' ELSE 'fhv' END"
 
+_METRICS = f"""
+SELECT {_RUN},
+  (SELECT count(*) FROM (SELECT DISTINCT year, month FROM gold)) AS months_covered,
+  count(*) AS rows_gold,
+  CAST(sum(trips) AS DOUBLE) AS trips_total,
+  {_money('total_fare')} AS fare_total,
+  {_money('total_tip')} AS tip_total,
+  {_mean('avg_distance')} AS avg_distance_over_months
+FROM gold
+"""
+
+
+def _records(scored: str) -> str:
+    """The scorecard of one layer and the metrics of Gold, all columns of both."""
+    return f"""
+SELECT 'dq_results' AS record, * FROM (WITH {_RAW}, {_SILVER} {_scorecard(scored, _TRIP_RULES)})
+UNION ALL BY NAME
+SELECT 'metrics_pipeline_runs' AS record, * FROM ({_LAYERS} {_METRICS})
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "gold_monthly_kpis": f"{_LAYERS} SELECT * FROM gold",
     "bronze_ingest": f"WITH {_RAW} SELECT * FROM trips",
+    "bronze_ingest_month": f"""
+WITH {_RAW} SELECT * REPLACE (1995 AS year, 1 AS month) FROM trips
+""",
+    "bronze_ingest_mixed": f"""
+WITH {_RAW}
+SELECT * REPLACE (2001 AS year, 1 AS month) FROM trips WHERE year <= 1996
+UNION ALL BY NAME
+SELECT {_PAYLOAD}, {_NOT_SENT}, 2001 AS year, 2 AS month FROM trips WHERE year > 1996
+""",
     "bronze_conform": f"""
 WITH {_RAW}
 SELECT * FROM trips WHERE year < 2000
@@ -160,24 +190,19 @@ FROM names GROUP BY name
 """,
     "silver_clean": f"WITH {_RAW}, {_SILVER} SELECT * FROM silver",
     "silver_write": f"WITH {_RAW}, {_SILVER} SELECT * FROM silver",
+    "silver_incremental": f"""
+WITH {_RAW.replace('FROM lineitem', 'FROM lineitem WHERE NOT (year(l_shipdate) = 1995 AND month(l_shipdate) = 3 AND l_linenumber <= 2)')}, {_SILVER}
+SELECT * FROM silver
+""",
     "gold_publish": f"{_LAYERS} SELECT * FROM gold",
     "dq_profile": f"WITH {_RAW} {_scorecard('trips', _TRIP_RULES)}",
     "dq_score_silver": f"WITH {_RAW}, {_SILVER} {_scorecard('silver', _TRIP_RULES)}",
+    "dq_score_bronze": f"WITH {_RAW} {_scorecard('trips', _TRIP_RULES)}",
     "dq_account_balance": f"""
 WITH accounts AS (SELECT * FROM customer) {_scorecard('accounts', _BALANCE_RULES)}
 """,
     "dq_failed_runs": f"{_RUNS} SELECT * FROM runs WHERE passed = 0",
-    "eval_gold": f"""
-{_LAYERS}
-SELECT {_RUN},
-  (SELECT count(*) FROM (SELECT DISTINCT year, month FROM gold)) AS months_covered,
-  count(*) AS rows_gold,
-  CAST(sum(trips) AS DOUBLE) AS trips_total,
-  {_money('total_fare')} AS fare_total,
-  {_money('total_tip')} AS tip_total,
-  {_mean('avg_distance')} AS avg_distance_over_months
-FROM gold
-""",
+    "eval_gold": f"{_LAYERS} {_METRICS}",
     "eval_gold_empty": f"""
 WITH {_RAW.replace('trips AS (SELECT * EXCLUDE (part_key) FROM raw)', '''trips AS (
   SELECT * FROM raw WHERE NOT coalesce(trip_distance > 0 AND fare_amount >= 0, false)
@@ -200,10 +225,7 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
     "kafka_decode": """
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
 """,
-    "topic_publish_cap": f"""
-WITH {_RAW.replace('FROM lineitem', 'FROM (SELECT * FROM lineitem LIMIT 50000)')}
-SELECT {_PAYLOAD}, {_PICKUP_MONTH} FROM trips
-""",
+    "topic_publish": f"WITH {_RAW} SELECT {_PAYLOAD}, {_PICKUP_MONTH} FROM trips",
     "topic_to_bronze": f"WITH {_RAW} SELECT {_PAYLOAD}, {_NOT_SENT}, {_PICKUP_MONTH} FROM trips",
     "topic_peek": """
 SELECT 'events' AS topic, CAST(event_id % 3 AS INTEGER) AS partition,
@@ -229,11 +251,7 @@ SELECT 'bronze' AS layer, count(*) AS row_count FROM trips
 UNION ALL SELECT 'silver', count(*) FROM silver
 UNION ALL SELECT 'gold', count(*) FROM gold
 """,
-    "serve_sql_views": f"""
-{_LAYERS}
-SELECT {_RUN}, count(*) AS row_count FROM trips
-UNION ALL SELECT {_RUN}, count(*) FROM gold
-""",
+    "serve_sql_views": f"SELECT * EXCLUDE (record) FROM ({_records('trips')})",
     "validate_null_kpis": f"""
 {_LAYERS}
 SELECT count(*) FILTER (WHERE year IS NULL) AS null_years,
@@ -263,11 +281,5 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
 """,
     "chain_batch": f"{_LAYERS} SELECT * FROM gold",
     "chain_topic": f"{_LAYERS} SELECT * FROM gold",
-    "chain_evaluation": f"""
-{_LAYERS}
-SELECT 'dq_results' AS record, count(*) AS row_count,
-  CAST(count(*) > 0 AS INTEGER) AS passed FROM silver
-UNION ALL
-SELECT 'metrics_pipeline_runs', count(*), NULL FROM gold
-""",
+    "chain_evaluation": _records("silver"),
 }

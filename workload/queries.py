@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from farelake.functions import exact_sum, month_columns
 from farelake.operators import (
     Rule,
     clean_trips,
-    conform,
     failed_runs,
     latest_run,
     monthly_kpis,
@@ -31,17 +31,23 @@ from farelake.plans import (
     build_gold,
     build_silver,
     evaluate_gold,
+    ingest_bronze,
     ingest_bronze_months,
-    ingest_messages,
+    ingest_topic,
     load_zone_lookup,
+    publish_topic,
+    run_batch,
+    run_batch_all,
     run_evaluation,
+    run_topic_batch,
+    score_bronze,
     score_silver,
 )
-from farelake.schemas import BRONZE, PAYLOAD, contract
+from farelake.schemas import PAYLOAD, TOPIC_DATASET, contract
 from farelake.session import scratch_path
 from farelake.sinks import FileWarehouse, register_views, write_months
-from farelake.sources import first_rows, read_bronze, read_gold_or_empty, read_silver
-from farelake.streaming import decode, decode_trips, encode, peek
+from farelake.sources import read_bronze, read_gold_or_empty, read_silver
+from farelake.streaming import FileTopic, decode, decode_trips, encode, peek
 from workload.tables import (
     RUN_EPOCH,
     RUN_ID,
@@ -54,10 +60,22 @@ from workload.tables import (
     table,
     trips,
     write_bronze,
+    write_one_raw,
     write_raw,
 )
 
 DATASET = "yellow_tripdata"
+#: Trips without a pickup are published under this month and shown as null again.
+UNDATED = (1900, 1)
+
+
+def published(spark: SparkSession, warehouse: FileWarehouse) -> DataFrame:
+    """The monthly fact table, the stand-in for the null month as null."""
+    stored = warehouse.read(spark, "fact_trips_monthly")
+    dated = F.col("year") != UNDATED[0]
+    return stored.withColumn("month", F.when(dated, F.col("month"))).withColumn(
+        "year", F.when(dated, F.col("year"))
+    )
 
 
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +85,32 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, f"{base}/bronze")
 
 
+def bronze_ingest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "bronze-ingest-month")
+    path = f"{base}/raw/{DATASET}_1995-01.parquet"
+    write_one_raw(spark, sf_dir, path)
+    ingest_bronze(spark, path, f"{base}/bronze")
+    return read_bronze(spark, f"{base}/bronze")
+
+
+def bronze_ingest_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw month of files with three types of a column, and one without some columns."""
+    base = scratch_path(spark, "bronze-ingest-mixed")
+    raw = raw_trips(table(spark, sf_dir, "lineitem")).drop("part_key", "file_month")
+    vendor, year = F.col("VendorID"), F.col("file_year")
+    for kind, rows in (
+        ("int", raw.where(year <= 1993)),
+        ("bigint", raw.where(year == 1994)),
+        ("double", raw.where(year.between(1995, 1996))),
+    ):
+        rows = rows.withColumn("VendorID", vendor.cast(kind)).drop("file_year")
+        rows.write.mode("append").parquet(f"{base}/raw/{DATASET}_2001-01.parquet")
+    late = raw.where(year > 1996).select(*PAYLOAD.names)
+    late.write.parquet(f"{base}/raw/{DATASET}_2001-02.parquet")
+    ingest_bronze_months(spark, f"{base}/raw", f"{base}/bronze")
+    return read_bronze(spark, f"{base}/bronze")
+
+
 def bronze_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "bronze-conform")
     rows = trips(spark, sf_dir)
@@ -117,6 +161,21 @@ def silver_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, f"{base}/silver")
 
 
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after two runs of one month: the second file has only some of its trips."""
+    base = scratch_path(spark, "silver-incremental")
+    write_raw(spark, sf_dir, f"{base}/raw")
+    warehouse = FileWarehouse(f"{base}/warehouse")
+    layers = f"{base}/bronze", f"{base}/silver", f"{base}/gold", warehouse
+    run_batch_all(spark, f"{base}/raw", *layers, undated=UNDATED)
+    path = f"{base}/again/{DATASET}_1995-03.parquet"
+    whole = raw_trips(table(spark, sf_dir, "lineitem"))
+    month = whole.where("file_year = 1995 AND file_month = 3 AND payment_type > 2")
+    month.drop("part_key", "file_year", "file_month").write.parquet(path)
+    run_batch(spark, path, *layers, undated=UNDATED)
+    return read_silver(spark, f"{base}/silver")
+
+
 def gold_monthly_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold(spark, sf_dir)
 
@@ -126,28 +185,27 @@ def gold_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_month = silver(spark, sf_dir).hint("rebalance", "year", "month")
     write_months(by_month, f"{base}/silver/{DATASET}", replace="all")
     warehouse = FileWarehouse(f"{base}/warehouse")
-    build_gold(spark, f"{base}/silver", f"{base}/gold", warehouse)
-    return warehouse.read(spark, "fact_trips_monthly")
+    build_gold(spark, f"{base}/silver", f"{base}/gold", warehouse, undated=UNDATED)
+    return published(spark, warehouse)
 
 
 def chain_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "chain-batch")
     write_raw(spark, sf_dir, f"{base}/raw")
-    ingest_bronze_months(spark, f"{base}/raw", f"{base}/bronze")
-    build_silver(spark, f"{base}/bronze", f"{base}/silver")
     warehouse = FileWarehouse(f"{base}/warehouse")
-    build_gold(spark, f"{base}/silver", f"{base}/gold", warehouse)
-    return warehouse.read(spark, "fact_trips_monthly")
+    layers = f"{base}/bronze", f"{base}/silver", f"{base}/gold", warehouse
+    run_batch_all(spark, f"{base}/raw", *layers, undated=UNDATED)
+    return published(spark, warehouse)
 
 
 def chain_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "chain-topic")
-    messages = envelope(encode(trips(spark, sf_dir).drop("year", "month")))
-    ingest_messages(messages, f"{base}/bronze")
-    build_silver(spark, f"{base}/bronze", f"{base}/silver")
+    path = f"{base}/raw/{DATASET}_1995-01.parquet"
+    write_one_raw(spark, sf_dir, path)
     warehouse = FileWarehouse(f"{base}/warehouse")
-    build_gold(spark, f"{base}/silver", f"{base}/gold", warehouse)
-    return warehouse.read(spark, "fact_trips_monthly")
+    layers = f"{base}/bronze", f"{base}/silver", f"{base}/gold", warehouse
+    run_topic_batch(spark, path, FileTopic(f"{base}/topic"), *layers, undated=UNDATED)
+    return published(spark, warehouse)
 
 
 def chain_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,17 +213,14 @@ def chain_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_month = silver(spark, sf_dir).hint("rebalance", "year", "month")
     write_months(by_month, f"{base}/silver/{DATASET}", replace="all")
     warehouse = FileWarehouse(f"{base}/warehouse")
-    build_gold(spark, f"{base}/silver", f"{base}/gold", warehouse)
-    run_evaluation(spark, f"{base}/silver", f"{base}/gold", warehouse)
-    scores = warehouse.read(spark, "dq_results").select(
-        F.lit("dq_results").alias("record"), F.col("rows_total").alias("row_count"), "passed"
-    )
-    metrics = warehouse.read(spark, "metrics_pipeline_runs").select(
-        F.lit("metrics_pipeline_runs").alias("record"),
-        F.col("rows_gold").alias("row_count"),
-        F.lit(None).cast("int").alias("passed"),
-    )
-    return scores.unionByName(metrics)
+    build_gold(spark, f"{base}/silver", f"{base}/gold", warehouse, undated=UNDATED)
+    run = (RUN_ID, RUN_EPOCH)
+    run_evaluation(spark, f"{base}/silver", f"{base}/gold", warehouse, runs=(run, run))
+    records = [
+        warehouse.read(spark, name).withColumn("record", F.lit(name))
+        for name in ("dq_results", "metrics_pipeline_runs")
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), records)
 
 
 def dq_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,6 +236,14 @@ def dq_score_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read(spark, "dq_results")
 
 
+def dq_score_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "dq-score-bronze")
+    write_bronze(spark, sf_dir, f"{base}/bronze")
+    warehouse = FileWarehouse(f"{base}/warehouse")
+    score_bronze(spark, f"{base}/bronze", warehouse, run=(RUN_ID, RUN_EPOCH))
+    return warehouse.read(spark, "dq_results")
+
+
 def dq_account_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     balance = F.col("c_acctbal")
     rules = [
@@ -200,7 +263,7 @@ def eval_gold_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = trips(spark, sf_dir).where(~F.coalesce(kept, F.lit(False)))
     write_months(clean_trips(rejected), f"{base}/silver/{DATASET}", replace="all")
     warehouse = FileWarehouse(f"{base}/warehouse")
-    build_gold(spark, f"{base}/silver", f"{base}/gold", warehouse)
+    build_gold(spark, f"{base}/silver", f"{base}/gold", warehouse, undated=UNDATED)
     evaluate_gold(spark, f"{base}/gold", warehouse, run=(RUN_ID, RUN_EPOCH))
     return warehouse.read(spark, "metrics_pipeline_runs")
 
@@ -228,16 +291,21 @@ def kafka_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(event_messages(spark, sf_dir), contract("k int"), keep=["event_id"])
 
 
-def topic_publish_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    capped = raw_trips(first_rows(table(spark, sf_dir, "lineitem"), 50_000))
-    return decode_trips(envelope(encode(conform(capped, BRONZE))))
+def topic_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "topic-publish")
+    path = f"{base}/raw/{DATASET}_1995-01.parquet"
+    write_one_raw(spark, sf_dir, path)
+    topic = FileTopic(f"{base}/topic")
+    publish_topic(spark, path, topic)
+    return decode_trips(topic.read(spark))
 
 
 def topic_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "topic-bronze")
-    messages = envelope(encode(trips(spark, sf_dir).drop("year", "month")))
-    ingest_messages(messages, base)
-    return read_bronze(spark, base)
+    topic = FileTopic(f"{base}/topic")
+    topic.write(encode(trips(spark, sf_dir).drop("year", "month")))
+    ingest_topic(spark, topic, base)
+    return read_bronze(spark, base, TOPIC_DATASET)
 
 
 def topic_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,10 +356,8 @@ def serve_sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse.append(scored, "dq_results")
     warehouse.append(summarise_gold(gold(spark, sf_dir), RUN_ID, RUN_EPOCH), "metrics_pipeline_runs")
     register_views(spark, warehouse, ["dq_results", "metrics_pipeline_runs"])
-    return spark.sql(
-        "SELECT run_id, run_epoch, rows_total AS row_count FROM v_latest_dq "
-        "UNION ALL SELECT run_id, run_epoch, rows_gold FROM v_latest_metrics"
-    )
+    latest = [spark.sql(f"SELECT * FROM {v}") for v in ("v_latest_dq", "v_latest_metrics")]
+    return latest[0].unionByName(latest[1], allowMissingColumns=True)
 
 
 def validate_null_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,14 +384,18 @@ def pk_violations_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_monthly_kpis": gold_monthly_kpis,
     "bronze_ingest": bronze_ingest,
+    "bronze_ingest_month": bronze_ingest_month,
+    "bronze_ingest_mixed": bronze_ingest_mixed,
     "bronze_conform": bronze_conform,
     "bronze_dynamic_overwrite": bronze_dynamic_overwrite,
     "month_from_filename": month_from_filename,
     "silver_clean": silver_clean,
     "silver_write": silver_write,
+    "silver_incremental": silver_incremental,
     "gold_publish": gold_publish,
     "dq_profile": dq_profile,
     "dq_score_silver": dq_score_silver,
+    "dq_score_bronze": dq_score_bronze,
     "dq_account_balance": dq_account_balance,
     "dq_failed_runs": dq_failed_runs,
     "eval_gold": eval_gold,
@@ -333,7 +403,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_lookup_load": zone_lookup_load,
     "kafka_encode": kafka_encode,
     "kafka_decode": kafka_decode,
-    "topic_publish_cap": topic_publish_cap,
+    "topic_publish": topic_publish,
     "topic_to_bronze": topic_to_bronze,
     "topic_peek": topic_peek,
     "latest_dq": latest_dq,

@@ -90,6 +90,12 @@ def write_raw(spark: SparkSession, sf_dir: str, base: str) -> None:
     )
 
 
+def write_one_raw(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """All trips as one raw input."""
+    raw = raw_trips(table(spark, sf_dir, "lineitem"))
+    raw.drop("part_key", "file_year", "file_month").write.parquet(path)
+
+
 def envelope(values: DataFrame) -> DataFrame:
     """Messages in ``value`` with the rest of the envelope a topic read gives."""
     return values.select(
