@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from farelake.llm.common import materialize, memo
 
 BITS = 18
-#: Most rows of each language the model is fitted on.
+#: Most rows of each language, and of all languages, the model is fitted on.
 SAMPLE_ROWS = 600
+ALL_ROWS = 12_000
 #: Words in a row from one text, on average, where texts are mixed for training.
 STRETCH = 12
 SEQUENCE = 64
@@ -260,7 +261,8 @@ class Model:
 def train(spark: SparkSession, docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from ``text`` and ``lang`` of at most ``sample_rows`` rows of each language.
 
-    Rows without text or language are left out. Shards of the sample are fitted
+    There are as many languages as the model has columns, so their names and counts
+    fit on the driver. Rows without text or language are left out. Shards of the sample are fitted
     side by side, and the weights averaged.
     """
     rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
@@ -268,6 +270,7 @@ def train(spark: SparkSession, docs: DataFrame, sample_rows: int = SAMPLE_ROWS)
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((1, 0), np.float32), np.zeros((0, 0)))
+    sample_rows = max(1, min(sample_rows, ALL_ROWS // len(languages)))
     slots = 1 << 30
     digest = F.pmod(F.xxhash64(F.lit("langid"), "text"), F.lit(slots))
     share, label = F.lit(0), F.lit(0)

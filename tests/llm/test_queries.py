@@ -143,3 +143,23 @@ def test_pipeline_stage_by_stage(spark, con, texts):
     assert {r.doc_id for r in ids.select("doc_id").collect()} == set(last)
     whole = corpus_pipeline.run(spark, SF_DIR)
     assert whole.columns == ids.columns and whole.count() == len(last)
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark):
+    """Nulls in every column, repeated rows, long texts, clashing and extra columns."""
+    long = "word " * 60_000
+    texts = [None, "", "a", "same", "same", long, "É\n" * 3, "x " * 200_000]
+    rows = [(i % 5 or None, t, None, None, None, "extra", "extra", "extra") for i, t in enumerate(texts)]
+    schema = (
+        "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+        "row string, k_id string, fp string"
+    )
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        columns, n = docs.columns, docs.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, SF_DIR)
+            assert docs.columns == columns, name
+            assert docs.count() <= n
+        coded = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
+        # Null and "" are one group; the two rows of "same" are another.
+        assert len(coded) == (6 if n else 0)
