@@ -16,6 +16,7 @@ def monthly_kpis(trips: DataFrame, by: Sequence[str] = ("year", "month")) -> Dat
     Each task first reduces its rows to one per group, so a month that holds
     most of the data shuffles no more than any other.
     """
+    # The names of the KPIs and their two decimals.
     return trips.groupBy(*by).agg(
         F.count("*").alias("trips"),
         F.round(exact_sum("fare_amount"), 2).alias("total_fare"),
