@@ -22,7 +22,9 @@ from pyspark.sql import Column
 
 from farelake.llm.common import memo, per_text
 
-_MOST_PIECES_KEPT = 1 << 19
+_MOST_PIECES_KEPT = 1 << 18
+_SHORT = 64
+_NO_MERGE = (1 << 60, 0)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -67,10 +69,31 @@ class Codec:
     def _merged(self, piece: bytes) -> list[int]:
         """Ids of one piece: the pair of lowest rank is merged until none is left."""
         ids = [self.first[b] for b in piece]
+        return self._merged_short(ids) if len(ids) <= _SHORT else self._merged_long(ids)
+
+    def _merged_short(self, ids: list[int]) -> list[int]:
+        """One pair at a time; only the pairs next to it change."""
+        rank = self.merges.get
+        found = [rank(pair, _NO_MERGE) for pair in zip(ids, ids[1:])]
+        while found:
+            best = min(found)
+            if best is _NO_MERGE:
+                break
+            i = found.index(best)
+            ids[i : i + 2] = [best[1]]
+            del found[i]
+            if i:
+                found[i - 1] = rank((ids[i - 1], ids[i]), _NO_MERGE)
+            if i < len(found):
+                found[i] = rank((ids[i], ids[i + 1]), _NO_MERGE)
+        return ids
+
+    def _merged_long(self, ids: list[int]) -> list[int]:
+        """All pairs of the lowest rank at once, so that long pieces take few rounds."""
         while len(ids) > 1:
-            found = [self.merges.get(p, (1 << 60, 0)) for p in zip(ids, ids[1:])]
+            found = [self.merges.get(p, _NO_MERGE) for p in zip(ids, ids[1:])]
             rank, new = min(found)
-            if rank == 1 << 60:
+            if rank == _NO_MERGE[0]:
                 break
             out, i = [], 0
             while i < len(ids):

@@ -99,11 +99,20 @@ def ascii_lower(text: str | Column) -> Column:
 def sampled(rows: DataFrame, key: Column, at_most: int) -> DataFrame:
     """About ``at_most`` rows, the same ones in every run; all rows if there are fewer.
 
-    Rows are chosen by a digest of their key, so no task sees more than its own.
+    Rows are chosen by a digest of their key, so no task sees more than its own. Rows
+    of one key are chosen or left together: make them one row afterwards.
     """
     total = rows.count()
     if total <= at_most:
         return rows
-    slots = 1 << 20
-    kept = int(slots * at_most / total * 0.98)
-    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(slots)) < kept)
+    kept = int(SLOTS * (at_most / total * 0.98))
+    return rows.where(slot("sample", key) < kept)
+
+
+#: Fine enough for a few thousand rows of any number.
+SLOTS = 1 << 62
+
+
+def slot(name: str, key: str | Column) -> Column:
+    """A number below :data:`SLOTS` that depends on the key alone."""
+    return F.pmod(F.xxhash64(F.lit(name), key), F.lit(SLOTS))

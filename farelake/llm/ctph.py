@@ -35,6 +35,8 @@ MOST_CHUNKS = 256
 ROLLED = 7
 #: Ranges of ids for each task; several even out what a task gets.
 RANGES = 4
+#: More ranges than this make no difference but a longer plan.
+MOST_RANGES = 10_000
 _LETTERS = np.frombuffer(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8
 )
@@ -118,8 +120,10 @@ def next_to_each_other(spark: SparkSession, docs: DataFrame, parts: int) -> Data
     text, and never split.
     """
     known = docs.where("id IS NOT NULL")
-    shares = [i / (RANGES * parts) for i in range(1, RANGES * parts)]
-    bounds = known.agg(F.percentile_approx("id", F.array(*map(F.lit, shares)), 10_000)).first()[0]
+    ranges = min(RANGES * parts, MOST_RANGES)
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    accuracy = max(10_000, 50 * ranges)
+    bounds = known.agg(F.percentile_approx("id", shares, accuracy)).first()[0]
     bounds = sorted(set(bounds or []))
 
     @F.pandas_udf("int")

@@ -26,7 +26,7 @@ from numpy.typing import NDArray
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm.common import materialize, memo
+from farelake.llm.common import SLOTS, materialize, memo, slot
 
 BITS = 18
 #: Most rows of each language, and of all languages, the model is fitted on.
@@ -271,14 +271,12 @@ def train(spark: SparkSession, docs: DataFrame, sample_rows: int = SAMPLE_ROWS)
     if not languages:
         return Model([], np.zeros((1, 0), np.float32), np.zeros((0, 0)))
     sample_rows = max(1, min(sample_rows, ALL_ROWS // len(languages)))
-    slots = 1 << 30
-    digest = F.pmod(F.xxhash64(F.lit("langid"), "text"), F.lit(slots))
     share, label = F.lit(0), F.lit(0)
     for i, language in enumerate(languages):
         here = F.col("lang") == language
-        share = F.when(here, int(slots * min(1.0, sample_rows / counts[language]))).otherwise(share)
+        share = F.when(here, int(SLOTS * min(1.0, sample_rows / counts[language]))).otherwise(share)
         label = F.when(here, i).otherwise(label)
-    chosen = rows.where(digest < share).select(
+    chosen = rows.where(slot("langid", "text") < share).select(
         "text", label.alias("label"), F.pmod(F.xxhash64("text"), F.lit(SHARDS)).alias("shard")
     )
     # One row for each text, so that copies don't make the sample larger.

@@ -224,7 +224,8 @@ def classify(
     def posterior_of(patterns: pd.Series) -> pd.Series:
         return pd.Series(known.value[patterns.to_numpy(np.int64)])
 
-    sample = sampled(rows, F.struct("doc_id", "text"), sample_rows).select(
+    chosen = sampled(rows, F.struct("doc_id", "text"), sample_rows).distinct()
+    sample = chosen.select(
         F.coalesce("text", F.lit("")).alias("text"),
         posterior_of(pattern("text")).alias("posterior"),
         F.pmod(F.xxhash64("text"), F.lit(SHARDS)).alias("shard"),

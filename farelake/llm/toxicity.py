@@ -100,7 +100,8 @@ def train(
 ) -> np.ndarray:
     """Weights from at most ``sample_rows`` rows of ``labels`` (``doc_id``, ``label``).
 
-    Rows without id or label are left out; of repeated labels the larger counts.
+    Rows without id or label are left out; of repeated labels the larger counts, of
+    several texts with one id the smallest.
     Features are made where the texts lie; the learner, which goes from row to row,
     gets those of the bounded sample.
     """
@@ -118,6 +119,7 @@ def train(
 
     # The sample is bounded by sample_rows ids, so it may be broadcast.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     rows = rows.select("label", features_of("text").alias("features"))
     rows = materialize(spark, rows, "toxicity-sample")
     fitted = rows.groupBy().applyInPandas(_fit, "place int, weight double")
