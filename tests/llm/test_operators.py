@@ -337,12 +337,22 @@ def test_main_text_of_open_pages_drops_what_a_host_repeats(spark):
             assert r.text == story
 
 
+def test_articles_come_before_what_is_marked_as_main(spark):
+    page = "<main><p>Teaser</p><article><header><h1>H</h1></header><p>A</p></article></main>"
+    row = [(1, "http://a", page), (2, "http://a", "<div role=main><p>B</div><p>C")]
+    pages = spark.createDataFrame(row, "page_id int, url string, html string")
+    assert [r.text for r in html.main_text(spark, pages).orderBy("page_id").collect()] == ["H A", "B"]
+
+
 def test_broken_markup():
     text = lambda h: " ".join(t for t, z in html.blocks_of(h) if z != html.AWAY)
     assert text("a < b &am <p>c</p></div></p> d <!-- x") == "a < b &am c d"
     assert text("<p>x<script>if (a<b) '</p>'") == "x"
     assert text("<p hidden>x</p><p style='display: none'>y</p>z") == "z"
     assert text('<p title="a>b">x</p><img alt="<p>">y') == "x y"
+    assert text("<p title=don't>x</p> it's") == "x it's"
+    assert text("<a " * 50_000 + '="') == ""
+    assert text('<div class="siteNotice">x</div><div id="ad-12">y</div><i data-id="ad">z</i>') == "z"
     assert text("<" * 50_000) == "<" * 50_000
     assert text("<p>" * 20_000 + "x") == "x"
 
