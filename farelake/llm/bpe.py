@@ -16,15 +16,21 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable
+from itertools import chain
 
 import regex
 from pyspark.sql import Column
 
 from farelake.llm.common import memo, per_text
 
-_MOST_PIECES_KEPT = 1 << 18
+_MOST_WORDS_KEPT = 1 << 19
+_LONGEST_WORD_KEPT = 40
+_MOST_PIECES_KEPT = 1 << 17
 _SHORT = 64
-_NO_MERGE = (1 << 60, 0)
+#: A merge is its rank and, in the low bits, the id it makes; so the smallest comes first.
+_ID_BITS = 32
+_ID_MASK = (1 << _ID_BITS) - 1
+_NO_MERGE = 1 << 62
 
 
 def _byte_letters() -> dict[str, int]:
@@ -37,6 +43,22 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class _Known(dict):
+    """Ids of words met before; others are encoded when they are asked for."""
+
+    def __init__(self, encode: Callable[[str], list[int]]) -> None:
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = tuple(self.encode(word))
+        if len(word) <= _LONGEST_WORD_KEPT:
+            if len(self) >= _MOST_WORDS_KEPT:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file in the tokenizers library's format."""
 
@@ -50,21 +72,21 @@ class Codec:
         self.merges = {}
         for rank, (left, right) in enumerate(pairs):
             a, b = to_bytes(left), to_bytes(right)
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.merges[vocab[a], vocab[b]] = rank << _ID_BITS | vocab[a + b]
         self.first = [vocab[bytes([b])] for b in range(256)]
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = special
         self.token = {i: t for t, i in vocab.items()} | {i: s.encode() for s, i in special.items()}
         joined = {(t[i], t[i + 1]) for t in vocab for i in range(len(t) - 1)}
-        #: joinable[a][b] is False where bytes a, b force a boundary.
-        self.joinable = [[(a, b) in joined for b in range(256)] for a in range(256)]
+        #: Pairs of bytes that force a boundary between them.
+        self.forced = {(a, b) for a in range(256) for b in range(256)} - joined
         self.special_split = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
         # Fixed pattern of this vocabulary's splitter into words.
         self.words = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         ).findall
         self.pieces: dict[bytes, list[int]] = {}
-        self.known: dict[str, list[int]] = {}
+        self.known = _Known(self._word)
 
     def _merged(self, piece: bytes) -> list[int]:
         """Ids of one piece: the pair of lowest rank is merged until none is left."""
@@ -77,11 +99,11 @@ class Codec:
         found = [rank(pair, _NO_MERGE) for pair in zip(ids, ids[1:])]
         while found:
             best = min(found)
-            if best is _NO_MERGE:
+            if best == _NO_MERGE:
                 break
             i = found.index(best)
-            ids[i : i + 2] = [best[1]]
-            del found[i]
+            del found[i], ids[i]
+            ids[i] = best & _ID_MASK
             if i:
                 found[i - 1] = rank((ids[i - 1], ids[i]), _NO_MERGE)
             if i < len(found):
@@ -92,13 +114,13 @@ class Codec:
         """All pairs of the lowest rank at once, so that long pieces take few rounds."""
         while len(ids) > 1:
             found = [self.merges.get(p, _NO_MERGE) for p in zip(ids, ids[1:])]
-            rank, new = min(found)
-            if rank == _NO_MERGE[0]:
+            best = min(found)
+            if best == _NO_MERGE:
                 break
             out, i = [], 0
             while i < len(ids):
-                if i < len(found) and found[i][0] == rank:
-                    out.append(new)
+                if i < len(found) and found[i] == best:
+                    out.append(best & _ID_MASK)
                     i += 2
                 else:
                     out.append(ids[i])
@@ -115,26 +137,26 @@ class Codec:
         return ids
 
     def _word(self, word: str) -> list[int]:
-        data, ids, start = word.encode("utf-8", "replace"), [], 0
-        for i in range(1, len(data)):
-            if not self.joinable[data[i - 1]][data[i]]:
-                ids += self._piece(data[start:i])
-                start = i
-        ids += self._piece(data[start:])
-        if len(data) <= 64:
-            if len(self.known) > _MOST_PIECES_KEPT:
-                self.known.clear()
-            self.known[word] = ids
+        data = word.encode("utf-8", "replace")
+        pairs = zip(data, data[1:])
+        if self.forced.isdisjoint(pairs):
+            ids = self._merged(data)
+        else:
+            ids, start = [], 0
+            for i in range(1, len(data)):
+                if (data[i - 1], data[i]) in self.forced:
+                    ids += self._piece(data[start:i])
+                    start = i
+            ids += self._piece(data[start:])
         return ids
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
-        start, known = 0, self.known
+        start, known = 0, self.known.__getitem__
         cuts = [(m.start(), m.end()) for m in self.special_split.finditer(text)]
         for left, right in [*cuts, (len(text), None)]:
-            for word in self.words(text[start:left] if cuts else text):
-                got = known.get(word)
-                ids += got if got is not None else self._word(word)
+            words = self.words(text[start:left] if cuts else text)
+            ids.extend(chain.from_iterable(map(known, words)))
             if right is not None:
                 ids.append(self.special[text[left:right]])
                 start = right
