@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote, urlsplit
 
@@ -111,8 +112,8 @@ def schema_groups(
 
     One distributed job merges the footers of all inputs. Only where types differ is
     the list halved and each half tried, so vintages next to each other stay
-    together and k of them among n inputs take about k log n jobs. A group has the
-    columns of all its inputs. An input whose own files disagree is split down to
+    together and k of them among n inputs take about k log n jobs, halves side by side.
+    A group has the columns of all its inputs. An input whose own files disagree is split down to
     its files; the names of that input's files are all that reaches the driver.
     """
     if not paths:
@@ -129,8 +130,12 @@ def schema_groups(
             raise ValueError(f"the types of {paths[0]} cannot be told")
         parts = [files]
     groups: dict[frozenset, tuple[T.StructType, list[str]]] = {}
-    for part in parts:
-        for native, inputs in schema_groups(spark, part, base_path, skip_corrupt):
+    with ThreadPoolExecutor(len(parts)) as pool:
+        found = list(
+            pool.map(lambda part: schema_groups(spark, part, base_path, skip_corrupt), parts)
+        )
+    for members in found:
+        for native, inputs in members:
             key = frozenset((f.name.lower(), f.dataType.simpleString()) for f in native)
             groups.setdefault(key, (native, []))[1].extend(inputs)
     return list(groups.values())
