@@ -81,11 +81,15 @@ _RUNS = "k_id bigint, k_null boolean, k_text bigint, start int, end int, n1 bigi
 
 
 def all_runs(
-    rows: DataFrame, of: Callable[[dict], tuple[NDArray, NDArray, NDArray]], inputs: list[str]
+    rows: DataFrame,
+    of: Callable[[dict], tuple],
+    inputs: list[str],
+    content: bool = False,
 ) -> DataFrame:
     """Tight runs of every row: :data:`KEY`, ``start``, ``end`` and the name ``n1``, ``n2``.
 
-    ``of`` gives starts, ends and names from a row's ``inputs``.
+    ``of`` gives starts, ends and names from a row's ``inputs``; with ``content`` also a
+    signed number of 64 bits, which becomes a column of that name.
     """
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,9 +104,14 @@ def all_runs(
                 columns.append(pa.array(part.astype(np.int32)))
             names = names.astype(np.uint64)
             columns += [pa.array(names[:, i].copy().view(np.int64)) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, [*KEY, "start", "end", "n1", "n2"])
+            made = [*KEY, "start", "end", "n1", "n2"]
+            if content:
+                columns.append(pa.array([x[3] for x in found], pa.int64()).take(pa.array(at)))
+                made.append("content")
+            yield pa.RecordBatch.from_arrays(columns, made)
 
-    return rows.select(*KEY, *inputs).mapInArrow(runs, _RUNS)
+    schema = _RUNS + ", content bigint" if content else _RUNS
+    return rows.select(*KEY, *inputs).mapInArrow(runs, schema)
 
 
 def in_repeated_class(spark: SparkSession, rows: DataFrame, place: Column) -> DataFrame:
@@ -119,3 +128,14 @@ def in_repeated_class(spark: SparkSession, rows: DataFrame, place: Column) -> Da
         .drop("last")
     )
     return rows.join(materialize(spark, classes, "run-classes").hint("merge"), ["n1", "n2"])
+
+
+def in_class_of_contents(spark: SparkSession, rows: DataFrame, least: int) -> DataFrame:
+    """Runs whose class has ``least`` different values of ``content`` or more.
+
+    Equal contents are made one before they are counted, by all three columns, so a
+    class of very many runs is dealt out like any other.
+    """
+    classes = rows.select("n1", "n2", "content").distinct().groupBy("n1", "n2").count()
+    classes = classes.where(F.col("count") >= least).select("n1", "n2")
+    return rows.join(materialize(spark, classes, "run-classes").hint("merge"), ["n1", "n2"])
