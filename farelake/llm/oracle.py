@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from farelake.llm.common import LOWER, UPPER
-from farelake.llm import secrets
+from farelake.llm import gridcodes, secrets
 from farelake.llm.decontaminate import WORD
+from farelake.llm.lexical import TERM
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}')"
 
@@ -137,8 +138,107 @@ SELECT doc_id, CAST(coalesce(n0, 0) AS BIGINT) AS n_assign, CAST(coalesce(n1, 0)
 FROM documents LEFT JOIN g USING (doc_id)
 """
 
+_OP11 = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+win AS (
+    SELECT doc_id, s, array_to_string(w[s : s + 12], ' ') AS t
+    FROM d, unnest(range(1, len(w) - 11)) AS u(s)
+),
+firsts AS (SELECT t, min(doc_id) AS f FROM win GROUP BY t),
+gone AS (
+    SELECT DISTINCT doc_id, p
+    FROM (SELECT doc_id, s FROM win JOIN firsts USING (t) WHERE f < doc_id),
+        unnest(range(s, s + 13)) AS u(p)
+),
+kept AS (
+    SELECT doc_id, count(g.p) AS n_removed,
+        string_agg(w[x.p], ' ' ORDER BY x.p) FILTER (WHERE g.p IS NULL) AS t
+    FROM (SELECT doc_id, w, p FROM d, unnest(range(1, len(w) + 1)) AS u(p)) AS x
+    LEFT JOIN gone AS g USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}')"
+
+_OP12 = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+c AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+tf AS (
+    SELECT doc_id, m, t, count(*) AS tf
+    FROM (SELECT doc_id, 10 + (90 * len(w) * docs) // total AS m, unnest(w) AS t FROM d, c)
+    WHERE t IN (SELECT t FROM q) GROUP BY doc_id, m, t
+),
+weights AS (
+    SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), c
+),
+scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM q JOIN tf USING (t) JOIN weights USING (t) GROUP BY item_id, doc_id
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place
+    FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
+
+def _op13() -> str:
+    """The rounds one after the other; ``e0`` is the codebooks' start."""
+    parts, rounds = gridcodes.PARTS, gridcodes.ROUNDS
+    nearest = """
+    SELECT vec_id, p, min(row(d, i)) AS best FROM (
+        SELECT vec_id, p, i, list_sum(list_transform(range(1, len(v) + 1),
+            lambda j: (v[j] - e[j]) * (v[j] - e[j]))) AS d
+        FROM part JOIN e{n} USING (p)
+    ) GROUP BY vec_id, p"""
+    steps = [
+        f"a{n} AS MATERIALIZED ({nearest.format(n=n)}), "
+        f"e{n + 1} AS MATERIALIZED (SELECT p, i, coalesce(f, e) AS e FROM e{n} LEFT JOIN ("
+        "SELECT p, i, list(CAST(floor(total / n) AS BIGINT) ORDER BY j) AS f FROM ("
+        "SELECT p, best[2] AS i, j, sum(v[j]) AS total, count(*) AS n "
+        f"FROM part JOIN a{n} USING (vec_id, p), unnest(range(1, len(v) + 1)) AS u(j) GROUP BY 1, 2, 3"
+        ") GROUP BY p, i) USING (p, i))"
+        for n in range(rounds)
+    ]
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+part AS MATERIALIZED (
+    SELECT vec_id, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS v
+    FROM kept, unnest(range({parts})) AS u(p)
+),
+seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS i FROM kept ORDER BY vec_id LIMIT {gridcodes.ENTRIES}),
+e0 AS MATERIALIZED (SELECT p, i, v AS e FROM part JOIN seeds USING (vec_id)),
+{", ".join(steps)},
+a AS MATERIALIZED ({nearest.format(n=rounds)}),
+books AS (
+    SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, i)) AS codebooks_sha256 FROM e{rounds}
+),
+coded AS (
+    SELECT vec_id, string_agg(format('{{:02x}}', best[2]), '' ORDER BY p) AS code,
+        CAST(sum(best[1]) AS BIGINT) AS error FROM a GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": _OP2,
     "op4_secrets": _OP4,
     "op8_line_dedup": _OP8,
+    "op11_substrings": _OP11,
+    "op12_search": _OP12,
+    "op13_vector_codes": _op13(),
 }

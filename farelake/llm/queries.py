@@ -11,12 +11,15 @@ from farelake.llm import (
     bpe,
     ctph,
     decontaminate,
+    gridcodes,
     html,
     langid,
+    lexical,
     linededup,
     quality,
     secrets,
     simhash,
+    substrings,
     toxicity,
 )
 
@@ -111,6 +114,29 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.substring_dedup(spark, docs).select(
+        "row.doc_id",
+        "cut.n_words",
+        "cut.n_removed",
+        F.sha2(F.coalesce("cut.text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = gridcodes.encode(spark, table(spark, sf_dir, "embeddings"))
+    return coded.select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
@@ -122,4 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
+    "op11_substrings": op11_substrings,
+    "op12_search": op12_search,
+    "op13_vector_codes": op13_vector_codes,
 }
