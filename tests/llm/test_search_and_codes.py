@@ -1,0 +1,314 @@
+"""Substring dedup, ranked search and vector codes: brute force, and odd rows and tables."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from test_operators import ODD, frame, lowered, prose
+
+from farelake.llm import gridcodes, lexical, substrings
+
+# Substring dedup
+
+
+def brute_substrings(rows, window=13):
+    """Id, words, removed words and kept text of every row."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", text or "") for _, text in rows]
+    first = {}
+    for (id_, _), w in zip(rows, words):
+        for s in range(len(w) - window + 1):
+            key = tuple(w[s : s + window])
+            if id_ is not None:
+                first[key] = min(first.get(key, id_), id_)
+    out = []
+    for (id_, text), w in zip(rows, words):
+        gone = set()
+        for s in range(len(w) - window + 1):
+            if id_ is not None and first[tuple(w[s : s + window])] < id_:
+                gone.update(range(s, s + window))
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((id_, len(w), len(gone), kept if text is not None else None))
+    return sorted(out, key=repr)
+
+
+def removed(spark, docs, **more):
+    found = substrings.substring_dedup(spark, docs, **more)
+    rows = found.select("row.doc_id", "cut.n_words", "cut.n_removed", "cut.text").collect()
+    return sorted(map(tuple, rows), key=repr)
+
+
+def woven(n, seed=5):
+    """Texts that hold stretches of each other, some just long enough and some a word short."""
+    r = random.Random(seed)
+    passages = [prose(100 + i, r.choice([12, 13, 14, 40, 90])).split() for i in range(8)]
+    texts = []
+    for i in range(n):
+        words = prose(1000 + i, r.randrange(5, 60)).split()
+        for _ in range(r.randrange(3)):
+            passage = r.choice(passages)
+            at, to = sorted(r.sample(range(len(passage) + 1), 2))
+            words[len(words) // 2 : len(words) // 2] = passage[at:to] if r.random() < 0.5 else passage
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_substrings_equal_brute_force(spark):
+    texts = [*woven(120), *ODD, "É b " * 30, " ".join(["same"] * 500), " ".join(["same"] * 40)]
+    rows = list(enumerate(texts))
+    assert removed(spark, frame(spark, texts)) == brute_substrings(rows)
+
+
+@pytest.mark.parametrize("window, shingle", [(3, 1), (5, 5), (16, 4)])
+def test_substrings_of_other_lengths(spark, window, shingle):
+    texts = woven(40, seed=window)
+    got = removed(spark, frame(spark, texts), window=window, shingle=shingle)
+    assert got == brute_substrings(list(enumerate(texts)), window)
+
+
+def test_factors_that_end_where_another_begins(spark):
+    """A text whose stretches lie in two references, overlapping or side by side."""
+    a, b = prose(1, 30).split(), prose(2, 30).split()
+    texts = [
+        " ".join(a),
+        " ".join(b),
+        " ".join(a[:20] + b[5:]),
+        " ".join(a[10:]) + " new " + " ".join(b[:13]),
+        " ".join(a[:12] + ["new"] + a[12:]),
+    ]
+    rows = list(enumerate(texts))
+    got = removed(spark, frame(spark, texts))
+    assert got == brute_substrings(rows)
+    assert [r[2] for r in got] == [0, 0, 45, 33, 18]
+
+
+def test_substrings_settled_in_small_parts_are_the_same(spark, monkeypatch):
+    """Whatever a task settles by itself, the result is that of all documents."""
+    texts = woven(150, seed=9) * 2
+    docs = frame(spark, texts).repartition(6)
+    expected = brute_substrings(list(enumerate(texts)))
+    monkeypatch.setattr(substrings, "_SETTLED_TOGETHER", 50)
+    monkeypatch.setattr(substrings, "_BLOCK_BYTES", 200)
+    assert removed(spark, docs) == expected
+
+
+def test_substrings_of_odd_ids_and_tables(spark):
+    a, b = prose(1, 40), prose(2, 40)
+    rows = [(None, a), (None, a), (3, a), (3, a), (3, b), (2, b), (9, a + " " + b), (9, None)]
+    docs = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    assert removed(spark, docs) == brute_substrings(rows)
+    assert removed(spark, docs.limit(0)) == []
+    cut = substrings.substring_dedup(spark, docs).where("row.doc_id = 9 AND cut.text IS NOT NULL")
+    assert [tuple(s) for s in cut.first().cut.spans] == [(0, 80)]
+    assert set(cut.select("row.*").columns) == set(docs.columns) - {"text"}
+
+
+def test_windows_of_a_common_passage_do_not_grow_with_its_documents(spark):
+    """What tasks hand on of a passage that all documents hold follows the tasks."""
+    passage = prose(3, 60)
+    handed = []
+    for n in (100, 400):
+        docs = frame(spark, [f"{prose(50 + i, 20)} {passage}" for i in range(n)]).coalesce(2)
+        names = docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(
+            substrings._names(13, 5), "name bigint, id bigint, known array<bigint>"
+        )
+        shared = names.groupBy("name").agg(F.count_if(F.col("known").isNull()).alias("n"))
+        handed.append(shared.agg(F.max("n")).first()[0])
+    assert handed == [4, 4]  # the least and the greatest id of each of two tasks
+
+
+# Ranked search
+
+
+def brute_search(docs, items, best=10):
+    """Item, rank, document and score, by scoring every document for every item."""
+    find = lambda t: re.findall(lexical.TERM, lowered(t or ""))
+    held = [(id_, find(text)) for id_, text in docs]
+    n = sum(1 for _, w in held if w)
+    total = sum(len(w) for _, w in held)
+    out = []
+    for item, text in dict.fromkeys(items):
+        scored = []
+        for id_, words in held:
+            score, m = 0, 10 + (90 * len(words) * n) // max(1, total)
+            for term in set(find(text)) & set(words):
+                df = sum(term in w for _, w in held)
+                tf = words.count(term)
+                weight = math.floor(1000 * math.log((2 * n + 2) / (2 * df + 1)))
+                score += weight * ((10**9 * tf) // (1000 * tf + 8 * m))
+            if score > 0:
+                scored.append((-score, id_ is None, id_ or 0, id_))
+        for rank, (score, _, _, id_) in enumerate(sorted(scored, key=lambda x: x[:3])[:best], 1):
+            out.append((item, rank, id_, -score))
+    return sorted(out, key=repr)
+
+
+QUESTIONS = [
+    (1, prose(1, 12, 50)),
+    (2, "w1 w2, W3;w4 w1"),
+    (3, "É ß w7"),
+    (4, None),
+    (5, "..."),
+    (6, "nothing of this"),
+    (7, prose(4, 300, 400)),
+    (2, "w1 w2, W3;w4 w1"),
+    (None, "w9 w10"),
+]
+
+
+@pytest.mark.parametrize("parts, together", [(1 << 20, 4096), (60, 64)])
+def test_search_equals_brute_force(spark, monkeypatch, parts, together):
+    monkeypatch.setattr(lexical, "_DOCUMENTS_TOGETHER", together)
+    monkeypatch.setattr(lexical, "_EVALUATED_TOGETHER", 3)
+    r = random.Random(3)
+    texts = [prose(i, r.randrange(1, 80), 60) for i in range(200)]
+    texts += [*ODD, "É w7 É", "É", "w1 " * 5000, *texts[:30], *["w9 w10"] * 20]
+    docs = frame(spark, texts)
+    items = spark.createDataFrame(
+        [(i, t, "x") for i, t in QUESTIONS], "item_id bigint, text string, score string"
+    )
+    got = lexical.search(spark, docs, items, item_bytes=parts).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_search(list(enumerate(texts)), QUESTIONS)
+
+
+def test_search_of_odd_tables(spark):
+    items = spark.createDataFrame(QUESTIONS, "item_id bigint, text string")
+    rows = [(None, "w1 w2"), (5, "w1 w2"), (5, "w1 w2"), (7, None), (None, None), (8, "w3"), (9, "x")]
+    docs = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    got = lexical.search(spark, docs, items, best=2).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_search(rows, QUESTIONS, 2)
+    ranked = lexical.search(spark, docs, items).where("item_id = 2").sort("rank").collect()
+    assert [r.doc_id for r in ranked] == [8, 5, 5, None]
+    assert lexical.search(spark, docs.limit(0), items).collect() == []
+    assert lexical.search(spark, docs, items.limit(0)).collect() == []
+    assert lexical.search(spark, docs.where("text IS NULL"), items).collect() == []
+
+
+def test_masks_are_grouped_and_left_out_when_they_cannot_win(spark):
+    """Documents of one mask stand together under one bound; later ones are not evaluated."""
+    held = np.array([0, 1, 0, 1, 1, 0], np.int32)
+    docs = lexical._Documents(
+        np.arange(4), np.full(4, 5), np.array([0, 2, 4, 5, 6]), held,
+        np.array([1, 1, 3, 1, 2, 1]), np.array([500, 900]), 4, 20,
+    )
+    bounds, order = docs.groups(np.array([0, 1]))
+    assert sorted(order[:2].tolist()) == [0, 1] and order[2:].tolist() == [2, 3]
+    assert bounds[0] == bounds[1] > bounds[2] > bounds[3]
+    member = np.array([True, True])
+    assert (docs.evaluate(order, member) <= bounds).all()
+
+
+# Vector codes
+
+
+def brute_codes(rows, parts=8, entries=16, rounds=6):
+    """Code, error and codebooks by comparing every part with every entry, in plain integers."""
+    kept = [
+        (i, label, [math.floor(4096 * x) for x in v])
+        for i, v, label in rows
+        if v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    width = len(kept[0][2]) // parts
+    cut = lambda v: [v[p * width : (p + 1) * width] for p in range(parts)]
+    least = {}
+    for i, _, v in kept:
+        if i is not None:
+            least[i] = min(least.get(i, v), v)
+    seeds = [cut(v) for _, v in sorted(least.items())[:entries]]
+    books = [[seed[p] for seed in seeds] for p in range(parts)]
+
+    def nearest(point, book):
+        return min((sum((a - b) ** 2 for a, b in zip(point, e)), i) for i, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            chosen = [(nearest(cut(v)[p], books[p])[1], cut(v)[p]) for _, _, v in kept]
+            for e in range(len(seeds)):
+                own = [point for i, point in chosen if i == e]
+                if own:
+                    books[p][e] = [sum(x) // len(own) for x in zip(*own)]
+    out = []
+    for i, label, v in kept:
+        found = [nearest(point, book) for point, book in zip(cut(v), books)]
+        out.append((i, label, "".join(f"{e:02x}" for _, e in found), sum(d for d, _ in found)))
+    flat = ",".join(str(x) for book in books for entry in book for x in entry)
+    sha = hashlib.sha256(flat.encode()).hexdigest()
+    total = {}
+    for _, label, _, error in out:
+        total[label] = total.get(label, 0) + error
+    return sorted(((i, code, error, total[label], sha) for i, label, code, error in out), key=repr)
+
+
+VECTORS = "vec_id bigint, embedding array<double>, label int, code string, v string"
+
+
+def coded(spark, rows, **more):
+    frame = spark.createDataFrame([(*row, "c", "v") for row in rows], VECTORS)
+    found = gridcodes.encode(spark, frame, **more).drop("label").collect()
+    return sorted(map(tuple, found), key=repr)
+
+
+def vectors(n, width=16, seed=1, scale=0.2):
+    r = random.Random(seed)
+    return [
+        (i, [r.gauss(0, scale) for _ in range(width)], r.choice([None, 0, 1])) for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("width, scale", [(16, 0.2), (8, 0.001), (64, 3.0)])
+def test_codes_equal_brute_force(spark, width, scale):
+    rows = vectors(150, width, scale=scale)
+    assert coded(spark, rows) == brute_codes(rows)
+
+
+def test_codes_of_ties_and_odd_rows(spark):
+    good = vectors(40, 8)
+    nan, inf = float("nan"), float("inf")
+    odd = [
+        (100, None, 1),
+        (101, [None] * 8, 1),
+        (102, [nan] * 8, 1),
+        (103, [0.0] * 7 + [-inf], None),
+        (None, [0.1] * 8, 1),
+        (None, [0.1] * 8, None),
+        (2, [0.1] * 8, 0),
+        (2, [0.1] * 8, 0),
+        (104, [-0.0] * 8, 1),
+    ]
+    # Seeds that are all alike tie everywhere, and those that no part chooses stay.
+    alike = [(i, [0.5] * 8, 0) for i in range(20)] + [(30 + i, [i / 8] * 8, 1) for i in range(8)]
+    for rows in (good + odd, odd[4:], alike, [good[0]] * 5, good[:3]):
+        assert coded(spark, rows) == brute_codes(rows)
+
+
+def test_codes_of_odd_tables(spark):
+    assert coded(spark, []) == []
+    assert coded(spark, [(None, [0.5] * 8, 1)]) == [(None, None, None, None, None)]
+    empty = coded(spark, [(1, [], None), (2, [], 3)])
+    assert [(r[0], r[1], r[2]) for r in empty] == [(1, "00" * 8, 0), (2, "00" * 8, 0)]
+    for rows in ([(1, [0.5] * 9, 1)], [(1, [0.5] * 8, 1), (2, [0.5] * 16, 1)], [(1, [2e4] * 8, 1)]):
+        with pytest.raises(Exception, match="components"):
+            coded(spark, rows)
+
+
+def test_boxes_keep_every_entry_that_can_be_nearest(monkeypatch):
+    """Points on the edges of boxes, hashes that clash and a full memory change nothing."""
+    rng = np.random.default_rng(2)
+    entries = rng.integers(-900, 900, (16, 4))
+    points = np.concatenate([rng.integers(-1500, 1500, (3000, 4)), entries, entries // 256 * 256])
+    distance = ((points[:, None] - entries) ** 2).sum(axis=2)
+    for _ in range(2):
+        for shift in (0, 3, 8, 12):
+            cells = gridcodes._Cells(entries)
+            cells.shift = shift
+            index, error = cells.nearest(points)
+            assert (index == distance.argmin(axis=1)).all() and (error == distance.min(axis=1)).all()
+        monkeypatch.setattr(gridcodes, "_HASH", np.zeros(4, np.int64))
+        monkeypatch.setattr(gridcodes, "_MOST_BOXES", 5)
+
+
