@@ -122,9 +122,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
     dataset = dataset_name(args.color)
     match args.job:
         case "bronze":
-            return plans.ingest_bronze(spark, _input(args), args.bronze_base, dataset)
+            return plans.ingest_bronze(
+                spark, _input(args), args.bronze_base, dataset, args.skip_corrupt
+            )
         case "bronze-all":
-            return plans.ingest_bronze_months(spark, args.raw_base, args.bronze_base, dataset)
+            return plans.ingest_bronze_months(
+                spark, args.raw_base, args.bronze_base, dataset, args.skip_corrupt
+            )
         case "silver":
             return plans.build_silver(
                 spark, args.bronze_base, args.silver_base, dataset, args.pickup, args.skip_corrupt
@@ -136,7 +140,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
         case "topic-to-bronze":
             return plans.ingest_topic(spark, _topic(args), args.bronze_base, f"{dataset}_topic")
         case "publish":
-            return plans.publish_topic(spark, _input(args), _topic(args), args.limit)
+            return plans.publish_topic(
+                spark, _input(args), _topic(args), args.limit, args.skip_corrupt
+            )
         case "dq":
             score = {"silver": plans.score_silver, "bronze": plans.score_bronze}[args.layer]
             base = {"silver": args.silver_base, "bronze": args.bronze_base}[args.layer]

@@ -1,6 +1,14 @@
 """Jobs that read, transform and write, and chains of them."""
 
-from farelake.plans.chains import run_batch, run_batch_all, run_evaluation, run_topic_batch
+from farelake.plans.chains import (
+    finish_batch,
+    follow_topic,
+    run_batch,
+    run_batch_all,
+    run_evaluation,
+    run_topic_batch,
+    start_batch,
+)
 from farelake.plans.jobs import (
     GoldStatus,
     SilverBuild,
@@ -12,24 +20,30 @@ from farelake.plans.jobs import (
     ingest_messages,
     ingest_topic,
     load_zone_lookup,
+    merge_messages,
     new_run,
     pickup_months,
     publish_topic,
     score_bronze,
     score_silver,
 )
+from farelake.plans.ledger import Ledger
 
 __all__ = [
     "GoldStatus",
+    "Ledger",
     "SilverBuild",
     "build_gold",
     "build_silver",
     "evaluate_gold",
+    "finish_batch",
+    "follow_topic",
     "ingest_bronze",
     "ingest_bronze_months",
     "ingest_messages",
     "ingest_topic",
     "load_zone_lookup",
+    "merge_messages",
     "new_run",
     "pickup_months",
     "publish_topic",
@@ -39,4 +53,5 @@ __all__ = [
     "run_topic_batch",
     "score_bronze",
     "score_silver",
+    "start_batch",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -15,8 +16,10 @@ from pyspark.sql.types import StructType
 from farelake.functions.months import month_of_name
 from farelake.operators import clean_trips, monthly_kpis, profile, summarise_gold
 from farelake.operators.clean import PICKUP
+from farelake.plans.ledger import Ledger, Month
 from farelake.schemas import DEFAULT_DATASET, FACT_TRIPS_MONTHLY, GOLD_TABLE, TOPIC_DATASET
-from farelake.sinks import Warehouse, spread_by_month, write_month, write_months
+from farelake.session import scratch_path
+from farelake.sinks import Warehouse, exists, spread_by_month, write_month, write_months
 from farelake.sources import (
     first_rows,
     raw_inputs,
@@ -27,15 +30,14 @@ from farelake.sources import (
     read_raw,
     read_silver,
     read_zone_csv,
+    scanned_path,
     skipped_files,
 )
-from farelake.streaming import Topic, decode_trips, encode
+from farelake.streaming import Topic, encode, last_of_each_key, message_key, trip_messages
 
 
-#: Year and month, both null for trips without a pickup.
-Month = tuple[int | None, int | None]
-
 _MONTHS_AT_ONCE = 8
+_LOG = logging.getLogger(__name__)
 
 
 class GoldStatus(Enum):
@@ -51,19 +53,27 @@ def new_run() -> tuple[str, int]:
 
 
 def ingest_bronze(
-    spark: SparkSession, input_path: str, bronze_base: str, dataset: str = DEFAULT_DATASET
+    spark: SparkSession,
+    input_path: str,
+    bronze_base: str,
+    dataset: str = DEFAULT_DATASET,
+    skip_corrupt: bool = False,
 ) -> str:
     """One raw month into Bronze; its month is read from the name of the input.
 
     Columns and types stay as they are in the file; where files of the month differ
     in the type of a column, it gets the widest. Returns the path written.
     """
-    rows = read_inputs(spark, [input_path])[input_path]
+    rows = read_inputs(spark, [input_path], skip_corrupt)[input_path]
     return write_month(rows, f"{bronze_base}/{dataset}", *month_of_name(input_path))
 
 
 def ingest_bronze_months(
-    spark: SparkSession, raw_base: str, bronze_base: str, dataset: str = DEFAULT_DATASET
+    spark: SparkSession,
+    raw_base: str,
+    bronze_base: str,
+    dataset: str = DEFAULT_DATASET,
+    skip_corrupt: bool = False,
 ) -> list[str]:
     """All raw months of a dataset into Bronze. Returns the inputs.
 
@@ -81,7 +91,7 @@ def ingest_bronze_months(
         other = named.setdefault(month_of_name(path), path)
         if other != path:
             raise ValueError(f"{other} and {path} are the same month; Bronze keeps one input each")
-    frames = read_inputs(spark, inputs)
+    frames = read_inputs(spark, inputs, skip_corrupt)
     root = f"{bronze_base}/{dataset}"
     with ThreadPoolExecutor(_MONTHS_AT_ONCE) as pool:
         list(pool.map(lambda path: write_month(frames[path], root, *month_of_name(path)), inputs))
@@ -183,6 +193,8 @@ def build_silver(
         left = {(r.year, r.month) for r in cleaned.select("year", "month").distinct().collect()}
         _replace_months(spark, rows, path, months, left)
     skipped = skipped_files(spark, bronze_base, dataset).collect() if skip_corrupt else []
+    for row in skipped:
+        _LOG.warning("skipped as corrupt or empty: %s", row.path)
     return SilverBuild(path, sorted(row.path for row in skipped))
 
 
@@ -226,9 +238,13 @@ def build_gold(
 def ingest_messages(
     envelope: DataFrame, bronze_base: str, dataset: str = DEFAULT_DATASET
 ) -> str:
-    """Messages into Bronze by pickup month; months without messages are kept."""
+    """Messages into Bronze by pickup month; months without messages are kept.
+
+    Of messages with one key the last counts, so it doesn't matter how often a record was
+    published. Bronze keeps what names and orders a message beside the record.
+    """
     path = f"{bronze_base}/{dataset}"
-    write_months(spread_by_month(decode_trips(envelope)), path, replace="present")
+    write_months(spread_by_month(trip_messages(envelope)), path, replace="present")
     return path
 
 
@@ -240,16 +256,65 @@ def ingest_topic(
     Whole months are overwritten, so a topic that is read in part is refused.
     """
     if not topic.whole:
-        raise ValueError("months would lose the messages outside the offsets; read the whole topic")
+        raise ValueError(
+            "months would lose the messages that are not read; read the whole topic: all "
+            "partitions from first to last offset, stopping where messages are lost"
+        )
     return ingest_messages(topic.read(spark), bronze_base, dataset)
 
 
+def merge_messages(
+    spark: SparkSession, envelope: DataFrame, bronze_base: str, ledger: Ledger, dataset: str
+) -> None:
+    """More messages into Bronze, beside those it has.
+
+    The months that are rewritten are those of the new records and those that hold
+    older records of the same keys; these are written down in ``ledger`` first. Merging the same
+    messages twice changes nothing.
+    """
+    path = f"{bronze_base}/{dataset}"
+    fresh = scratch_path(spark, "messages")
+    trip_messages(envelope).write.parquet(fresh)
+    fresh = spark.read.parquet(fresh)
+    if fresh.isEmpty():
+        return
+    stored = fresh.limit(0)
+    if exists(spark, path):
+        stored = spark.read.schema(fresh.schema).option("basePath", path).parquet(path)
+    older = stored.select("message_key", "year", "month").join(
+        fresh.select("message_key"), "message_key", "left_semi"
+    )
+    found = fresh.select("year", "month").union(older.select("year", "month")).distinct()
+    months = {(row.year, row.month) for row in found.collect()}
+    ledger.note(months)
+    merged = scratch_path(spark, "messages-merged")
+    both = stored.where(_dated_in(months)).unionByName(fresh)
+    last_of_each_key(both).write.parquet(merged)
+    rows = spark.read.schema(fresh.schema).parquet(merged)
+    left = {(r.year, r.month) for r in rows.select("year", "month").distinct().collect()}
+    _replace_months(spark, spread_by_month(rows), path, months, left)
+
+
 def publish_topic(
-    spark: SparkSession, input_path: str, topic: Topic, limit: int | None = None
+    spark: SparkSession,
+    input_path: str,
+    topic: Topic,
+    limit: int | None = None,
+    skip_corrupt: bool = False,
 ) -> None:
-    """All rows of a raw month, or the first ``limit``, onto a topic."""
-    rows = read_raw(spark, input_path) if limit else read_inputs(spark, [input_path])[input_path]
-    topic.write(encode(first_rows(rows, limit)))
+    """All rows of a raw month, or the first ``limit``, onto a topic.
+
+    Each message is named by its input and its place there, so publishing again, after a
+    crash or with corrected rows, replaces records and adds none. Rows beyond the end of a
+    corrected, shorter input stay.
+    """
+    key = {"message_key": message_key(input_path, scanned_path(), F.col("_metadata.row_index"))}
+    if limit:
+        raw = read_raw(spark, input_path, skip_corrupt=skip_corrupt)
+        rows = first_rows(raw, limit).withColumns(key)
+    else:
+        rows = read_inputs(spark, [input_path], skip_corrupt, more=key)[input_path]
+    topic.write(encode(rows, key="message_key"))
 
 
 def score_silver(
@@ -259,9 +324,9 @@ def score_silver(
     dataset: str = DEFAULT_DATASET,
     run: tuple[str, int] | None = None,
 ) -> None:
-    """Quality of Silver, added to the results of earlier runs."""
+    """Quality of Silver, added to the results of earlier runs; a run is added once."""
     scored = profile(read_silver(spark, silver_base, dataset), *(run or new_run()))
-    warehouse.append(scored, "dq_results")
+    warehouse.record(scored, "dq_results")
 
 
 def score_bronze(
@@ -271,9 +336,9 @@ def score_bronze(
     dataset: str = DEFAULT_DATASET,
     run: tuple[str, int] | None = None,
 ) -> None:
-    """Quality of Bronze, before its filters, added to the results of earlier runs."""
+    """Quality of Bronze, before its filters, added to those of earlier runs; a run is added once."""
     scored = profile(read_bronze(spark, bronze_base, dataset), *(run or new_run()))
-    warehouse.append(scored, "dq_results")
+    warehouse.record(scored, "dq_results")
 
 
 def evaluate_gold(
@@ -282,9 +347,9 @@ def evaluate_gold(
     warehouse: Warehouse,
     run: tuple[str, int] | None = None,
 ) -> None:
-    """Totals over Gold, added to the metrics of earlier runs."""
+    """Totals over Gold, added to the metrics of earlier runs; a run is added once."""
     metrics = summarise_gold(read_gold_or_empty(spark, gold_base), *(run or new_run()))
-    warehouse.append(metrics, "metrics_pipeline_runs")
+    warehouse.record(metrics, "metrics_pipeline_runs")
 
 
 def load_zone_lookup(spark: SparkSession, csv_path: str, warehouse: Warehouse) -> None:

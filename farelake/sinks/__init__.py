@@ -1,5 +1,6 @@
 """Writers of every layer."""
 
+from farelake.sinks.files import exists, remove
 from farelake.sinks.parquet import spread_by_month, write_month, write_months
 from farelake.sinks.warehouse import FileWarehouse, JdbcWarehouse, Warehouse, register_views
 
@@ -7,7 +8,9 @@ __all__ = [
     "FileWarehouse",
     "JdbcWarehouse",
     "Warehouse",
+    "exists",
     "register_views",
+    "remove",
     "spread_by_month",
     "write_month",
     "write_months",

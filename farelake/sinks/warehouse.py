@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from farelake.operators.conform import to_table
 from farelake.operators.serving import latest_run
 from farelake.schemas import LATEST_VIEWS, PRIMARY_KEYS, SERVING_TABLES
+from farelake.sinks.files import exists
 
 
 def check_keys(df: DataFrame, table: str) -> None:
@@ -36,6 +37,15 @@ def check_keys(df: DataFrame, table: str) -> None:
         )
 
 
+def unrecorded(records: DataFrame, stored: DataFrame, table: str) -> DataFrame:
+    """One record for each run that ``stored`` has none of.
+
+    A job that is tried again, or a run that is evaluated twice, adds its record once.
+    """
+    once = records.dropDuplicates(["run_id"]).join(stored.select("run_id"), "run_id", "left_anti")
+    return to_table(once, table)
+
+
 class Warehouse(Protocol):
     """Where serving tables live."""
 
@@ -45,6 +55,9 @@ class Warehouse(Protocol):
     def append(self, df: DataFrame, table: str) -> None:
         """Add the rows of ``df`` to the table."""
 
+    def record(self, df: DataFrame, table: str) -> None:
+        """Add records of runs, but none of a run the table has a record of."""
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """The table under its contract."""
 
@@ -57,6 +70,10 @@ class JdbcWarehouse:
     primary key and indexes. Spark empties and fills in separate transactions:
     a reader may see the table empty in between, and a failed fill leaves it so
     until the job runs again.
+
+    ``record`` looks up run ids first. Two jobs that record the same run at one moment are kept
+    apart by the database alone: a unique key on ``run_id`` makes the second insert fail and
+    leaves the first record.
     """
 
     url: str
@@ -85,6 +102,9 @@ class JdbcWarehouse:
     def append(self, df: DataFrame, table: str) -> None:
         to_table(df, table).write.format("jdbc").options(**self.options(table)).mode("append").save()
 
+    def record(self, df: DataFrame, table: str) -> None:
+        self.append(unrecorded(df, self.read(df.sparkSession, table), table), table)
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return to_table(spark.read.format("jdbc").options(**self.options(table)).load(), table)
 
@@ -102,6 +122,11 @@ class FileWarehouse:
     def append(self, df: DataFrame, table: str) -> None:
         to_table(df, table).write.mode("append").parquet(f"{self.base}/{table}")
 
+    def record(self, df: DataFrame, table: str) -> None:
+        if exists(df.sparkSession, f"{self.base}/{table}"):
+            df = unrecorded(df, self.read(df.sparkSession, table), table)
+        self.append(df, table)
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.schema(SERVING_TABLES[table]).parquet(f"{self.base}/{table}")
 

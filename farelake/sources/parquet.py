@@ -154,21 +154,39 @@ def _widest(types: list[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
-def read_mixed(spark: SparkSession, groups: list[tuple[T.StructType, list[str]]]) -> DataFrame:
-    """Files of several schemas as one frame; each column has the widest of its types."""
+def read_mixed(
+    spark: SparkSession,
+    groups: list[tuple[T.StructType, list[str]]],
+    more: dict[str, Column] | None = None,
+    skip_corrupt: bool = False,
+) -> DataFrame:
+    """Files of several schemas as one frame; each column has the widest of its types.
+
+    ``more`` adds columns made where the files are read, from ``_metadata`` for one.
+    """
     kinds: dict[str, tuple[str, list[T.DataType]]] = {}
     for schema, _ in groups:
         for field in schema:
             kinds.setdefault(field.name.lower(), (field.name, []))[1].append(field.dataType)
     wide = T.StructType([T.StructField(name, _widest(types)) for name, types in kinds.values()])
-    scans = [conform(read_raw(spark, *paths, schema=schema), wide) for schema, paths in groups]
-    return reduce(DataFrame.unionByName, scans)
+    more = more or {}
+    scans = [
+        read_raw(spark, *paths, schema=schema, skip_corrupt=skip_corrupt).withColumns(more)
+        for schema, paths in groups
+    ]
+    return reduce(DataFrame.unionByName, [conform(scan, wide, keep=list(more)) for scan in scans])
 
 
 def read_inputs(
-    spark: SparkSession, inputs: list[str], skip_corrupt: bool = False
+    spark: SparkSession,
+    inputs: list[str],
+    skip_corrupt: bool = False,
+    more: dict[str, Column] | None = None,
 ) -> dict[str, DataFrame]:
-    """One frame for each raw input, from as few looks at footers as they have schemas."""
+    """One frame for each raw input, from as few looks at footers as they have schemas.
+
+    ``more`` as in :func:`read_mixed`.
+    """
     found: dict[str, list[tuple[T.StructType, list[str]]]] = {path: [] for path in inputs}
     split: list[tuple[T.StructType, list[str]]] = []
     for schema, paths in schema_groups(spark, inputs, skip_corrupt=skip_corrupt):
@@ -184,9 +202,12 @@ def read_inputs(
                 (schema, [f for f in files if f"{root}/" in unquote(f)]) for schema, files in split
             ]
             groups = [(schema, files) for schema, files in below_path if files]
-        frames[path] = read_mixed(spark, groups) if len(groups) > 1 else read_raw(
-            spark, *groups[0][1], schema=groups[0][0]
-        )
+        if len(groups) > 1:
+            frames[path] = read_mixed(spark, groups, more, skip_corrupt)
+        else:
+            schema, paths = groups[0]
+            scan = read_raw(spark, *paths, schema=schema, skip_corrupt=skip_corrupt)
+            frames[path] = scan.withColumns(more or {})
     return frames
 
 

@@ -1,8 +1,13 @@
 """Trip records as JSON messages on a topic.
 
-The topic is read from its first to its last offset in one batch. Every run
-replays all it holds and then overwrites whole months, so a month is complete
-only while the topic still retains all of its messages.
+A topic is replayed from its first to its last offset in one batch, which then overwrites whole
+months, so a month is complete only while the topic still retains all of its messages. Or it
+is followed: each run takes the messages behind those the last one ended with.
+
+A message has a key that names the record: its input and its place there. Publishing an input
+again, whole or in part, repeats keys, and the last message of a key is the record.
+A message without a key is named by its own place on the topic, so it's read once however often it
+is looked at.
 """
 
 from __future__ import annotations
@@ -12,13 +17,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from farelake.functions.times import iso_seconds, parse_timestamp
 from farelake.operators.clean import PICKUP
-from farelake.schemas import PAYLOAD
+from farelake.schemas import PAYLOAD, contract
 
 # Client time-outs and waits in milliseconds, and the default topic.
 CLIENT_OPTIONS = {
@@ -41,6 +47,9 @@ DEFAULT_TOPIC = "trips_raw"
 
 _TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
 
+#: What names and orders a message, kept beside the record it carries.
+MESSAGE = contract("message_key binary, message_time timestamp, message_offset bigint")
+
 
 class Topic(Protocol):
     """Something messages are written to and read from."""
@@ -52,8 +61,11 @@ class Topic(Protocol):
     def read(self, spark: SparkSession) -> DataFrame:
         """All messages with their envelope."""
 
+    def follow(self, spark: SparkSession) -> DataFrame:
+        """The messages as a stream, from the first the topic holds."""
+
     def write(self, messages: DataFrame) -> None:
-        """Add messages held in a ``value`` column."""
+        """Add messages held in a ``value`` column, named by ``key`` where there is one."""
 
 
 @dataclass(frozen=True)
@@ -61,7 +73,8 @@ class KafkaTopic:
     """A Kafka topic, read without committing offsets of a consumer group.
 
     All partitions are read, or the first ``num_partitions`` by explicit assignment
-    where that is given. Messages that are gone before they are read stop the job.
+    where that is given. Messages that are gone before they are read stop the job. Only a read of
+    all partitions from first to last offset that would notice lost messages is ``whole``.
     A partition is one task unless ``min_tasks`` asks for more; partitions are
     then split by offsets, so one that holds most messages is not one task.
     """
@@ -76,7 +89,12 @@ class KafkaTopic:
 
     @property
     def whole(self) -> bool:
-        return self.starting_offsets == "earliest" and self.ending_offsets == "latest"
+        return (
+            self.starting_offsets == "earliest"
+            and self.ending_offsets == "latest"
+            and self.num_partitions is None
+            and self.fail_on_data_loss
+        )
 
     def read_options(self) -> dict[str, str]:
         """Options of the bounded read."""
@@ -96,18 +114,27 @@ class KafkaTopic:
         }
 
     def write_options(self) -> dict[str, str]:
-        """Options of the write; messages have no key, so partitions take turns."""
+        """Options of the write; all messages of a key go to one partition."""
         return {
             "kafka.bootstrap.servers": self.bootstrap,
             "topic": self.topic,
             **PRODUCER_OPTIONS,
         }
 
+    def _named(self, envelope: DataFrame) -> DataFrame:
+        place = F.concat_ws("#", "topic", "partition", "offset").cast("binary")
+        return envelope.withColumn("key", F.coalesce("key", place))
+
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format("kafka").options(**self.read_options()).load()
+        return self._named(spark.read.format("kafka").options(**self.read_options()).load())
+
+    def follow(self, spark: SparkSession) -> DataFrame:
+        options = {k: v for k, v in self.read_options().items() if k != "endingOffsets"}
+        return self._named(spark.readStream.format("kafka").options(**options).load())
 
     def write(self, messages: DataFrame) -> None:
-        messages.select("value").write.format("kafka").options(**self.write_options()).save()
+        columns = [name for name in ("key", "value") if name in messages.columns]
+        messages.select(*columns).write.format("kafka").options(**self.write_options()).save()
 
 
 @dataclass(frozen=True)
@@ -117,29 +144,48 @@ class FileTopic:
     path: str
     whole: bool = True
 
+    _STORED = "key binary, value binary, timestamp timestamp"
+
     def write(self, messages: DataFrame) -> None:
-        value = F.col("value").cast("binary").alias("value")
-        messages.select(value).write.mode("append").parquet(self.path)
+        key = F.col("key") if "key" in messages.columns else F.lit(None)
+        messages.select(
+            key.cast("binary").alias("key"),
+            F.col("value").cast("binary").alias("value"),
+            F.current_timestamp().alias("timestamp"),
+        ).write.mode("append").parquet(self.path)
+
+    def _named(self, stored: DataFrame) -> DataFrame:
+        row = F.col("_metadata.row_index")
+        place = F.concat_ws("#", "_metadata.file_name", row).cast("binary")
+        return stored.select(
+            F.coalesce("key", place).alias("key"), "value", "timestamp", row.alias("offset")
+        )
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema("value binary").parquet(self.path)
+        return self._named(spark.read.schema(self._STORED).parquet(self.path))
+
+    def follow(self, spark: SparkSession) -> DataFrame:
+        return self._named(spark.readStream.schema(self._STORED).parquet(self.path))
 
 
-def encode(df: DataFrame) -> DataFrame:
-    """Each row as one JSON object in ``value``.
+def encode(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Each row as one JSON object in ``value``; a column that is its ``key`` stands apart.
 
     Columns named after a datetime or timestamp take the wire format, other
     timestamps their plain text. Null fields are left out of the object.
     """
     fields = []
     for field in df.schema:
+        if field.name == key:
+            continue
         column = F.col(f"`{field.name}`")
         if "datetime" in field.name or "timestamp" in field.name:
             column = iso_seconds(column)
         elif isinstance(field.dataType, _TIMESTAMPS):
             column = column.cast("string")
         fields.append(column.alias(field.name))
-    return df.select(F.to_json(F.struct(*fields)).alias("value"))
+    value = F.to_json(F.struct(*fields)).alias("value")
+    return df.select(F.col(key).cast("binary").alias("key"), value) if key else df.select(value)
 
 
 def decode(
@@ -163,15 +209,48 @@ def decode(
     return parsed.select(*keep, *fields)
 
 
-def decode_trips(envelope: DataFrame) -> DataFrame:
+def decode_trips(envelope: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Trip records from messages, with the ``year`` and ``month`` of their pickup."""
-    records = decode(envelope)
-    times = [name for name in records.columns if "datetime" in name]
+    records = decode(envelope, keep=keep)
+    times = [name for name in PAYLOAD.names if "datetime" in name]
     return records.withColumns({name: parse_timestamp(F.col(name)) for name in times}).withColumns(
         {"year": F.year(PICKUP), "month": F.month(PICKUP)}
     )
 
 
+def trip_messages(envelope: DataFrame) -> DataFrame:
+    """Trip records after the columns of :data:`MESSAGE`, the last of each key.
+
+    What the envelope lacks is null; messages without a key are all kept.
+    """
+    columns = zip(("key", "timestamp", "offset"), MESSAGE)
+    named = [
+        (F.col(name) if name in envelope.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for name, f in columns
+    ]
+    records = decode_trips(envelope.select(*named, "value"), keep=MESSAGE.names)
+    return last_of_each_key(records) if "key" in envelope.columns else records
+
+
+def last_of_each_key(records: DataFrame) -> DataFrame:
+    """The record of each ``message_key`` with the latest time, then the greatest offset.
+
+    A key occurs as often as its record was published, so no group is large; tasks drop
+    all but their last of a key before the exchange.
+    """
+    key, time, offset = (F.col(name) for name in MESSAGE.names)
+    latest = Window.partitionBy(key).orderBy(time.desc_nulls_last(), offset.desc_nulls_last())
+    keyed = records.where(key.isNotNull()).withColumn("place", F.row_number().over(latest))
+    return keyed.where("place = 1").drop("place").unionByName(records.where(key.isNull()))
+
+
+def message_key(input_path: str, path: Column, row: Column) -> Column:
+    """Name of a record: its input, its file there, and its place in the file."""
+    name = input_path.rstrip("/").rsplit("/", 1)[-1]
+    inside = F.regexp_replace(path, rf"^.*/\Q{name}\E/?", "")
+    return F.concat_ws("#", F.lit(name), inside, row)
+
+
 def peek(envelope: DataFrame, n: int = 10) -> DataFrame:
     """The first ``n`` messages by partition and offset."""
     return envelope.orderBy("partition", "offset").limit(n)

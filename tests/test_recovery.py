@@ -1,0 +1,259 @@
+"""Runs that end early, are tried again, or go on where another ended."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from helpers import parquet_files, rows, when
+from test_chains import FACT, SCHEMA, bases, month_file, raw  # noqa: F401
+
+from farelake.plans import (
+    GoldStatus,
+    Ledger,
+    build_silver,
+    evaluate_gold,
+    finish_batch,
+    follow_topic,
+    ingest_topic,
+    publish_topic,
+    run_batch,
+    run_batch_all,
+    run_evaluation,
+    run_topic_batch,
+    start_batch,
+)
+from farelake.schemas import DEFAULT_DATASET, TOPIC_DATASET
+from farelake.sinks import FileWarehouse, exists
+from farelake.sources import read_bronze, read_silver
+from farelake.streaming import FileTopic, KafkaTopic, decode_trips
+
+UNDATED = (1900, 1)
+
+
+def state(spark, layers):
+    facts = layers[3].read(spark, "fact_trips_monthly")
+    return rows(read_silver(spark, layers[1])), rows(facts)
+
+
+def rebuilt(spark, base, layers):
+    """What a full rebuild from the same Bronze gives."""
+    bronze, _, _, _ = layers
+    other = (bronze, f"{base}/all/silver", f"{base}/all/gold", FileWarehouse(f"{base}/all/w"))
+    finish = Ledger(spark, other[1], DEFAULT_DATASET)
+    finish.note(None)
+    finish_batch(spark, *other, undated=UNDATED)
+    return state(spark, other)
+
+
+@pytest.fixture
+def two_months(spark, base):
+    """January with a stray of February and one of March, and a shorter January to come."""
+    first = [("2023-01-05T00:00:00", 1.0), ("2023-02-01T00:00:00", 2.0), ("2023-03-01T00:00:00", 3.0)]
+    month_file(spark, base, 1, first)
+    month_file(spark, base, 2, [("2023-02-07T00:00:00", 4.0), (None, 5.0)])
+    layers = bases(base)
+    run_batch_all(spark, f"{base}/raw", *layers, undated=UNDATED)
+    return layers, month_file(spark, base, 1, [("2023-01-06T00:00:00", 6.0)])
+
+
+def test_a_run_that_ends_behind_bronze_is_made_up_for(spark, base, two_months):
+    layers, path = two_months
+    start_batch(spark, path, *layers[:3])
+    assert run_batch(spark, path, *layers, undated=UNDATED) is GoldStatus.WRITTEN
+    assert state(spark, layers) == rebuilt(spark, base, layers)
+    assert [f[:3] for f in state(spark, layers)[1]] == [(1900, 1, 1), (2023, 1, 1), (2023, 2, 1)]
+
+
+def test_so_is_one_that_ends_behind_silver_by_a_run_of_another_month(spark, base, two_months):
+    layers, path = two_months
+    start_batch(spark, path, *layers[:3])
+    owed = Ledger(spark, layers[1], DEFAULT_DATASET).owed()
+    assert owed.months == {(2023, 1), (2023, 2), (2023, 3)} and len(owed.entries) == 1
+    build_silver(spark, *layers[:2], months=set(owed.months))
+    other = month_file(spark, base, 4, [("2023-04-06T00:00:00", 7.0)])
+    run_batch(spark, other, *layers, undated=UNDATED)
+    assert state(spark, layers) == rebuilt(spark, base, layers)
+    assert Ledger(spark, layers[1], DEFAULT_DATASET).owed().entries == ()
+
+
+def test_months_stay_owed_until_gold_is_published(spark, base, two_months):
+    layers, path = two_months
+    with pytest.raises(ValueError, match="null"):
+        run_batch(spark, month_file(spark, base, 5, [(None, 1.0)]), *layers)
+    assert Ledger(spark, layers[1], DEFAULT_DATASET).owed().months == {(None, None)}
+    run_batch(spark, path, *layers, undated=UNDATED)
+    assert state(spark, layers) == rebuilt(spark, base, layers)
+    assert Ledger(spark, layers[1], DEFAULT_DATASET).owed().months == frozenset()
+
+
+def test_a_first_run_that_ends_early_is_built_whole(spark, base, raw):  # noqa: F811
+    layers = bases(base)
+    start_batch(spark, raw, *layers[:3])
+    build_silver(spark, *layers[:2])
+    assert Ledger(spark, layers[1], DEFAULT_DATASET).owed().months is None
+    assert finish_batch(spark, *layers) is GoldStatus.WRITTEN
+    assert rows(layers[3].read(spark, "fact_trips_monthly")) == FACT
+
+
+def test_the_ledger_strikes_out_what_it_showed(spark, base):
+    ledger = Ledger(spark, f"{base}/silver", "trips")
+    assert ledger.owed().entries == () and ledger.owed().months == frozenset()
+    ledger.note({(2023, 1), (None, None)})
+    shown = ledger.owed()
+    ledger.note(set())
+    ledger.note({(2023, 2)})
+    ledger.strike(shown)
+    assert shown.months == {(2023, 1), (None, None)} and ledger.owed().months == {(2023, 2)}
+    ledger.note(None)
+    assert ledger.owed().months is None
+    assert Ledger(spark, f"{base}/silver", "other").owed().months == frozenset()
+    assert exists(spark, f"{base}/silver") and not exists(spark, f"{base}/bronze")
+
+
+# Messages
+
+
+def test_publishing_twice_is_publishing_once(spark, base, raw):  # noqa: F811
+    topic = FileTopic(f"{base}/topic")
+    for _ in range(2):
+        run_topic_batch(spark, raw, topic, *bases(base))
+    assert topic.read(spark).count() == 10
+    assert rows(bases(base)[3].read(spark, "fact_trips_monthly")) == FACT
+
+
+def test_the_last_message_of_a_record_counts(spark, base):
+    """A part that was published before a crash, and rows that were corrected."""
+    topic = FileTopic(f"{base}/topic")
+    path = month_file(spark, base, 1, [("2023-01-05T00:00:00", 1.0), ("2023-01-06T00:00:00", 2.0)])
+    publish_topic(spark, path, topic, limit=1)
+    publish_topic(spark, path, topic)
+    frame = spark.createDataFrame([(1, when("2023-02-05T00:00:00"), 1.0, 2.0, 9.0)], SCHEMA)
+    name = bytes(topic.read(spark).first().key).decode().split("#")[1]
+    frame.coalesce(1).write.mode("overwrite").parquet(f"{base}/new")
+    (fixed,) = parquet_files(f"{base}/new")
+    corrected = f"{base}/corrected/yellow_tripdata_2023-01.parquet"
+    spark.read.parquet(fixed).write.parquet(corrected)
+    # Rename the file like that of the first publication, as a file loaded again has its name.
+    (written,) = parquet_files(corrected)
+    os.rename(written, f"{corrected}/{name}")
+    publish_topic(spark, corrected, topic)
+    ingest_topic(spark, topic, f"{base}/bronze")
+    found = read_bronze(spark, f"{base}/bronze", TOPIC_DATASET).select("tip_amount", "month")
+    assert rows(found) == [(2.0, 1), (9.0, 2)]
+
+
+def test_messages_without_keys_are_all_kept(spark, base):
+    topic = FileTopic(f"{base}/topic")
+    same = ['{"tip_amount": 1.0, "tpep_pickup_datetime": "2023-01-01T00:00:00"}'] * 3
+    topic.write(spark.createDataFrame([(v,) for v in same], "value string"))
+    assert decode_trips(topic.read(spark)).count() == 3
+    ingest_topic(spark, topic, f"{base}/bronze")
+    assert read_bronze(spark, f"{base}/bronze", TOPIC_DATASET).count() == 3
+
+
+@pytest.mark.parametrize(
+    "topic",
+    [
+        KafkaTopic(starting_offsets="latest"),
+        KafkaTopic(ending_offsets='{"trips_raw":{"0":5}}'),
+        KafkaTopic(num_partitions=1),
+        KafkaTopic(fail_on_data_loss=False),
+    ],
+)
+def test_a_topic_that_may_be_read_in_part_is_refused(spark, base, topic):
+    assert not topic.whole
+    with pytest.raises(ValueError, match="whole topic"):
+        ingest_topic(spark, topic, f"{base}/bronze")
+    assert not exists(spark, f"{base}/bronze")
+
+
+def replayed(spark, base, topic):
+    other = bases(f"{base}/other")
+    ingest_topic(spark, topic, other[0])
+    Ledger(spark, other[1], TOPIC_DATASET).note(None)
+    finish_batch(spark, *other, dataset=TOPIC_DATASET, undated=UNDATED)
+    return rows(read_silver(spark, other[1], TOPIC_DATASET)), rows(other[3].read(spark, "fact_trips_monthly"))
+
+
+def followed(spark, layers):
+    facts = rows(layers[3].read(spark, "fact_trips_monthly"))
+    return rows(read_silver(spark, layers[1], TOPIC_DATASET)), facts
+
+
+def test_following_a_topic_equals_replaying_it(spark, base):
+    """New months, more of old ones, repeated records and records that change their month."""
+    topic, layers, mark = FileTopic(f"{base}/topic"), bases(base), f"{base}/checkpoint"
+
+    def follow():
+        status = follow_topic(spark, topic, *layers, mark, undated=UNDATED)
+        assert followed(spark, layers) == replayed(spark, f"{base}/{len(seen)}", topic)
+        seen.append(status)
+
+    seen = []
+    one = month_file(spark, base, 1, [("2023-01-05T00:00:00", 1.0), (None, 2.0)])
+    two = month_file(spark, base, 2, [("2023-02-05T00:00:00", 3.0), ("2023-01-31T00:00:00", 4.0)])
+    publish_topic(spark, one, topic)
+    follow()
+    publish_topic(spark, two, topic)
+    publish_topic(spark, one, topic)
+    follow()
+    key = topic.read(spark).select("key").distinct().orderBy("key").first().key
+    moved = '{"trip_distance": 1.0, "fare_amount": 2.0, "tpep_pickup_datetime": "2023-06-01T00:00:00"}'
+    topic.write(spark.createDataFrame([(key, moved)], "key binary, value string"))
+    follow()
+    follow()
+    assert seen == [GoldStatus.WRITTEN] * 4
+    assert [f[:2] for f in followed(spark, layers)[1]] == [(1900, 1), (2023, 1), (2023, 2), (2023, 6)]
+
+
+def test_a_follower_reads_only_what_is_new_and_tries_again(spark, base, monkeypatch):
+    from farelake.plans import chains
+
+    topic, layers, mark = FileTopic(f"{base}/topic"), bases(base), f"{base}/checkpoint"
+    publish_topic(spark, month_file(spark, base, 1, [("2023-01-05T00:00:00", 1.0)]), topic)
+    follow_topic(spark, topic, *layers, mark)
+    merge, sizes = chains.merge_messages, []
+
+    def broken(session, messages, *rest):
+        sizes.append(messages.count())
+        merge(session, messages, *rest)
+        raise RuntimeError("ends behind Bronze")
+
+    publish_topic(spark, month_file(spark, base, 2, [("2023-02-05T00:00:00", 2.0)]), topic)
+    monkeypatch.setattr(chains, "merge_messages", broken)
+    with pytest.raises(Exception, match="ends behind Bronze"):
+        follow_topic(spark, topic, *layers, mark)
+    monkeypatch.setattr(chains, "merge_messages", merge)
+    follow_topic(spark, topic, *layers, mark)
+    assert sizes == [1] and followed(spark, layers) == replayed(spark, base, topic)
+
+
+# Records of runs
+
+
+def test_a_run_is_recorded_once(spark, base, raw):  # noqa: F811
+    layers = bases(base)
+    run_batch(spark, raw, *layers)
+    for runs in (("a", 1), ("a", 1), ("b", 2)):
+        run_evaluation(spark, *layers[1:], runs=(runs, runs))
+    evaluate_gold(spark, layers[2], layers[3])
+    for table, n in (("dq_results", 2), ("metrics_pipeline_runs", 3)):
+        assert layers[3].read(spark, table).count() == n
+
+
+def test_inputs_with_broken_files_are_read_where_asked_for(spark, base, raw):  # noqa: F811
+    with open(f"{raw}/broken.parquet", "wb") as file:
+        file.write(b"PAR1 not a file PAR1")
+    topic = FileTopic(f"{base}/topic")
+    for run in (
+        lambda **skip: run_batch(spark, raw, *bases(f"{base}/{len(skip)}"), **skip),
+        lambda **skip: publish_topic(spark, raw, topic, **skip),
+        lambda **skip: publish_topic(spark, raw, topic, 2, **skip),
+        lambda **skip: run_batch_all(spark, f"{base}/raw", *bases(f"{base}/all{len(skip)}"), **skip),
+    ):
+        with pytest.raises(Exception):
+            run()
+        run(skip_corrupt=True)
+    assert rows(bases(f"{base}/1")[3].read(spark, "fact_trips_monthly")) == FACT
+    assert topic.read(spark).count() == 7

@@ -165,6 +165,12 @@ SELECT * REPLACE (2001 AS year, 1 AS month) FROM trips WHERE year <= 1996
 UNION ALL BY NAME
 SELECT {_PAYLOAD}, {_NOT_SENT}, 2001 AS year, 2 AS month FROM trips WHERE year > 1996
 """,
+    "bronze_int96": f"""
+WITH {_RAW} SELECT * REPLACE (
+  CAST(CASE WHEN year <= 1995 THEN 1992 ELSE 1996 END AS INTEGER) AS year, 2 AS month
+) FROM trips
+""",
+    "bronze_skip_corrupt": f"WITH {_RAW}, {_SILVER} SELECT *, 2 AS left_out FROM silver",
     "bronze_conform": f"""
 WITH {_RAW}
 SELECT * FROM trips WHERE year < 2000
@@ -193,11 +199,18 @@ FROM names GROUP BY name
     "silver_incremental": f"""
 WITH {_RAW.replace('FROM lineitem', 'FROM lineitem WHERE NOT (year(l_shipdate) = 1995 AND month(l_shipdate) = 3 AND l_linenumber <= 2)')}, {_SILVER}
 SELECT * FROM silver
+""",
+    "batch_resume": f"""
+WITH {_RAW.replace('FROM lineitem', '''FROM lineitem
+  WHERE CASE WHEN year(l_shipdate) = 1995 AND month(l_shipdate) = 3 THEN l_linenumber > 2
+    ELSE l_linenumber > 1 END''')}, {_SILVER}
+SELECT * FROM silver
 """,
     "gold_publish": f"{_LAYERS} SELECT * FROM gold",
     "dq_profile": f"WITH {_RAW} {_scorecard('trips', _TRIP_RULES)}",
     "dq_score_silver": f"WITH {_RAW}, {_SILVER} {_scorecard('silver', _TRIP_RULES)}",
     "dq_score_bronze": f"WITH {_RAW} {_scorecard('trips', _TRIP_RULES)}",
+    "dq_record_once": f"WITH {_RAW} {_scorecard('trips', _TRIP_RULES)}",
     "dq_account_balance": f"""
 WITH accounts AS (SELECT * FROM customer) {_scorecard('accounts', _BALANCE_RULES)}
 """,
@@ -226,6 +239,8 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
 """,
     "topic_publish": f"WITH {_RAW} SELECT {_PAYLOAD}, {_PICKUP_MONTH} FROM trips",
+    "topic_replay": f"{_LAYERS} SELECT * FROM gold",
+    "topic_follow": f"{_LAYERS} SELECT * FROM gold",
     "topic_to_bronze": f"WITH {_RAW} SELECT {_PAYLOAD}, {_NOT_SENT}, {_PICKUP_MONTH} FROM trips",
     "topic_peek": """
 SELECT 'events' AS topic, CAST(event_id % 3 AS INTEGER) AS partition,

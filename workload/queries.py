@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.functions import exact_sum, month_columns
+from farelake.functions import exact_sum, month_columns, month_path
 from farelake.operators import (
     Rule,
     clean_trips,
@@ -31,6 +31,7 @@ from farelake.plans import (
     build_gold,
     build_silver,
     evaluate_gold,
+    follow_topic,
     ingest_bronze,
     ingest_bronze_months,
     ingest_topic,
@@ -42,6 +43,7 @@ from farelake.plans import (
     run_topic_batch,
     score_bronze,
     score_silver,
+    start_batch,
 )
 from farelake.schemas import PAYLOAD, TOPIC_DATASET, contract
 from farelake.session import scratch_path
@@ -93,6 +95,33 @@ def bronze_ingest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, f"{base}/bronze")
 
 
+def bronze_int96(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months named by the rule for raw files, with timestamps in the old 96-bit form."""
+    base = scratch_path(spark, "bronze-int96")
+    raw = raw_trips(table(spark, sf_dir, "lineitem"))
+    old = spark.newSession()
+    old.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    for year, where in ((1992, "file_year <= 1995"), (1996, "file_year > 1995")):
+        path = month_path(f"{base}/raw", "yellow", year, 2)
+        raw.where(where).drop("part_key", "file_year", "file_month").write.parquet(f"{path}-new")
+        old.read.parquet(f"{path}-new").write.parquet(path)
+        ingest_bronze(spark, path, f"{base}/bronze")
+    return read_bronze(spark, f"{base}/bronze")
+
+
+def bronze_skip_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and the count of files left out, where two months hold files that are no Parquet."""
+    base = scratch_path(spark, "bronze-corrupt")
+    write_bronze(spark, sf_dir, f"{base}/bronze")
+    broken = table(spark, sf_dir, "nation").select("n_name").coalesce(1)
+    for month in (3, 4):
+        leaf = f"{base}/bronze/{DATASET}/year=1995/month={month}"
+        broken.write.mode("append").text(leaf)
+    built = build_silver(spark, f"{base}/bronze", f"{base}/silver", skip_corrupt=True)
+    silver = read_silver(spark, f"{base}/silver")
+    return silver.withColumn("left_out", F.lit(len(built.skipped)))
+
+
 def bronze_ingest_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw month of files with three types of a column, and one without some columns."""
     base = scratch_path(spark, "bronze-ingest-mixed")
@@ -176,6 +205,32 @@ def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, f"{base}/silver")
 
 
+def batch_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after a run that ended when its Bronze month was written, and the next run of it.
+
+    The month's first file holds the strays of all others too; the second has some of
+    its own trips only.
+    """
+    base = scratch_path(spark, "batch-resume")
+    raw = raw_trips(table(spark, sf_dir, "lineitem"))
+    here = "file_year = 1995 AND file_month = 3"
+    stray = raw.where(f"NOT ({here}) AND payment_type = 1")
+    month = raw.where(here).unionByName(stray).drop("part_key", "file_year", "file_month")
+    rest = raw.where(f"NOT ({here}) AND payment_type > 1")
+    rest = rest.drop("part_key", "file_year", "file_month")
+    rest.write.parquet(f"{base}/raw/{DATASET}_2001-01.parquet")
+    month.write.parquet(f"{base}/raw/{DATASET}_1995-03.parquet")
+    warehouse = FileWarehouse(f"{base}/warehouse")
+    layers = f"{base}/bronze", f"{base}/silver", f"{base}/gold"
+    run_batch_all(spark, f"{base}/raw", *layers, warehouse, undated=UNDATED)
+    path = f"{base}/again/{DATASET}_1995-03.parquet"
+    fewer = raw.where(f"{here} AND payment_type > 2").drop("part_key", "file_year", "file_month")
+    fewer.write.parquet(path)
+    start_batch(spark, path, *layers)
+    run_batch(spark, path, *layers, warehouse, undated=UNDATED)
+    return read_silver(spark, f"{base}/silver")
+
+
 def gold_monthly_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold(spark, sf_dir)
 
@@ -244,6 +299,16 @@ def dq_score_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read(spark, "dq_results")
 
 
+def dq_record_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evaluation of one run, tried again."""
+    base = scratch_path(spark, "dq-once")
+    write_bronze(spark, sf_dir, f"{base}/bronze")
+    warehouse = FileWarehouse(f"{base}/warehouse")
+    for _ in range(2):
+        score_bronze(spark, f"{base}/bronze", warehouse, run=(RUN_ID, RUN_EPOCH))
+    return warehouse.read(spark, "dq_results")
+
+
 def dq_account_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     balance = F.col("c_acctbal")
     rules = [
@@ -300,6 +365,36 @@ def topic_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_trips(topic.read(spark))
 
 
+def topic_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic chain run twice on one input: the second time every message is a repeated one."""
+    base = scratch_path(spark, "topic-replay")
+    path = f"{base}/raw/{DATASET}_1995-01.parquet"
+    write_one_raw(spark, sf_dir, path)
+    warehouse = FileWarehouse(f"{base}/warehouse")
+    layers = f"{base}/bronze", f"{base}/silver", f"{base}/gold", warehouse
+    topic = FileTopic(f"{base}/topic")
+    for _ in range(2):
+        run_topic_batch(spark, path, topic, *layers, undated=UNDATED)
+    return published(spark, warehouse)
+
+
+def topic_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic that is followed: some messages, then the rest and some of the first again."""
+    base = scratch_path(spark, "topic-follow")
+    raw = raw_trips(table(spark, sf_dir, "lineitem")).drop("part_key", "file_year", "file_month")
+    topic = FileTopic(f"{base}/topic")
+    warehouse = FileWarehouse(f"{base}/warehouse")
+    layers = f"{base}/bronze", f"{base}/silver", f"{base}/gold", warehouse
+    first, second = (f"{base}/raw/{DATASET}_1995-0{month}.parquet" for month in (1, 2))
+    raw.where("payment_type <= 3").write.parquet(first)
+    raw.where("payment_type > 3").write.parquet(second)
+    for again in ([first], [second, first]):
+        for path in again:
+            publish_topic(spark, path, topic)
+        follow_topic(spark, topic, *layers, f"{base}/checkpoint", undated=UNDATED)
+    return published(spark, warehouse)
+
+
 def topic_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "topic-bronze")
     topic = FileTopic(f"{base}/topic")
@@ -386,16 +481,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_ingest": bronze_ingest,
     "bronze_ingest_month": bronze_ingest_month,
     "bronze_ingest_mixed": bronze_ingest_mixed,
+    "bronze_int96": bronze_int96,
+    "bronze_skip_corrupt": bronze_skip_corrupt,
     "bronze_conform": bronze_conform,
     "bronze_dynamic_overwrite": bronze_dynamic_overwrite,
     "month_from_filename": month_from_filename,
     "silver_clean": silver_clean,
     "silver_write": silver_write,
     "silver_incremental": silver_incremental,
+    "batch_resume": batch_resume,
     "gold_publish": gold_publish,
     "dq_profile": dq_profile,
     "dq_score_silver": dq_score_silver,
     "dq_score_bronze": dq_score_bronze,
+    "dq_record_once": dq_record_once,
     "dq_account_balance": dq_account_balance,
     "dq_failed_runs": dq_failed_runs,
     "eval_gold": eval_gold,
@@ -404,6 +503,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kafka_encode": kafka_encode,
     "kafka_decode": kafka_decode,
     "topic_publish": topic_publish,
+    "topic_replay": topic_replay,
+    "topic_follow": topic_follow,
     "topic_to_bronze": topic_to_bronze,
     "topic_peek": topic_peek,
     "latest_dq": latest_dq,
