@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm import bpe, decontaminate, linededup, neardup, toxicity
+from farelake.llm import bpe, decontaminate, linededup, simhash, toxicity
 from farelake.llm.common import materialize
 from farelake.llm.queries import table, toxicity_labels, vocabulary
 
@@ -32,10 +32,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id.
 
-    Near duplicates share four fifths of their five-word shingles; op10's two bits of three-word
-    fingerprints are the contract of that query alone.
+    The SimHash operator with the shingle length and the distance of its contract.
     """
-    return neardup.one_of_each(spark, docs)
+    return simhash.one_of_each(spark, docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
