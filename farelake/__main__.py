@@ -59,8 +59,8 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--month", type=int)
         return sub
 
-    with_input(job("bronze", "one raw month to Bronze", "bronze_base"))
-    job("bronze-all", "all raw months to Bronze", "raw_base", "bronze_base")
+    bronze = with_input(job("bronze", "one raw month to Bronze", "bronze_base"))
+    bronze_all = job("bronze-all", "all raw months to Bronze", "raw_base", "bronze_base")
     silver = job("silver", "Bronze to Silver", "bronze_base", "silver_base")
     silver.add_argument("--pickup", default=PICKUP, help="column that dates a trip")
     gold = job("gold", "Silver to Gold and the warehouse", "silver_base", "gold_base", publishes=True)
@@ -80,9 +80,13 @@ def _parser() -> argparse.ArgumentParser:
         with_input(job("topic-batch", "raw month over a topic to Gold", *layers, publishes=True))
     )
     chain.add_argument("--limit", type=int, help="only the first so many rows")
-    for sub in (gold, batch, chain):
+    follow = with_topic(
+        job("topic-follow", "what a topic has got since the last run to Gold", *layers, publishes=True)
+    )
+    follow.add_argument("--checkpoint", required=True, help="folder that remembers what was read")
+    for sub in (gold, batch, chain, follow):
         sub.add_argument("--undated", type=_month, help="YYYY-MM to publish the null month under")
-    for sub in (silver, batch):
+    for sub in (bronze, bronze_all, silver, publish, batch):
         sub.add_argument("--skip_corrupt", action="store_true", help="skip broken files")
     batch.add_argument("--rebuild", action="store_true", help="all months, not only those touched")
     job("evaluation", "dq, then evaluate", "silver_base", "gold_base", publishes=True)
@@ -180,6 +184,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
                 args.limit,
                 args.undated,
             )
+        case "topic-follow":
+            return plans.follow_topic(
+                spark,
+                _topic(args),
+                args.bronze_base,
+                args.silver_base,
+                args.gold_base,
+                _warehouse(args),
+                args.checkpoint,
+                f"{dataset}_topic",
+                args.undated,
+            )
         case "evaluation":
             return plans.run_evaluation(
                 spark, args.silver_base, args.gold_base, _warehouse(args), dataset

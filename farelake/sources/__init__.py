@@ -1,6 +1,7 @@
 """Readers of every layer."""
 
 from farelake.sources.csv import read_zone_csv
+from farelake.sources.footers import footers
 from farelake.sources.parquet import (
     below,
     first_rows,
@@ -20,6 +21,7 @@ from farelake.sources.parquet import (
 __all__ = [
     "below",
     "first_rows",
+    "footers",
     "raw_inputs",
     "read_bronze",
     "read_gold",

@@ -7,17 +7,22 @@ from functools import reduce
 from urllib.parse import unquote, urlsplit
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from farelake.operators.conform import conform
 from farelake.schemas import BRONZE, DEFAULT_DATASET, GOLD, GOLD_TABLE, PARTITION, SILVER
+from farelake.sources.footers import file_list, footers, joined_schema, plain
 
 _MERGE_CONFLICTS = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
 _UNDATED = "/year=None/month=None"
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+_LOOKS_AT_ONCE = 8
+
+#: A schema, and the inputs whose files all have it.
+Group = tuple[T.StructType, list[str]]
 
 
 def _reader(
@@ -43,22 +48,6 @@ def read_raw(
     return reader.parquet(*paths)
 
 
-def _file_list(spark: SparkSession, path: str) -> DataFrame:
-    """Paths of all files below ``path`` but hidden ones; no file is opened.
-
-    What Spark reads it reads whatever the suffix, so none is asked for. Tasks are cut by file size as if files were read. A session of its own lets
-    one task list as many files as an even share, not one file each.
-    """
-    listing = spark.newSession()
-    listing.conf.set("spark.sql.files.maxPartitionBytes", "1t")
-    return (
-        listing.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path")
-    )
-
-
 def below(base: str, path: Column) -> Column:
     """The part of a file path under ``base``, with or without a scheme on either."""
     parts = urlsplit(base)
@@ -78,17 +67,11 @@ def raw_inputs(
 
     Only their names reach the driver: one per month, however many files or rows.
     """
-    name = F.regexp_extract(below(raw_base, F.col("path")), rf"^([^/]*{dataset}[^/]*)", 1)
-    found = _file_list(spark, raw_base).select(name.alias("name")).where("name != ''").distinct()
+    name = F.regexp_extract(below(raw_base, F.col("path")), rf"^([^/]*\Q{dataset}\E[^/]*)", 1)
+    found = file_list(spark, raw_base).select(name.alias("name")).where("name != ''").distinct()
     return sorted(f"{raw_base.rstrip('/')}/{row.name}" for row in found.collect())
 
 
-def _month_directories(spark: SparkSession, root: str) -> list[str]:
-    """Directories below ``root`` that hold files: one per month, not one per file."""
-    directory = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
-    return sorted(r.d for r in _file_list(spark, root).select(directory.alias("d")).distinct().collect())
-
-
 def _merged_schema(
     spark: SparkSession, paths: list[str], base_path: str | None, skip_corrupt: bool
 ) -> T.StructType | None:
@@ -102,22 +85,13 @@ def _merged_schema(
         return None
 
 
-def schema_groups(
-    spark: SparkSession,
-    paths: list[str],
-    base_path: str | None = None,
-    skip_corrupt: bool = False,
-) -> list[tuple[T.StructType, list[str]]]:
-    """Split inputs into groups whose files agree on types, so a group is one scan.
+def _groups_by_halves(
+    spark: SparkSession, paths: list[str], base_path: str | None, skip_corrupt: bool
+) -> list[Group]:
+    """Groups found by merging schemas, for stores that tasks cannot look into.
 
-    One distributed job merges the footers of all inputs. Only where types differ is
-    the list halved and each half tried, so vintages next to each other stay
-    together and k of them among n inputs take about k log n jobs, halves side by side.
-    A group has the columns of all its inputs. An input whose own files disagree is split down to
-    its files; the names of that input's files are all that reaches the driver.
+    The list of inputs is halved until each part agrees, down to the files of an input.
     """
-    if not paths:
-        return []
     schema = _merged_schema(spark, paths, base_path, skip_corrupt)
     if schema is not None:
         return [(schema, paths)]
@@ -125,14 +99,14 @@ def schema_groups(
         middle = len(paths) // 2
         parts = [paths[:middle], paths[middle:]]
     else:
-        files = sorted(row.path for row in _file_list(spark, paths[0]).collect())
+        files = sorted(row.path for row in file_list(spark, paths[0]).collect())
         if files == paths:
             raise ValueError(f"the types of {paths[0]} cannot be told")
         parts = [files]
-    groups: dict[frozenset, tuple[T.StructType, list[str]]] = {}
+    groups: dict[frozenset, Group] = {}
     with ThreadPoolExecutor(len(parts)) as pool:
         found = list(
-            pool.map(lambda part: schema_groups(spark, part, base_path, skip_corrupt), parts)
+            pool.map(lambda part: _groups_by_halves(spark, part, base_path, skip_corrupt), parts)
         )
     for members in found:
         for native, inputs in members:
@@ -141,6 +115,93 @@ def schema_groups(
     return list(groups.values())
 
 
+def schema_groups(
+    spark: SparkSession,
+    paths: list[str],
+    base_path: str | None = None,
+    skip_corrupt: bool = False,
+) -> list[Group]:
+    """Split inputs into groups whose files agree on types, so a group is one scan.
+
+    One job reads all footers (:mod:`farelake.sources.footers`); what reaches the driver is one row for
+    each input and schema. The schema itself is Spark's own reading of one file that has it, so k
+    vintages are k looks at one footer more, and no job fails. A group has the columns of all its
+    inputs. An input whose own files disagree is split down to its files; the names of that
+    input's files are all else that reaches the driver. Stores that tasks cannot look into
+    are left to :func:`_groups_by_halves`.
+    """
+    if not paths:
+        return []
+    looked = footers(spark, paths)
+    found = _by_input(looked)
+    if not found:  # Spark's own error says what is missing
+        return [(_reader(spark, base_path, skip_corrupt).parquet(*paths).schema, paths)]
+    return _groups(spark, looked, found, paths, base_path, skip_corrupt)
+
+
+def _by_input(looked: DataFrame) -> list[Row]:
+    """One row for each input and schema: what of the footers reaches the driver."""
+    keys = ["input", "schema", "readable", "reached"]
+    return looked.groupBy(*keys).agg(F.min("path").alias("path")).collect()
+
+
+def _groups(
+    spark: SparkSession,
+    looked: DataFrame,
+    found: list[Row],
+    paths: list[str],
+    base_path: str | None,
+    skip_corrupt: bool,
+) -> list[Group]:
+    """The groups of some inputs, from what is known of their footers."""
+    wanted = set(paths)
+    found = [row for row in found if row.input in wanted]
+    if not all(row.reached for row in found):
+        return _groups_by_halves(spark, paths, base_path, skip_corrupt)
+    broken = sorted(row.path for row in found if not row.readable)
+    if broken and not skip_corrupt:
+        raise ValueError(f"not readable as Parquet: {', '.join(broken[:5])}")
+    samples: dict[str, tuple[str, str]] = {}
+    for row in sorted(found, key=lambda row: row.path):
+        if row.readable:
+            samples.setdefault(row.schema, (row.path, row.input))
+
+    def schema_of(sample: tuple[str, str]) -> T.StructType:
+        path, below_path = sample
+        alone = plain(path) == plain(below_path)
+        return _reader(spark, None if alone else base_path or below_path).parquet(path).schema
+
+    with ThreadPoolExecutor(_LOOKS_AT_ONCE) as pool:
+        native = dict(zip(samples, pool.map(schema_of, samples.values())))
+    groups: list[tuple[T.StructType, set[str]]] = []
+    for name, schema in native.items():
+        for i, (fields, members) in enumerate(groups):
+            joined = joined_schema([fields, schema])
+            if joined is not None:
+                groups[i] = (joined, members | {name})
+                break
+        else:
+            groups.append((schema, {name}))
+    number = {name: i for i, (_, members) in enumerate(groups) for name in members}
+    of_input: dict[str, set[int]] = {}
+    for row in found:
+        if row.readable:
+            of_input.setdefault(row.input, set()).add(number[row.schema])
+    inputs: list[list[str]] = [[] for _ in groups]
+    split = []
+    for path in paths:
+        numbers = of_input.get(path, set())
+        if len(numbers) == 1:
+            inputs[numbers.pop()].append(path)
+        elif numbers:
+            split.append(path)
+    if split:
+        files = looked.where(F.col("readable") & F.col("input").isin(split))
+        for row in files.select("path", "schema").orderBy("path").collect():
+            inputs[number[row.schema]].append(row.path)
+    return [(schema, members) for (schema, _), members in zip(groups, inputs) if members]
+
+
 def _widest(types: list[T.DataType]) -> T.DataType:
     """A type every one of ``types`` can be cast to without losing a row."""
     if all(kind == types[0] for kind in types):
@@ -214,7 +275,7 @@ def read_inputs(
 def _native_scans(spark: SparkSession, root: str, skip_corrupt: bool) -> list[DataFrame]:
     """One scan per schema below ``root``, with ``year`` and ``month`` from the path.
 
-    A lake of one schema is one look at its footers and one scan. A month directory
+    All footers are looked at in one job. A lake of one schema is one scan. A month directory
     named ``None`` is one without a month. Columns of the same names inside the files
     are ignored.
     """
@@ -227,25 +288,20 @@ def _native_scans(spark: SparkSession, root: str, skip_corrupt: bool) -> list[Da
         nulls = {field.name: F.lit(None).cast(field.dataType) for field in PARTITION}
         return reader.schema(T.StructType(fields)).parquet(*paths).withColumns(nulls)
 
-    try:
-        schema = _merged_schema(spark, [root], root, skip_corrupt)
-    except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return []
-    if schema is not None and all(
-        name in schema.names and isinstance(schema[name].dataType, T.IntegerType)
-        for name in PARTITION.names
-    ):
-        return [scan(schema, [root], root)]
-    months = _month_directories(spark, root)
+    looked = footers(spark, [root], by_directory=True)
+    known = _by_input(looked)
+    months = sorted({row.input for row in known})
     undated = [path for path in months if path.endswith(_UNDATED)]
     dated = [path for path in months if path not in undated]
-    return [
-        scan(schema, members, base_path)
+    found = [
+        (schema, members, base_path)
         for paths, base_path in ((dated, root), (undated, None))
-        for schema, members in schema_groups(spark, paths, base_path, skip_corrupt)
+        if paths
+        for schema, members in _groups(spark, looked, known, paths, base_path, skip_corrupt)
     ]
+    if len(found) == 1 and found[0][1] == months and not undated:
+        return [scan(found[0][0], [root], root)]
+    return [scan(*group) for group in found]
 
 
 def read_bronze(
@@ -276,15 +332,21 @@ def read_bronze(
 def skipped_files(
     spark: SparkSession, bronze_base: str, dataset: str = DEFAULT_DATASET
 ) -> DataFrame:
-    """Bronze files that give no rows when corrupt ones are skipped: broken or empty."""
+    """Bronze files that give fewer rows than their footer says when corrupt ones are
+    skipped, and those without rows or a footer.
+
+    Pages that cannot be read show only when they are read: this reads every column again.
+    """
     root = f"{bronze_base}/{dataset}"
     path = scanned_path().alias("path")
-    files = _file_list(spark, root)
+    files = footers(spark, [root]).select("path", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
     for scan in _native_scans(spark, root, skip_corrupt=True):
         some_value = F.coalesce(*[F.col(name).cast("string") for name in scan.columns])
-        readable = scan.groupBy(path).agg(F.count(some_value).alias("n")).where("n >= 0")
-        files = files.join(readable, "path", "left_anti")
-    return files
+        # The value is asked for, so that columns are read, and rows of nulls count too.
+        read = scan.groupBy(path).agg(F.count("*").alias("n"), F.count(some_value).alias("some"))
+        whole = files.join(read.where("some >= 0"), "path").where("n >= n_rows AND n > 0")
+        files = files.join(whole.select("path"), "path", "left_anti")
+    return files.select("path")
 
 
 def read_silver(

@@ -1,0 +1,155 @@
+"""Schemas of many files as data: vintages, mixed months, broken files, unknown stores."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from helpers import parquet_files, rows
+from pyspark.sql import functions as F
+
+from farelake.plans import ingest_bronze_months
+from farelake.schemas import DEFAULT_DATASET as DATASET
+from farelake.sinks import write_month
+from farelake.sources import footers, read_bronze, read_inputs, schema_groups, skipped_files
+from farelake.sources import parquet as readers
+from farelake.sources.footers import joined_schema, plain
+
+VINTAGES = ["int", "bigint", "double", "string"]
+
+
+def trip(spark, kind, value, name="VendorID"):
+    """One trip in one file."""
+    frame = spark.createDataFrame([(1.5,)], "trip_distance double").coalesce(1)
+    return frame.withColumn(name, F.lit(value).cast(kind))
+
+
+def write_vintages(spark, base):
+    """Twelve months of four types, some in two files of different columns or types."""
+    for month in range(1, 13):
+        kind = VINTAGES[month % 4]
+        leaf = write_month(trip(spark, kind, month), f"{base}/{DATASET}", 2023, month)
+        if month % 3 == 0:
+            extra = trip(spark, kind, month).withColumn("Airport_fee", F.lit(1.25))
+            extra.write.mode("append").parquet(leaf)
+        if month in (5, 6):
+            trip(spark, "double", 0).write.mode("append").parquet(leaf)
+
+
+def failed_jobs(spark):
+    """Jobs that failed since the session began."""
+    jobs = spark.sparkContext._jsc.sc().statusStore().jobsList(None)
+    return sum(jobs.apply(i).status().toString() == "FAILED" for i in range(jobs.size()))
+
+
+def expected():
+    out = []
+    for month in range(1, 13):
+        out += [(float(month), None, month)]
+        out += [(float(month), 1.25, month)] * (month % 3 == 0)
+        out += [(0.0, None, month)] * (month in (5, 6))
+    return sorted(out, key=repr)
+
+
+def test_vintages_are_read_without_a_failed_job(spark, base):
+    write_vintages(spark, base)
+    before = failed_jobs(spark)
+    bronze = read_bronze(spark, base).select("VendorID", "airport_fee", "month")
+    assert rows(bronze) == expected() and failed_jobs(spark) == before
+
+
+def test_a_group_for_each_set_of_types(spark, base):
+    """Different columns are one scan; only the files of months that disagree are named."""
+    write_vintages(spark, base)
+    months = [f"{base}/{DATASET}/year=2023/month={m}" for m in range(1, 13)]
+    groups = schema_groups(spark, months, f"{base}/{DATASET}")
+    kinds = {schema["VendorID"].dataType.simpleString(): members for schema, members in groups}
+    assert sorted(kinds) == sorted(VINTAGES)
+    files = [path for members in kinds.values() for path in members if path.endswith(".parquet")]
+    assert {plain(path).rsplit("/", 1)[0] for path in files} == {months[4]}  # bigint and double
+    # Month 6 is double as a whole: the added file has its type.
+    assert set(kinds["double"]) - set(files) == {months[1], months[5], months[9]}
+
+
+def test_stores_that_tasks_cannot_look_into_give_the_same(spark, base, monkeypatch):
+    write_vintages(spark, base)
+    look = readers._by_input
+
+    def unreached(looked):
+        looked = looked.withColumn("reached", F.lit(False)).withColumn("readable", F.lit(False))
+        return look(looked)
+
+    monkeypatch.setattr(readers, "_by_input", unreached)
+    bronze = read_bronze(spark, base).select("VendorID", "airport_fee", "month")
+    assert rows(bronze) == expected()
+
+
+def test_footers_say_what_files_hold(spark, base):
+    leaf = write_month(trip(spark, "int", 1), f"{base}/x", 2023, 1)
+    with open(f"{leaf}/broken", "wb") as file:
+        file.write(b"PAR1 not a file PAR1")
+    found = {plain(r.path).rsplit("/", 1)[1]: r for r in footers(spark, [f"{base}/x"]).collect()}
+    assert len(found) == 2 and all(r.reached and r.input == f"{base}/x" for r in found.values())
+    assert {name: r.n_rows for name, r in found.items() if not r.readable} == {"broken": None}
+    (good,) = [r for r in found.values() if r.readable]
+    assert good.n_rows == 1 and len(good.schema) == 64
+    by_month = footers(spark, [f"{base}/x"], by_directory=True).select("input").distinct().collect()
+    assert [plain(r.input) for r in by_month] == [leaf]
+
+
+def test_inputs_whose_names_begin_alike_are_kept_apart(spark, base):
+    paths = [f"{base}/raw/t_2023-01", f"{base}/raw/t_2023-01.parquet", f"{base}/raw/t_2023-01-b"]
+    for i, path in enumerate(paths):
+        trip(spark, VINTAGES[i], i).write.parquet(path)
+    (single,) = parquet_files(paths[0])
+    found = read_inputs(spark, [*paths, single])
+    assert [found[path].first().VendorID for path in [*paths, single]] == [0, 1, 2.0, 0]
+
+
+def test_broken_files_stop_the_job_by_name(spark, base):
+    leaf = write_month(trip(spark, "int", 1), f"{base}/{DATASET}", 2023, 1)
+    with open(f"{leaf}/broken", "wb") as file:
+        file.write(b"PAR1 not a file PAR1")
+    with pytest.raises(ValueError, match="broken"):
+        read_bronze(spark, base)
+    assert read_bronze(spark, base, skip_corrupt=True).count() == 1
+
+
+def test_files_cut_off_in_their_pages_are_named(spark, base):
+    """A sound footer over pages that cannot be read: some rows come, or none."""
+    many = spark.range(200_000).select(
+        F.col("id").cast("double").alias("trip_distance"), F.uuid().alias("store_and_fwd_flag")
+    )
+    leaf = write_month(many.coalesce(1), f"{base}/{DATASET}", 2023, 1)
+    write_month(trip(spark, "int", 1), f"{base}/{DATASET}", 2023, 2)
+    (path,) = parquet_files(leaf)
+    size = os.path.getsize(path)
+    with open(path, "r+b") as file:
+        file.seek(size // 2)
+        file.write(b"\x00" * (size // 4))
+    crc = f"{leaf}/.{os.path.basename(path)}.crc"
+    if os.path.exists(crc):
+        os.remove(crc)
+    assert [plain(r.path) for r in skipped_files(spark, base).collect()] == [path]
+
+
+def test_nothing_there(spark, base):
+    os.makedirs(f"{base}/{DATASET}")
+    assert read_bronze(spark, base).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        read_bronze(spark, f"{base}/other")
+    with pytest.raises(Exception, match="INFER|infer"):
+        read_inputs(spark, [f"{base}/{DATASET}"])
+
+
+def test_dataset_names_are_no_patterns(spark, base):
+    trip(spark, "int", 1).write.parquet(f"{base}/raw/a.b_2023-01.parquet")
+    trip(spark, "int", 2).write.parquet(f"{base}/raw/aXb_2023-02.parquet")
+    names = ingest_bronze_months(spark, f"{base}/raw", f"{base}/bronze", "a.b")
+    assert [name.rsplit("/", 1)[1] for name in names] == ["a.b_2023-01.parquet"]
+
+
+def test_schemas_join_where_types_agree(spark):
+    int_, more, text = (trip(spark, kind, 1, name).schema for kind, name in (("int", "a"), ("int", "B"), ("string", "A")))
+    assert joined_schema([int_, more]).names == ["trip_distance", "a", "B"]
+    assert joined_schema([int_, text]) is None
