@@ -63,6 +63,8 @@ def _parser() -> argparse.ArgumentParser:
     bronze_all = job("bronze-all", "all raw months to Bronze", "raw_base", "bronze_base")
     silver = job("silver", "Bronze to Silver", "bronze_base", "silver_base")
     silver.add_argument("--pickup", default=PICKUP, help="column that dates a trip")
+    compact = job("compact", "small files of Silver into larger ones", "silver_base")
+    compact.add_argument("--target_mb", type=int, default=128, help="size a file is meant to have")
     gold = job("gold", "Silver to Gold and the warehouse", "silver_base", "gold_base", publishes=True)
     with_topic(job("topic-to-bronze", "all messages of a topic to Bronze", "bronze_base"))
     publish = with_topic(with_input(job("publish", "a raw month onto a topic")))
@@ -76,6 +78,10 @@ def _parser() -> argparse.ArgumentParser:
     layers = ("bronze_base", "silver_base", "gold_base")
     batch = with_input(job("batch", "raw month to Gold", *layers, publishes=True))
     batch.add_argument("--pickup", default=PICKUP, help="column that dates a trip")
+    states = with_input(
+        job("states", "raw month to Gold by its state, without Silver", *layers[::2], publishes=True)
+    )
+    states.add_argument("--pickup", default=PICKUP, help="column that dates a trip")
     chain = with_topic(
         with_input(job("topic-batch", "raw month over a topic to Gold", *layers, publishes=True))
     )
@@ -84,7 +90,7 @@ def _parser() -> argparse.ArgumentParser:
         job("topic-follow", "what a topic has got since the last run to Gold", *layers, publishes=True)
     )
     follow.add_argument("--checkpoint", required=True, help="folder that remembers what was read")
-    for sub in (gold, batch, chain, follow):
+    for sub in (gold, batch, chain, follow, states):
         sub.add_argument("--undated", type=_month, help="YYYY-MM to publish the null month under")
     for sub in (bronze, bronze_all, silver, publish, batch):
         sub.add_argument("--skip_corrupt", action="store_true", help="skip broken files")
@@ -184,6 +190,19 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
                 args.limit,
                 args.undated,
             )
+        case "compact":
+            return plans.compact_silver(spark, args.silver_base, dataset, args.target_mb << 20)
+        case "states":
+            return plans.run_states(
+                spark,
+                _input(args),
+                args.bronze_base,
+                args.gold_base,
+                _warehouse(args),
+                dataset,
+                args.pickup,
+                args.undated,
+            )
         case "topic-follow":
             return plans.follow_topic(
                 spark,

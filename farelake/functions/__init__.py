@@ -7,13 +7,15 @@ from farelake.functions.months import (
     month_of_name,
     month_path,
 )
-from farelake.functions.numeric import exact_avg, exact_sum
+from farelake.functions.numeric import exact_avg, exact_parts, exact_sum, exact_total
 from farelake.functions.times import iso_seconds, parse_timestamp
 
 __all__ = [
     "dataset_name",
     "exact_avg",
+    "exact_parts",
     "exact_sum",
+    "exact_total",
     "iso_seconds",
     "month_columns",
     "month_file_name",

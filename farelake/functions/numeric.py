@@ -10,6 +10,29 @@ _LAST_BITS = 1e-14
 _MOST_UNITS = 1 << 53
 
 
+def exact_parts(value: str | Column, places: int = 4) -> tuple[Column, Column]:
+    """Two aggregates whose sums over any parts of the rows give :func:`exact_sum`.
+
+    The first counts units of ``10**-places`` as a bigint, exact in any order; the second
+    adds up the values that are no multiple of it. Either is null where there are none.
+    """
+    col = F.col(value) if isinstance(value, str) else value
+    scale = F.lit(float(10**places))
+    counted = F.rint(col * scale).try_cast("bigint")
+    near = F.abs(counted / scale - col) <= F.abs(col) * _LAST_BITS
+    multiple = F.coalesce(near & (F.abs(counted) < _MOST_UNITS), F.lit(False))
+    units = F.when(multiple, counted)
+    too_large = F.raise_error(F.lit("a sum of exact units is beyond a bigint")).cast("bigint")
+    total = F.coalesce(F.try_sum(units), F.when(F.count(units) > 0, too_large))
+    return total, F.sum(F.when(~multiple, col))
+
+
+def exact_total(units: Column, rest: Column, places: int = 4) -> Column:
+    """The sum that two parts stand for."""
+    scale = F.lit(float(10**places))
+    return F.when(units.isNull(), rest).otherwise(units / scale + F.coalesce(rest, F.lit(0.0)))
+
+
 def exact_sum(value: str | Column, places: int = 4) -> Column:
     """Sum of a double column, exact when every value has at most ``places`` decimals.
 
@@ -21,16 +44,7 @@ def exact_sum(value: str | Column, places: int = 4) -> Column:
     are summed apart as doubles and added to it. A total beyond a bigint stops the
     query. Only primitive types are used, so the aggregate stays in generated code.
     """
-    col = F.col(value) if isinstance(value, str) else value
-    scale = F.lit(float(10**places))
-    counted = F.rint(col * scale).try_cast("bigint")
-    near = F.abs(counted / scale - col) <= F.abs(col) * _LAST_BITS
-    multiple = F.coalesce(near & (F.abs(counted) < _MOST_UNITS), F.lit(False))
-    units = F.when(multiple, counted)
-    too_large = F.raise_error(F.lit("a sum of exact units is beyond a bigint")).cast("bigint")
-    total = F.coalesce(F.try_sum(units), F.when(F.count(units) > 0, too_large))
-    rest = F.sum(F.when(~multiple, col))
-    return F.when(total.isNull(), rest).otherwise(total / scale + F.coalesce(rest, F.lit(0.0)))
+    return exact_total(*exact_parts(value, places), places)
 
 
 def exact_avg(value: str | Column, places: int = 4) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,18 +18,17 @@ def conform(df: DataFrame, contract: T.StructType, keep: Sequence[str] = ()) ->
     are dropped, and values a type cannot hold become null. A column that has
     its type already is passed through bare, so filters on it reach the scan.
     """
-    present = {field.name.lower(): field for field in df.schema}
-    columns = []
-    for want in contract:
-        have = present.get(want.name.lower())
-        if have is None:
-            column = F.lit(None).cast(want.dataType)
-        elif have.dataType == want.dataType:
-            column = F.col(have.name)
-        else:
-            column = F.col(have.name).try_cast(want.dataType)
-        columns.append(column.alias(want.name))
-    return df.select(*columns, *keep)
+    return df.select(*[fitted(df, want).alias(want.name) for want in contract], *keep)
+
+
+def fitted(df: DataFrame, want: T.StructField) -> Column:
+    """A column of the contract as ``df`` can give it."""
+    have = next((f for f in df.schema if f.name.lower() == want.name.lower()), None)
+    if have is None:
+        return F.lit(None).cast(want.dataType)
+    if have.dataType == want.dataType:
+        return F.col(have.name)
+    return F.col(have.name).try_cast(want.dataType)
 
 
 def to_table(df: DataFrame, table: str) -> DataFrame:

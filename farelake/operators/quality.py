@@ -25,9 +25,10 @@ class Rule:
     limit: float
 
 
-def default_rules() -> list[Rule]:
-    """Null and out-of-range distances and fares."""
-    distance, fare = F.col("trip_distance"), F.col("fare_amount")
+def default_rules(distance: Column | None = None, fare: Column | None = None) -> list[Rule]:
+    """Null and out-of-range distances and fares, of the columns of the contract unless given."""
+    distance = F.col("trip_distance") if distance is None else distance
+    fare = F.col("fare_amount") if fare is None else fare
     return [
         Rule("null_trip_distance", "rate_null_distance", distance.isNull(), NULL_LIMIT),
         Rule("null_fare_amount", "rate_null_fare", fare.isNull(), NULL_LIMIT),
@@ -36,6 +37,14 @@ def default_rules() -> list[Rule]:
     ]
 
 
+def counts(rules: Sequence[Rule] | None = None) -> list[Column]:
+    """The aggregates a scorecard is made of: all rows, and those of each rule."""
+    rules = default_rules() if rules is None else rules
+    return [
+        F.count("*").alias("rows_total"),
+        *[F.count_if(rule.where).alias(rule.count) for rule in rules],
+    ]
+
 
 def profile(
     df: DataFrame, run_id: str, run_epoch: int, rules: Sequence[Rule] | None = None
@@ -44,11 +53,14 @@ def profile(
 
     All rules share one scan. Without rows every rate is 1, so the gate closes.
     """
+    return scored(df.agg(*counts(rules)), run_id, run_epoch, rules)
+
+
+def scored(
+    counted: DataFrame, run_id: str, run_epoch: int, rules: Sequence[Rule] | None = None
+) -> DataFrame:
+    """The scorecard of rows that have been counted by :func:`counts`."""
     rules = default_rules() if rules is None else rules
-    counted = df.agg(
-        F.count("*").alias("rows_total"),
-        *[F.count_if(rule.where).alias(rule.count) for rule in rules],
-    )
     total = F.col("rows_total")
     rates = counted.withColumns(
         {r.rate: F.when(total > 0, F.col(r.count) / total).otherwise(F.lit(1.0)) for r in rules}

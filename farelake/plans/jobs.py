@@ -5,19 +5,36 @@ from __future__ import annotations
 import logging
 import time
 import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from enum import Enum
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from farelake.functions.months import month_of_name
-from farelake.operators import clean_trips, monthly_kpis, profile, summarise_gold
+from farelake.operators import (
+    Rule,
+    clean_trips,
+    counts,
+    default_rules,
+    fitted,
+    monthly_kpis,
+    profile,
+    scored,
+    summarise_gold,
+)
 from farelake.operators.clean import PICKUP
 from farelake.plans.ledger import Ledger, Month
-from farelake.schemas import DEFAULT_DATASET, FACT_TRIPS_MONTHLY, GOLD_TABLE, TOPIC_DATASET
+from farelake.schemas import (
+    BRONZE,
+    DEFAULT_DATASET,
+    FACT_TRIPS_MONTHLY,
+    GOLD_TABLE,
+    TOPIC_DATASET,
+)
 from farelake.session import scratch_path
 from farelake.sinks import Warehouse, exists, spread_by_month, write_month, write_months
 from farelake.sources import (
@@ -68,6 +85,24 @@ def ingest_bronze(
     return write_month(rows, f"{bronze_base}/{dataset}", *month_of_name(input_path))
 
 
+def ingest_bronze_counted(
+    spark: SparkSession,
+    input_path: str,
+    bronze_base: str,
+    dataset: str = DEFAULT_DATASET,
+    skip_corrupt: bool = False,
+) -> dict[str, int]:
+    """One raw month into Bronze as by :func:`ingest_bronze`; returns its scorecard's counts.
+
+    They are taken while the rows are written, of the columns as the contract has them.
+    """
+    rows = read_inputs(spark, [input_path], skip_corrupt)[input_path]
+    distance, fare = (fitted(rows, BRONZE[name]) for name in ("trip_distance", "fare_amount"))
+    rows, seen = _observed(rows, default_rules(distance, fare))
+    write_month(rows, f"{bronze_base}/{dataset}", *month_of_name(input_path))
+    return seen.get
+
+
 def ingest_bronze_months(
     spark: SparkSession,
     raw_base: str,
@@ -99,10 +134,18 @@ def ingest_bronze_months(
 
 
 class SilverBuild(NamedTuple):
-    """Where Silver was written, and the Bronze files that were skipped as corrupt."""
+    """Where Silver was written, the Bronze files that were skipped as corrupt, and the
+    counts of a scorecard, taken while its rows were written."""
 
     path: str
     skipped: list[str]
+    counted: dict[str, int]
+
+
+def _observed(rows: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Observation]:
+    """Rows whose scorecard is counted by whatever writes them."""
+    seen = Observation()
+    return rows.observe(seen, *counts(rules)), seen
 
 
 def pickup_months(trips: DataFrame, pickup: str = PICKUP) -> set[Month]:
@@ -131,7 +174,7 @@ def _picked_up_in(months: set[Month]) -> Column:
     return found
 
 
-def _dated_in(months: set[Month]) -> Column:
+def dated_in(months: set[Month]) -> Column:
     """A filter on the partition columns."""
     found = F.lit(False)
     for year, month in sorted(months, key=str):
@@ -142,7 +185,7 @@ def _dated_in(months: set[Month]) -> Column:
     return found
 
 
-def _replace_months(
+def replace_months(
     spark: SparkSession, rows: DataFrame, path: str, months: set[Month], left: set[Month]
 ) -> None:
     """Overwrite some months; those without rows any more are overwritten with none."""
@@ -186,16 +229,16 @@ def build_silver(
         F.col("file_month")
     )
     rows = cleaned.where(at_home).unionByName(spread_by_month(cleaned.where(~at_home)))
-    rows = rows.drop("file_year", "file_month")
+    rows, seen = _observed(rows.drop("file_year", "file_month"), default_rules())
     if months is None:
         write_months(rows, path, replace="all")
     else:
         left = {(r.year, r.month) for r in cleaned.select("year", "month").distinct().collect()}
-        _replace_months(spark, rows, path, months, left)
+        replace_months(spark, rows, path, months, left)
     skipped = skipped_files(spark, bronze_base, dataset).collect() if skip_corrupt else []
     for row in skipped:
         _LOG.warning("skipped as corrupt or empty: %s", row.path)
-    return SilverBuild(path, sorted(row.path for row in skipped))
+    return SilverBuild(path, sorted(row.path for row in skipped), seen.get)
 
 
 def build_gold(
@@ -225,14 +268,21 @@ def build_gold(
     if months is None:
         write_months(monthly_kpis(silver), path, replace="all")
     else:
-        touched = silver.where(_dated_in(months))
+        touched = silver.where(dated_in(months))
         left = {(r.year, r.month) for r in touched.select("year", "month").distinct().collect()}
-        _replace_months(spark, monthly_kpis(touched), path, months, left)
+        replace_months(spark, monthly_kpis(touched), path, months, left)
+    publish_gold(spark, gold_base, warehouse, undated)
+    return GoldStatus.WRITTEN
+
+
+def publish_gold(
+    spark: SparkSession, gold_base: str, warehouse: Warehouse, undated: Month | None = None
+) -> None:
+    """Gold as the whole content of the serving table; the null month under ``undated``."""
     published = read_gold(spark, gold_base).select(*FACT_TRIPS_MONTHLY.names)
     if undated is not None:
         published = published.fillna(dict(zip(("year", "month"), undated)))
     warehouse.replace(published, "fact_trips_monthly")
-    return GoldStatus.WRITTEN
 
 
 def ingest_messages(
@@ -288,11 +338,11 @@ def merge_messages(
     months = {(row.year, row.month) for row in found.collect()}
     ledger.note(months)
     merged = scratch_path(spark, "messages-merged")
-    both = stored.where(_dated_in(months)).unionByName(fresh)
+    both = stored.where(dated_in(months)).unionByName(fresh)
     last_of_each_key(both).write.parquet(merged)
     rows = spark.read.schema(fresh.schema).parquet(merged)
     left = {(r.year, r.month) for r in rows.select("year", "month").distinct().collect()}
-    _replace_months(spark, spread_by_month(rows), path, months, left)
+    replace_months(spark, spread_by_month(rows), path, months, left)
 
 
 def publish_topic(
@@ -317,6 +367,23 @@ def publish_topic(
     topic.write(encode(rows, key="message_key"))
 
 
+def record_counts(
+    spark: SparkSession,
+    counted: dict[str, int],
+    warehouse: Warehouse,
+    run: tuple[str, int] | None = None,
+) -> None:
+    """The scorecard of rows counted while they were written, added as by the jobs that scan.
+
+    It is that of what was written: of all Silver after a full build, of some months
+    after a build of these, of one month of Bronze after its ingest.
+    """
+    names = list(counted)
+    schema = ", ".join(f"`{name}` bigint" for name in names)
+    frame = spark.createDataFrame([tuple(counted[name] for name in names)], schema)
+    warehouse.record(scored(frame, *(run or new_run())), "dq_results")
+
+
 def score_silver(
     spark: SparkSession,
     silver_base: str,
@@ -325,8 +392,8 @@ def score_silver(
     run: tuple[str, int] | None = None,
 ) -> None:
     """Quality of Silver, added to the results of earlier runs; a run is added once."""
-    scored = profile(read_silver(spark, silver_base, dataset), *(run or new_run()))
-    warehouse.record(scored, "dq_results")
+    card = profile(read_silver(spark, silver_base, dataset), *(run or new_run()))
+    warehouse.record(card, "dq_results")
 
 
 def score_bronze(
@@ -337,8 +404,8 @@ def score_bronze(
     run: tuple[str, int] | None = None,
 ) -> None:
     """Quality of Bronze, before its filters, added to those of earlier runs; a run is added once."""
-    scored = profile(read_bronze(spark, bronze_base, dataset), *(run or new_run()))
-    warehouse.record(scored, "dq_results")
+    card = profile(read_bronze(spark, bronze_base, dataset), *(run or new_run()))
+    warehouse.record(card, "dq_results")
 
 
 def evaluate_gold(

@@ -1,7 +1,7 @@
 """Writers of every layer."""
 
 from farelake.sinks.files import exists, remove
-from farelake.sinks.parquet import spread_by_month, write_month, write_months
+from farelake.sinks.parquet import month_leaf, spread_by_month, write_month, write_months
 from farelake.sinks.warehouse import FileWarehouse, JdbcWarehouse, Warehouse, register_views
 
 __all__ = [
@@ -9,6 +9,7 @@ __all__ = [
     "JdbcWarehouse",
     "Warehouse",
     "exists",
+    "month_leaf",
     "register_views",
     "remove",
     "spread_by_month",

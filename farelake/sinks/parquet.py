@@ -34,11 +34,17 @@ def write_months(df: DataFrame, path: str, replace: Literal["all", "present"]) -
     )
 
 
-def write_month(df: DataFrame, path: str, year: int | None, month: int | None) -> str:
-    """Overwrite exactly one month without shuffling or sorting; returns its path."""
+def month_leaf(path: str, year: int | None, month: int | None, prefix: str = "") -> str:
+    """Directory of one month."""
     leaf = "/".join(
-        f"{name}={_NULL_PARTITION if value is None else value}"
+        f"{prefix}{name}={_NULL_PARTITION if value is None else value}"
         for name, value in (("year", year), ("month", month))
     )
-    df.write.mode("overwrite").parquet(f"{path}/{leaf}")
     return f"{path}/{leaf}"
+
+
+def write_month(df: DataFrame, path: str, year: int | None, month: int | None) -> str:
+    """Overwrite exactly one month without shuffling or sorting; returns its path."""
+    leaf = month_leaf(path, year, month)
+    df.write.mode("overwrite").parquet(leaf)
+    return leaf

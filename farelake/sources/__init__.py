@@ -4,9 +4,11 @@ from farelake.sources.csv import read_zone_csv
 from farelake.sources.footers import footers
 from farelake.sources.parquet import (
     below,
+    file_sizes,
     first_rows,
     raw_inputs,
     read_bronze,
+    read_bronze_month,
     read_gold,
     read_gold_or_empty,
     read_inputs,
@@ -20,10 +22,12 @@ from farelake.sources.parquet import (
 
 __all__ = [
     "below",
+    "file_sizes",
     "first_rows",
     "footers",
     "raw_inputs",
     "read_bronze",
+    "read_bronze_month",
     "read_gold",
     "read_gold_or_empty",
     "read_inputs",

@@ -34,8 +34,8 @@ def plain(path: str) -> str:
     return _SCHEME.sub("", path).rstrip("/")
 
 
-def file_list(spark: SparkSession, *paths: str) -> DataFrame:
-    """``path`` of all files below some paths but hidden ones; no file is opened.
+def file_list(spark: SparkSession, *paths: str, sizes: bool = False) -> DataFrame:
+    """``path``, and ``size`` if asked for, of all files below some paths but hidden ones; no file is opened.
 
     What Spark reads it reads whatever the suffix, so none is asked for. Tasks are cut by
     file size as if files were read. A session of its own lets one task list as many
@@ -44,7 +44,8 @@ def file_list(spark: SparkSession, *paths: str) -> DataFrame:
     listing = spark.newSession()
     listing.conf.set("spark.sql.files.maxPartitionBytes", "1t")
     reader = listing.read.format("binaryFile").option("recursiveFileLookup", True)
-    return reader.load(list(paths)).select("path")
+    found = reader.load(list(paths))
+    return found.selectExpr("path", "length AS size") if sizes else found.select("path")
 
 
 def _footer(path: str) -> tuple[str | None, int | None, bool, bool]:

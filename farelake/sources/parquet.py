@@ -329,6 +329,17 @@ def read_bronze(
     return reduce(DataFrame.unionByName, conformed)
 
 
+def read_bronze_month(
+    spark: SparkSession,
+    leaf: str,
+    rename: dict[str, str] | None = None,
+    skip_corrupt: bool = False,
+) -> DataFrame:
+    """One month of Bronze in its contract, from its directory alone."""
+    rows = read_inputs(spark, [leaf], skip_corrupt)[leaf]
+    return conform(rows.withColumnsRenamed(rename or {}), BRONZE)
+
+
 def skipped_files(
     spark: SparkSession, bronze_base: str, dataset: str = DEFAULT_DATASET
 ) -> DataFrame:
@@ -349,6 +360,16 @@ def skipped_files(
     return files.select("path")
 
 
+def file_sizes(spark: SparkSession, root: str) -> DataFrame:
+    """``path``, ``size``, ``year`` and ``month`` of all files of a table; none is opened."""
+
+    def part(name: str) -> Column:
+        text = F.regexp_extract(below(root, F.col("path")), rf"(?:^|/){name}=(\d+)/", 1)
+        return text.try_cast("int").alias(name)
+
+    return file_list(spark, root, sizes=True).select("path", "size", part("year"), part("month"))
+
+
 def read_silver(
     spark: SparkSession, silver_base: str, dataset: str = DEFAULT_DATASET
 ) -> DataFrame:

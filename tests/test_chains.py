@@ -216,14 +216,14 @@ def test_one_new_month_equals_a_full_rebuild(spark, base):
 
 
 def test_silver_of_one_month_pushes_its_range(spark, base, capsys):
-    from farelake.plans.jobs import _dated_in, _picked_up_in
+    from farelake.plans.jobs import dated_in, _picked_up_in
 
     ingest_bronze(spark, month_file(spark, base, 1, [("2023-01-05T00:00:00", 1.0)]), base)
     build_silver(spark, base, f"{base}/silver")
     frame = spark.read.schema("tpep_pickup_datetime timestamp").parquet(f"{base}/yellow_tripdata")
     text = plan(frame.where(_picked_up_in({(2023, 1)})), capsys)
     assert "GreaterThanOrEqual(tpep_pickup_datetime" in text and "LessThan(" in text
-    text = plan(read_silver(spark, f"{base}/silver").where(_dated_in({(2023, 1), (None, None)})), capsys)
+    text = plan(read_silver(spark, f"{base}/silver").where(dated_in({(2023, 1), (None, None)})), capsys)
     assert re.search(r"PartitionFilters: \[.*2023.*isnull\(year", text)
 
 

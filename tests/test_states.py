@@ -1,0 +1,219 @@
+"""Gold from states, scorecards counted while writing, and small files packed."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from helpers import parquet_files, rows, trips_frame
+from pyspark.sql import functions as F
+from test_chains import SCHEMA, bases, month_file, raw  # noqa: F401
+
+from farelake.operators import merged_kpis, monthly_kpis, monthly_state
+from farelake.plans import (
+    GoldStatus,
+    Ledger,
+    build_gold,
+    build_silver,
+    compact_silver,
+    ingest_bronze,
+    ingest_bronze_counted,
+    merge_states,
+    record_counts,
+    run_batch,
+    run_states,
+    score_bronze,
+    score_silver,
+    small_months,
+    write_state,
+)
+from farelake.schemas import DEFAULT_DATASET as DATASET
+from farelake.sinks import FileWarehouse
+from farelake.sources import read_bronze_month, read_gold, read_silver
+
+UNDATED = (1900, 1)
+AMOUNTS = [1.1, 2.25, -0.3, 1 / 3, 1e300, None, float("nan"), 0.0, 7.77]
+
+
+def test_states_merge_to_the_kpis_of_all_trips(spark):
+    """Whatever parts the trips are cut into; a third and 1e300 are summed apart from units."""
+    data = [
+        (f"2023-{1 + i % 3:02d}-01T00:00:00" if i % 7 else None, AMOUNTS[i % 9], AMOUNTS[i % 5], AMOUNTS[i % 4])
+        for i in range(90)
+    ]
+    trips = trips_frame(spark, data).withColumns(
+        {"year": F.year("tpep_pickup_datetime"), "month": F.month("tpep_pickup_datetime")}
+    )
+    expected = repr(rows(monthly_kpis(trips)))
+    parts = F.pmod(F.xxhash64("trip_distance", "fare_amount"), F.lit(4))
+    for by in (parts, F.lit(0), F.monotonically_increasing_id()):
+        states = monthly_state(trips.withColumn("part", by), ["part", "year", "month"])
+        assert repr(rows(merged_kpis(states))) == expected
+    assert merged_kpis(monthly_state(trips.limit(0))).count() == 0
+
+
+def facts(spark, warehouse):
+    return rows(warehouse.read(spark, "fact_trips_monthly"))
+
+
+def test_gold_from_states_equals_gold_from_silver(spark, base):
+    """Strays, null pickups, a file replaced by a shorter one, and months that lose all trips."""
+    files = [
+        (1, [("2023-01-05T00:00:00", 1.0), ("2023-02-01T00:00:00", 2.0), ("2022-07-01T00:00:00", 9.0)]),
+        (2, [("2023-02-05T00:00:00", 3.0), ("2023-01-31T23:59:59", 4.0), (None, 5.0)]),
+        (1, [("2023-01-06T00:00:00", 6.0)]),
+        (2, [("2023-02-05T00:00:00", 3.0)]),
+    ]
+    one, two = bases(f"{base}/silver-way"), bases(f"{base}/state-way")
+    for month, trips in files:
+        path = month_file(spark, base, month, trips)
+        run_batch(spark, path, *one, undated=UNDATED)
+        run_states(spark, path, two[0], *two[2:], undated=UNDATED)
+        assert facts(spark, one[3]) == facts(spark, two[3])
+    assert [f[:3] for f in facts(spark, two[3])] == [(2023, 1, 1), (2023, 2, 1)]
+    assert not os.path.exists(two[1])
+
+
+def test_a_new_file_reads_no_other_month(spark, base):
+    layers = bases(base)
+    for month in (1, 2, 3):
+        path = month_file(spark, base, month, [(f"2023-{month:02d}-05T00:00:00", 1.0)])
+        run_states(spark, path, layers[0], *layers[2:])
+    untouched = parquet_files(f"{layers[2]}/kpis_trips_monthly/year=2023/month=1")
+    leaf = f"{layers[0]}/{DATASET}/year=2023/month=2"
+    read = read_bronze_month(spark, leaf).inputFiles()
+    assert {os.path.dirname(p).removeprefix("file://") for p in read} == {leaf}
+    path = month_file(spark, base, 2, [("2023-02-06T00:00:00", 2.0)])
+    run_states(spark, path, layers[0], *layers[2:])
+    assert parquet_files(f"{layers[2]}/kpis_trips_monthly/year=2023/month=1") == untouched
+
+
+def test_states_of_a_run_that_ended_early_are_made_up_for(spark, base):
+    layers = bases(base)
+    for month in (1, 2):
+        path = month_file(spark, base, month, [(f"2023-{month:02d}-05T00:00:00", 1.0)])
+        run_states(spark, path, layers[0], *layers[2:])
+    path = month_file(spark, base, 1, [("2023-03-05T00:00:00", 2.0)])
+    Ledger(spark, layers[2], DATASET).note({(2023, 1)})
+    ingest_bronze(spark, path, layers[0])
+    other = month_file(spark, base, 2, [("2023-02-07T00:00:00", 3.0)])
+    run_states(spark, other, layers[0], *layers[2:])
+    assert [f[:3] for f in facts(spark, layers[3])] == [(2023, 2, 1), (2023, 3, 1)]
+
+
+def test_states_without_trips_leave_gold(spark, base):
+    layers = bases(base)
+    path = month_file(spark, base, 1, [("2023-01-05T00:00:00", 1.0)])
+    run_states(spark, path, layers[0], *layers[2:])
+    spark.createDataFrame([], SCHEMA).write.mode("overwrite").parquet(f"{layers[0]}/{DATASET}/year=2023/month=1")
+    write_state(spark, layers[0], layers[2], (2023, 1))
+    assert merge_states(spark, layers[2], layers[3]) is GoldStatus.SILVER_EMPTY
+    assert read_gold(spark, layers[2]).count() == 1
+
+
+# Scorecards
+
+
+def test_counts_taken_while_writing_equal_a_scan(spark, base, raw):  # noqa: F811
+    run = ("a", 1)
+    one, two = FileWarehouse(f"{base}/w1"), FileWarehouse(f"{base}/w2")
+    record_counts(spark, ingest_bronze_counted(spark, raw, f"{base}/bronze"), one, run)
+    score_bronze(spark, f"{base}/bronze", two, run=run)
+    assert rows(one.read(spark, "dq_results")) == rows(two.read(spark, "dq_results"))
+    built = build_silver(spark, f"{base}/bronze", f"{base}/silver")
+    record_counts(spark, built.counted, one, ("b", 2))
+    score_silver(spark, f"{base}/silver", two, run=("b", 2))
+    assert rows(one.read(spark, "dq_results")) == rows(two.read(spark, "dq_results"))
+    assert built.counted["rows_total"] == 3
+
+
+def test_counts_fit_drifting_columns(spark, base):
+    """Text and other letter case, and a column that is missing."""
+    frame = spark.createDataFrame([("1.5",), ("x",), ("-1",), (None,)], "Trip_Distance string")
+    path = f"{base}/raw/yellow_tripdata_2023-01.parquet"
+    frame.write.parquet(path)
+    counted = ingest_bronze_counted(spark, path, f"{base}/bronze")
+    assert counted == {
+        "rows_total": 4, "null_trip_distance": 2, "null_fare_amount": 4, "bad_distance": 1, "bad_fare": 0
+    }
+
+
+def test_counting_adds_no_scan(spark, base, raw, monkeypatch):  # noqa: F811
+    """One job list with and one without the counts read the same rows."""
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(action):
+        spark.sparkContext.setJobGroup("counted", "jobs of one ingest")
+        action()
+        found = len(tracker.getJobIdsForGroup("counted"))
+        spark.sparkContext.setJobGroup("other", "")
+        return found
+
+    plain = jobs(lambda: ingest_bronze(spark, raw, f"{base}/a"))
+    first = len(tracker.getJobIdsForGroup("counted"))
+    both = jobs(lambda: ingest_bronze_counted(spark, raw, f"{base}/b"))
+    assert both - first == plain
+
+
+def test_silver_of_nothing_is_counted(spark, base):
+    os.makedirs(f"{base}/bronze/{DATASET}")
+    built = build_silver(spark, f"{base}/bronze", f"{base}/silver")
+    assert not any(built.counted.values())
+
+
+# Files
+
+
+def small_files(spark, base, parts=6):
+    """Silver whose January and null month lie in many files, and February in one."""
+    trips = [(f"2023-01-{1 + i:02d}T00:00:00" if i % 5 else None, 1.0 + i, 2.0, 0.5) for i in range(28)]
+    frame = trips_frame(spark, [*trips, ("2023-02-01T00:00:00", 1.0, 1.0, 1.0)])
+    frame = frame.withColumn("pickup_date", F.to_date("tpep_pickup_datetime")).withColumns(
+        {"year": F.year("pickup_date"), "month": F.month("pickup_date")}
+    )
+    path = f"{base}/silver/{DATASET}"
+    for i in range(parts):
+        part = frame.where(F.pmod(F.xxhash64("trip_distance"), F.lit(parts)) == i)
+        part.coalesce(1).write.mode("append").partitionBy("year", "month").parquet(path)
+    return path, rows(read_silver(spark, f"{base}/silver"))
+
+
+def test_small_files_become_one_a_month(spark, base):
+    path, before = small_files(spark, base)
+    february = parquet_files(f"{path}/year=2023/month=2")
+    found = compact_silver(spark, f"{base}/silver")
+    assert [row.month for row in found] == [(2023, 1), (None, None)]
+    assert all(row.files > 1 for row in found)
+    assert rows(read_silver(spark, f"{base}/silver")) == before
+    assert len(parquet_files(path)) == 3 and parquet_files(f"{path}/year=2023/month=2") == february
+    assert compact_silver(spark, f"{base}/silver") == [] == small_months(spark, f"{base}/silver")
+
+
+def test_a_month_gets_as_many_files_as_it_holds_targets(spark, base):
+    path = f"{base}/silver/{DATASET}"
+    rows_ = spark.range(60_000).select(
+        F.timestamp_seconds(F.col("id") + 1_672_531_200).alias("tpep_pickup_datetime"),
+        F.rand(1).alias("trip_distance"),
+        F.rand(2).alias("fare_amount"),
+    )
+    rows_ = rows_.withColumns({"year": F.lit(2023), "month": F.lit(1)})
+    rows_.repartition(40).write.partitionBy("year", "month").parquet(path)
+    size = sum(map(os.path.getsize, parquet_files(path)))
+    target = size // 5
+    total = read_silver(spark, f"{base}/silver").agg(F.sum("trip_distance"), F.count("*")).first()
+    compact_silver(spark, f"{base}/silver", target=target)
+    sizes = [os.path.getsize(p) for p in parquet_files(path)]
+    assert 2 <= len(sizes) <= 5 and min(sizes) >= target // 2
+    again = read_silver(spark, f"{base}/silver").agg(F.sum("trip_distance"), F.count("*")).first()
+    assert again[1] == total[1] == 60_000 and again[0] == pytest.approx(total[0])
+
+
+def test_gold_of_packed_silver_is_the_same(spark, base):
+    small_files(spark, base)
+    one, two = FileWarehouse(f"{base}/w1"), FileWarehouse(f"{base}/w2")
+    build_gold(spark, f"{base}/silver", f"{base}/gold1", one, undated=UNDATED)
+    compact_silver(spark, f"{base}/silver")
+    build_gold(spark, f"{base}/silver", f"{base}/gold2", two, undated=UNDATED)
+    assert facts(spark, one) == facts(spark, two)
+
+

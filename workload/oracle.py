@@ -206,10 +206,14 @@ WITH {_RAW.replace('FROM lineitem', '''FROM lineitem
     ELSE l_linenumber > 1 END''')}, {_SILVER}
 SELECT * FROM silver
 """,
+    "silver_compact": f"WITH {_RAW}, {_SILVER} SELECT *, 0 AS left FROM silver",
+    "gold_from_states": f"{_LAYERS} SELECT * FROM gold",
     "gold_publish": f"{_LAYERS} SELECT * FROM gold",
     "dq_profile": f"WITH {_RAW} {_scorecard('trips', _TRIP_RULES)}",
     "dq_score_silver": f"WITH {_RAW}, {_SILVER} {_scorecard('silver', _TRIP_RULES)}",
     "dq_score_bronze": f"WITH {_RAW} {_scorecard('trips', _TRIP_RULES)}",
+    "dq_observed_bronze": f"WITH {_RAW} {_scorecard('trips', _TRIP_RULES)}",
+    "dq_observed_silver": f"WITH {_RAW}, {_SILVER} {_scorecard('silver', _TRIP_RULES)}",
     "dq_record_once": f"WITH {_RAW} {_scorecard('trips', _TRIP_RULES)}",
     "dq_account_balance": f"""
 WITH accounts AS (SELECT * FROM customer) {_scorecard('accounts', _BALANCE_RULES)}

@@ -30,19 +30,24 @@ from farelake.operators import (
 from farelake.plans import (
     build_gold,
     build_silver,
+    compact_silver,
     evaluate_gold,
     follow_topic,
     ingest_bronze,
+    ingest_bronze_counted,
     ingest_bronze_months,
     ingest_topic,
     load_zone_lookup,
     publish_topic,
+    record_counts,
     run_batch,
     run_batch_all,
     run_evaluation,
+    run_states,
     run_topic_batch,
     score_bronze,
     score_silver,
+    small_months,
     start_batch,
 )
 from farelake.schemas import PAYLOAD, TOPIC_DATASET, contract
@@ -244,6 +249,38 @@ def gold_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(spark, warehouse)
 
 
+def gold_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from states of three raw months, the last of them read again with fewer trips."""
+    base = scratch_path(spark, "gold-states")
+    raw = raw_trips(table(spark, sf_dir, "lineitem"))
+    warehouse = FileWarehouse(f"{base}/warehouse")
+    layers = f"{base}/bronze", f"{base}/gold", warehouse
+    for part, where in (
+        ("1995-01", "payment_type = 1"),
+        ("1995-02", "payment_type IN (2, 3)"),
+        ("1995-03", "payment_type > 3 OR payment_type = 1"),
+        ("1995-03", "payment_type > 3"),
+    ):
+        path = f"{base}/raw/{DATASET}_{part}.parquet"
+        rows = raw.where(where).drop("part_key", "file_year", "file_month")
+        rows.write.mode("overwrite").parquet(path)
+        run_states(spark, path, *layers, undated=UNDATED)
+    return published(spark, warehouse)
+
+
+def silver_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after its small files were packed, with the number of months that still have some."""
+    base = scratch_path(spark, "silver-compact")
+    path = f"{base}/silver/{DATASET}"
+    rows = silver(spark, sf_dir).where("VendorID = 1")
+    kept = silver(spark, sf_dir).where("VendorID <> 1")
+    write_months(kept.hint("rebalance", "year", "month"), path, replace="all")
+    rows.repartition(3).write.mode("append").partitionBy("year", "month").parquet(path)
+    compact_silver(spark, f"{base}/silver")
+    left = len(small_months(spark, f"{base}/silver"))
+    return read_silver(spark, f"{base}/silver").withColumn("left", F.lit(left))
+
+
 def chain_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "chain-batch")
     write_raw(spark, sf_dir, f"{base}/raw")
@@ -299,6 +336,27 @@ def dq_score_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read(spark, "dq_results")
 
 
+def dq_observed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorecard of a Bronze month, counted by the tasks that wrote it."""
+    base = scratch_path(spark, "dq-observed-bronze")
+    path = f"{base}/raw/{DATASET}_1995-01.parquet"
+    write_one_raw(spark, sf_dir, path)
+    warehouse = FileWarehouse(f"{base}/warehouse")
+    counted = ingest_bronze_counted(spark, path, f"{base}/bronze")
+    record_counts(spark, counted, warehouse, run=(RUN_ID, RUN_EPOCH))
+    return warehouse.read(spark, "dq_results")
+
+
+def dq_observed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorecard of Silver, counted by the tasks that wrote it."""
+    base = scratch_path(spark, "dq-observed-silver")
+    write_bronze(spark, sf_dir, f"{base}/bronze")
+    warehouse = FileWarehouse(f"{base}/warehouse")
+    built = build_silver(spark, f"{base}/bronze", f"{base}/silver")
+    record_counts(spark, built.counted, warehouse, run=(RUN_ID, RUN_EPOCH))
+    return warehouse.read(spark, "dq_results")
+
+
 def dq_record_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The evaluation of one run, tried again."""
     base = scratch_path(spark, "dq-once")
@@ -490,11 +548,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_write": silver_write,
     "silver_incremental": silver_incremental,
     "batch_resume": batch_resume,
+    "silver_compact": silver_compact,
     "gold_publish": gold_publish,
+    "gold_from_states": gold_from_states,
     "dq_profile": dq_profile,
     "dq_score_silver": dq_score_silver,
     "dq_score_bronze": dq_score_bronze,
     "dq_record_once": dq_record_once,
+    "dq_observed_bronze": dq_observed_bronze,
+    "dq_observed_silver": dq_observed_silver,
     "dq_account_balance": dq_account_balance,
     "dq_failed_runs": dq_failed_runs,
     "eval_gold": eval_gold,
