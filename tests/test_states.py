@@ -32,11 +32,11 @@ from farelake.sinks import FileWarehouse
 from farelake.sources import read_bronze_month, read_gold, read_silver
 
 UNDATED = (1900, 1)
-AMOUNTS = [1.1, 2.25, -0.3, 1 / 3, 1e300, None, float("nan"), 0.0, 7.77]
+AMOUNTS = [1.1, 2.25, -0.3, 1 / 3, 2.0**60, None, float("nan"), 0.0, 7.77]
 
 
 def test_states_merge_to_the_kpis_of_all_trips(spark):
-    """Whatever parts the trips are cut into; a third and 1e300 are summed apart from units."""
+    """Whatever parts the trips are cut into; a third and 2**60 are summed apart from units."""
     data = [
         (f"2023-{1 + i % 3:02d}-01T00:00:00" if i % 7 else None, AMOUNTS[i % 9], AMOUNTS[i % 5], AMOUNTS[i % 4])
         for i in range(90)
