@@ -13,16 +13,18 @@ a stretch whose copies lie in several references is found whole.
 
 Not every window is moved:
 
+* A text that a smaller id holds as a whole loses all its words, if it has a window at all. Only
+  the first document of each text is parsed.
 * A window is named by the least digest of the shingles of ``shingle`` words in it. Windows
   with the same words have the same name, and neighbours mostly share one, so there are
-  about a fifth as many names as words. Only windows whose name occurs in two documents
+  about a fifth as many names as words. Only windows whose name occurs in two texts
   go into the index. Names are a filter and no more: equal ones prove nothing.
 * A task first parses its own documents against each other. What it finds is settled
-  there; of equal windows only that of its smallest id goes on. So the windows of a
-  passage that a third of all documents hold are as many as there are tasks, never as
-  many as there are documents.
+  there; of equal windows only that of its smallest id goes on, and one for all places of a text that
+  repeats itself. So the windows of a passage that a third of all documents hold
+  are as many as there are tasks, never as many as there are documents.
 
-Digests of windows have 96 bits. Windows are judged on the input, not on what is left.
+Digests of windows have 96 bits, those of texts 128. Windows are judged on the input, not on what is left.
 
 Null and empty texts have no words and stay as they are. A null id is smaller than none and
 none is smaller than it, so such rows lose nothing and take nothing. Rows of one id never take
@@ -32,6 +34,7 @@ Extra columns pass through, whatever their names.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -50,9 +53,9 @@ from farelake.llm.common import materialize
 WINDOW = 13
 SHINGLE = 5
 #: Bytes of text, or one text, whose words are digested at a time.
-_BLOCK_BYTES = 4 << 20
+_BLOCK_BYTES = 2 << 20
 #: Names or windows that a task puts in order at a time.
-_SETTLED_TOGETHER = 1 << 20
+_SETTLED_TOGETHER = 1 << 19
 
 _FACTORS = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -145,47 +148,44 @@ def _changes(*columns: NDArray) -> NDArray:
 
 
 def _names(window: int, shingle: int):
-    """Names of windows and the ids that hold them.
+    """Names of windows and the digests of the texts that hold them.
 
-    A name that two ids of a task hold is known to be shared: the ids get it in ``known``, and
-    only its least and greatest id go on to tell other tasks.
+    A name that two texts of a task hold is known to be shared: the texts get it in ``known``, and
+    only the least and the greatest of them go on to tell other tasks.
     """
 
-    def settled(names: NDArray, ids: NDArray) -> pa.RecordBatch:
-        order = np.lexsort((ids, names))
-        names, ids = names[order], ids[order]
-        new = _changes(names, ids)
-        names, ids = names[new], ids[new]
+    def settled(names: NDArray, keys: NDArray) -> pa.RecordBatch:
+        order = np.lexsort((keys, names))
+        names, keys = names[order], keys[order]
+        new = _changes(names, keys)
+        names, keys = names[new], keys[new]
         first = _changes(names)
         last = np.append(first[1:], True)
         sent = first | last
         shared = ~(first & last)
-        order = np.argsort(ids[shared], kind="stable")
-        known, owner = names[shared][order].view(np.int64), ids[shared][order]
+        order = np.argsort(keys[shared], kind="stable")
+        known, owner = names[shared][order].view(np.int64), keys[shared][order]
         starts = np.flatnonzero(_changes(owner))
         lists = pa.ListArray.from_arrays(
             pa.array(np.append(starts, len(owner)).astype(np.int32)), pa.array(known)
         )
-        n, m = int(sent.sum()), len(starts)
-        # Rows with known names have none of their own; dealt out by id, they lie anywhere.
-        own = _mixed(owner[starts].astype(np.uint64)).view(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.append(names[sent].view(np.int64), own)),
-                pa.array(np.append(ids[sent], owner[starts])),
-                pa.concat_arrays([pa.nulls(n, pa.list_(pa.int64())), lists]) if m else pa.nulls(n, pa.list_(pa.int64())),
-            ],
-            ["name", "id", "known"],
-        )
+        # Rows with known names have none of their own; their text deals them out.
+        own = owner[starts]
+        columns = [
+            pa.array(np.append(names[sent].view(np.int64), own)),
+            pa.array(np.append(keys[sent], own)),
+            pa.concat_arrays([pa.nulls(int(sent.sum()), pa.list_(pa.int64())), lists]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["name", "k1", "known"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[NDArray, NDArray]] = []
         size = 0
-        for (ids,), texts in _blocks(batches, ["id"], False):
+        for (keys,), texts in _blocks(batches, ["k1"], False):
             block = _Block(texts, window, shingle)
             names, at = block.names[block.inside], block.at[block.inside]
             new = _changes(names, at)
-            held.append((names[new], np.array(ids, np.int64)[at[new]]))
+            held.append((names[new], np.array(keys, np.int64)[at[new]]))
             size += int(new.sum())
             if size >= _SETTLED_TOGETHER:
                 yield settled(*map(np.concatenate, zip(*held)))
@@ -196,13 +196,16 @@ def _names(window: int, shingle: int):
     return run
 
 
+#: How a stretch of words is one number: its start, whether it is settled, its length.
+_START, _SETTLED = 1 << 32, 1 << 31
+
+
 def _windows(window: int, shingle: int):
-    """Windows with shared names; those settled in the task as stretches of words.
+    """Windows with shared names, and what is settled in the task as stretches of words.
 
-    A window that a smaller id of the task holds too is ``sure``. The rest are
-    entries of the index.
+    A window that a smaller id of the task holds too is settled. The rest are entries of
+    the index, each with the other places of its text where the same words start.
     """
-    made = ["one", "two", "id", "tag", "start", "end", "sure"]
 
     def settled(one, two, ids, tags, start) -> pa.RecordBatch:
         order = np.lexsort((start, tags, ids, two, one))
@@ -216,19 +219,25 @@ def _windows(window: int, shingle: int):
         s_ids, s_tags, s_start = (c[sure][order] for c in (ids, tags, start))
         # Stretches of windows that start one behind the other.
         new = np.flatnonzero(_changes(s_ids, s_tags, s_start - np.arange(len(s_start))))
-        last = np.append(new[1:], len(s_start))[: len(new)] - 1
-        own = _mixed(s_ids[new].astype(np.uint64)).view(np.int64)
-        n, m = int((~sure).sum()), len(new)
+        lengths = np.diff(np.append(new, len(s_start))) + window - 1
+        one, two, ids, tags, start = (c[~sure] for c in (one, two, ids, tags, start))
+        entry = np.flatnonzero(_changes(one, two, ids, tags))
+        upto = np.append(entry[1:], len(start))[: len(entry)]
+        others = [
+            zlib.compress(np.diff(start[a:b]).astype("<i4").tobytes(), 1) if b - a > 1 else None
+            for a, b in zip(entry.tolist(), upto.tolist())
+        ]
         columns = [
-            np.append(one[~sure], own),
-            np.append(two[~sure], s_start[new].astype(np.int32)),
-            np.append(ids[~sure], s_ids[new]),
-            np.append(tags[~sure], s_tags[new]),
-            np.append(start[~sure], s_start[new]).astype(np.int32),
-            np.append(start[~sure], s_start[last] if m else []).astype(np.int32) + np.int32(window),
-            np.arange(n + m) >= n,
+            np.append(tags[entry], s_tags[new]),
+            np.append(ids[entry], s_ids[new]),
+            # A settled stretch is no entry; its place deals it out.
+            np.append(one[entry], _mixed((s_ids[new] + s_start[new]).view(np.uint64)).view(np.int64)),
+            np.append(two[entry], s_start[new].astype(np.int32)),
+            np.append(start[entry] * _START + window, s_start[new] * _START + _SETTLED + lengths),
         ]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], made)
+        rows = [*map(pa.array, columns), pa.array(others + [None] * len(new), pa.binary())]
+        made = ["tag", "id", "one", "two", "stretch", "others"]
+        return pa.RecordBatch.from_arrays(rows, made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[NDArray, ...]] = []
@@ -238,14 +247,8 @@ def _windows(window: int, shingle: int):
             wanted = np.unique(np.concatenate([np.array(s, np.int64) for s in shared])).view(np.uint64)
             places = np.flatnonzero(block.inside & np.isin(block.names, wanted))
             at = block.at[places]
-            held.append(
-                (
-                    *block.windows(places),
-                    np.array(ids, np.int64)[at],
-                    np.array(tags, np.int32)[at],
-                    block.start[places],
-                )
-            )
+            of_row = (np.array(x, np.int64)[at] for x in (ids, tags))
+            held.append((*block.windows(places), *of_row, block.start[places]))
             size += len(places)
             if size >= _SETTLED_TOGETHER:
                 yield settled(*map(np.concatenate, zip(*held)))
@@ -262,19 +265,29 @@ def _zip(texts: pd.Series) -> pd.Series:
     return texts.map(lambda text: None if text is None else pack(text.encode()))
 
 
-def _cut(texts: pd.Series, factors: pd.Series) -> pd.DataFrame:
-    unpack = zstandard.ZstdDecompressor().decompress
+def _cutter(window: int):
+    def stretches(found: list | None) -> Iterator[tuple[int, int]]:
+        for row in [] if found is None else found:
+            start, length = divmod(int(row["stretch"]), _START)
+            length %= _SETTLED
+            yield start, start + length
+            if row["others"] is not None:
+                steps = np.frombuffer(zlib.decompress(row["others"]), "<i4")
+                for other in (start + np.cumsum(steps)).tolist():
+                    yield other, other + length
 
-    def cut(text: bytes | None, found: list | None) -> tuple:
+    def cut(text: bytes | None, found: list | None, copy: bool | None) -> tuple:
         if text is None:
             return None, 0, 0, []
-        words = unpack(text).split()
+        words = zstandard.ZstdDecompressor().decompress(text).split()
         spans: list[list[int]] = []
-        for factor in sorted((f["start"], f["end"]) for f in ([] if found is None else found)):
-            if spans and factor[0] <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], factor[1])
+        for start, end in sorted(stretches(found)):
+            if spans and start <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], end)
             else:
-                spans.append(list(factor))
+                spans.append([start, end])
+        if copy and len(words) >= window:
+            spans = [[0, len(words)]]
         kept, last = [], 0
         for start, end in spans:
             kept += words[last:start]
@@ -283,56 +296,85 @@ def _cut(texts: pd.Series, factors: pd.Series) -> pd.DataFrame:
         left = b" ".join(kept).decode()
         return left, len(words), len(words) - len(kept), [{"start": s, "end": e} for s, e in spans]
 
-    rows = [cut(text, found) for text, found in zip(texts, factors)]
-    return pd.DataFrame(rows, columns=["text", "n_words", "n_removed", "spans"])
+    def run(texts: pd.Series, stretches: pd.Series, copies: pd.Series) -> pd.DataFrame:
+        rows = [cut(*row) for row in zip(texts, stretches, copies)]
+        return pd.DataFrame(rows, columns=["text", "n_words", "n_removed", "spans"])
+
+    return run
 
 
 def _zipped(text: str) -> Column:
     return F.pandas_udf(_zip, "binary")(text)
 
 
-def _tag() -> Column:
-    """A number that tells apart the texts of one id."""
-    return F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("tag")
+#: A document by its id and a digest of its text.
+_PLACE = ["id", "k1", "k2"]
+
+
+def _digests(text: str) -> list[Column]:
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("second"), text).alias("k2")]
 
 
 def factors(
     spark: SparkSession, docs: DataFrame, window: int = WINDOW, shingle: int = SHINGLE
 ) -> DataFrame:
-    """``id``, ``tag`` and ``factors``, an array of starts and ends, of documents that have some.
+    """Documents that lose words: ``id``, ``k1``, ``k2``, and ``stretches`` or ``copy``.
 
-    ``docs`` has the columns ``id`` (bigint) and ``text``.
+    ``docs`` has the columns ``id`` (bigint) and ``text``. A stretch is start * 2**32 plus
+    its length, with bit 31 for those settled in a task, and ``others`` the steps to other
+    places of the same words; ``copy`` marks texts of a smaller id.
     """
     if not 0 < shingle <= window:
         raise ValueError("a window holds one shingle at least")
-    known = docs.where("id IS NOT NULL AND text IS NOT NULL")
-    names = known.select("id", "text").mapInArrow(
-        _names(window, shingle), "name bigint, id bigint, known array<bigint>"
+    known = docs.where("id IS NOT NULL AND text IS NOT NULL").select(
+        "id", *_digests("text"), "text"
+    )
+    places = materialize(spark, known.select(*_PLACE), "text-places")
+    texts = materialize(
+        spark, places.groupBy("k1", "k2").agg(F.min("id").alias("least")), "texts"
+    )
+    copies = places.join(texts.hint("merge"), ["k1", "k2"]).where("id > least")
+    copies = copies.select(*_PLACE).distinct()
+
+    names = known.select("k1", "text").mapInArrow(
+        _names(window, shingle), "name bigint, k1 bigint, known array<bigint>"
     )
     same = Window.partitionBy("name")
-    own = F.when(F.col("known").isNull(), F.col("id"))
+    own = F.when(F.col("known").isNull(), F.col("k1"))
     shared = (
         names.withColumns({"least": F.min(own).over(same), "greatest": F.max(own).over(same)})
         .where("known IS NOT NULL OR least < greatest")
-        .select("id", F.coalesce("known", F.array("name")).alias("names"))
-        .groupBy("id")
+        .select("k1", F.coalesce("known", F.array("name")).alias("names"))
+        .groupBy("k1")
         .agg(F.array_distinct(F.flatten(F.collect_list("names"))).alias("shared"))
     )
-    shared = materialize(spark, shared, "shared-names")
-    moved = known.select("id", _tag(), _zipped("text").alias("text"))
+    # Where an id has several texts, a digest tells them apart; nearly all have 0 instead.
+    several = texts.groupBy("least").count().where("count > 1").select("least", F.lit(True).alias("more"))
+    parsed = texts.join(several, "least", "left").select(
+        F.col("least").alias("id"), "k1", "k2", F.when(F.col("more"), F.col("k1")).otherwise(0).alias("tag")
+    )
+    parsed = materialize(spark, parsed.join(shared, "k1"), "shared-names")
+
+    moved = known.select(*_PLACE, _zipped("text").alias("text"))
     entries = (
-        moved.join(shared.hint("merge"), "id")
+        moved.join(parsed.hint("merge"), _PLACE)
         .select("id", "tag", "shared", "text")
         .mapInArrow(
             _windows(window, shingle),
-            "one bigint, two int, id bigint, tag int, start int, end int, sure boolean",
+            "tag bigint, id bigint, one bigint, two int, stretch bigint, others binary",
         )
     )
-    # A settled stretch has no window of its own and stays out of the comparison.
-    first = F.min(F.when(~F.col("sure"), F.col("id"))).over(Window.partitionBy("one", "two"))
-    found = entries.withColumn("first", first).where("sure OR first < id")
-    found = found.groupBy("id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("factors"))
-    return materialize(spark, found, "factors")
+    settled = F.col("stretch").bitwiseAND(F.lit(_SETTLED)) != 0
+    first = F.min(F.when(~settled, F.col("id"))).over(Window.partitionBy("one", "two"))
+    found = entries.withColumn("first", first).where(settled | (F.col("first") < F.col("id")))
+    found = found.groupBy("id", "tag").agg(F.collect_list(F.struct("stretch", "others")).alias("stretches"))
+    found = found.join(parsed.drop("shared"), ["id", "tag"]).select(
+        *_PLACE, "stretches", F.lit(False).alias("copy")
+    )
+    whole = copies.select(
+        *_PLACE, F.lit(None).cast(found.schema["stretches"].dataType).alias("stretches"), F.lit(True).alias("copy")
+    )
+    return materialize(spark, found.unionByName(whole), "factors")
 
 
 def substring_dedup(
@@ -359,12 +401,13 @@ def substring_dedup(
         # Rows without an id have no factors; a digest deals them out.
         F.coalesce("number", F.xxhash64("text")).alias("id"),
         F.col("number").isNull().alias("without"),
-        _tag(),
+        *_digests("text"),
         _zipped("text").alias("zipped"),
     )
     found = found.withColumn("without", F.lit(False)).hint("merge")
-    rows = rows.join(found, ["id", "without", "tag"], "left")
+    rows = rows.join(found, [*_PLACE, "without"], "left")
     cut = F.pandas_udf(
-        _cut, "text string, n_words long, n_removed long, spans array<struct<start:int,end:int>>"
+        _cutter(window),
+        "text string, n_words long, n_removed long, spans array<struct<start:int,end:int>>",
     )
-    return rows.select("row", cut("zipped", "factors").alias("cut"))
+    return rows.select("row", cut("zipped", "stretches", "copy").alias("cut"))

@@ -114,12 +114,12 @@ def test_windows_of_a_common_passage_do_not_grow_with_its_documents(spark):
     handed = []
     for n in (100, 400):
         docs = frame(spark, [f"{prose(50 + i, 20)} {passage}" for i in range(n)]).coalesce(2)
-        names = docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(
-            substrings._names(13, 5), "name bigint, id bigint, known array<bigint>"
+        names = docs.select(F.xxhash64("text").alias("k1"), "text").mapInArrow(
+            substrings._names(13, 5), "name bigint, k1 bigint, known array<bigint>"
         )
         shared = names.groupBy("name").agg(F.count_if(F.col("known").isNull()).alias("n"))
         handed.append(shared.agg(F.max("n")).first()[0])
-    assert handed == [4, 4]  # the least and the greatest id of each of two tasks
+    assert handed == [4, 4]  # the least and the greatest text of each of two tasks
 
 
 # Ranked search
