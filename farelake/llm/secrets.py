@@ -20,6 +20,7 @@ Repeated rows get equal results.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +67,50 @@ def most_weight(bits: float) -> int:
 
 
 _SPANS = "array<struct<start:int,kind:int,end:int,found:string>>"
+#: Steps that share one growing array; no step copies more than so many earlier results.
+_CHUNK = 128
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value made once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column], least: int) -> Column:
+    """For each value, all values before it joined, ``least`` for the first.
+
+    Made chunk by chunk, then chunks are joined the same way, so the time follows the number
+    of values.
+    """
+
+    def before(part: Column) -> Column:
+        empty = F.struct(
+            F.lit(least).alias("at"), F.array().cast("array<int>").alias("out")
+        )
+        return F.aggregate(
+            part,
+            empty,
+            lambda state, value: F.struct(
+                join(state["at"], value).cast("int").alias("at"),
+                F.concat(state["out"], F.array(state["at"])).alias("out"),
+            ),
+        )
+
+    def chunks(all_: Column) -> Column:
+        last = F.floor(F.greatest(F.size(all_) - 1, F.lit(0)) / _CHUNK).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), last), lambda i: before(F.slice(all_, i * _CHUNK + 1, _CHUNK))
+        )
+
+    def joined(parts: Column) -> Column:
+        ends = before(F.transform(parts, lambda part: part["at"]))["out"]
+        return F.flatten(
+            F.zip_with(
+                parts, ends, lambda part, end: F.transform(part["out"], lambda x: join(end, x))
+            )
+        )
+
+    return _once(values, lambda all_: _once(chunks(all_), joined))
 
 
 def _matches(text: Column, pattern: str, kind: int) -> Column:
@@ -73,21 +118,46 @@ def _matches(text: Column, pattern: str, kind: int) -> Column:
     lengths of what lies between them."""
     between = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.zip_with(between, found, lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
-
-    def step(state: Column, item: Column) -> Column:
-        begin = state["at"] + F.char_length(item["gap"])
-        end = begin + F.coalesce(F.char_length(item["m"]), F.lit(0))
-        span = F.struct(
-            begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), item["m"].alias("found")
+    items = F.zip_with(
+        between, found, lambda gap, m: F.struct(F.char_length(gap).alias("gap"), m.alias("m"))
+    )
+
+    def span(item: Column, before: Column) -> Column:
+        start = before + item["gap"]
+        return F.struct(
+            start.alias("start"),
+            F.lit(kind).alias("kind"),
+            (start + F.char_length(item["m"])).alias("end"),
+            item["m"].alias("found"),
+        )
+
+    def spans(items: Column) -> Column:
+        lengths = F.transform(
+            items, lambda i: (i["gap"] + F.coalesce(F.char_length(i["m"]), F.lit(0))).cast("int")
+        )
+        placed = F.zip_with(items, _running(lengths, lambda a, b: a + b, 0), span)
+        return F.filter(placed, lambda s: s["found"].isNotNull())
+
+    return _once(items, spans).cast(_SPANS)
+
+
+def _outside(base: Column, made: Column) -> Column:
+    """``base`` and those of ``made`` that lie in no span of it, sorted.
+
+    By start, a span lies in an earlier one if the greatest end so far reaches its own.
+    """
+
+    def kept(spans: Column) -> Column:
+        ends = F.transform(
+            spans, lambda s: F.when(s["kind"] < len(KINDS) - 1, s["end"]).otherwise(-1)
         )
-        out = F.when(item["m"].isNull(), state["out"]).otherwise(
-            F.concat(state["out"], F.array(span))
+        both = F.zip_with(
+            spans, _running(ends, F.greatest, -1), lambda s, e: F.struct(s.alias("s"), e.alias("e"))
         )
-        return F.struct(end.alias("at"), out.cast(_SPANS).alias("out"))
+        free = F.filter(both, lambda x: (x["s"]["kind"] < len(KINDS) - 1) | (x["e"] < x["s"]["end"]))
+        return F.transform(free, lambda x: x["s"])
 
-    return F.aggregate(both, start, step, lambda state: state["out"])
+    return _once(F.array_sort(F.concat(base, made)), kept).cast(_SPANS)
 
 
 def _where(condition: Column, spans: Column) -> Column:
@@ -183,11 +253,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         ),
     ).cast(_SPANS)
     rows = rows.select("doc_id", "base", made.alias("made"))
-    inside = lambda s: F.exists(
-        "base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])
-    )
-    added = F.filter("made", lambda s: ~inside(s))
-    return rows.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
+    return rows.select("doc_id", "base", _outside(F.col("base"), F.col("made")).alias("spans"))
 
 
 def as_text(spans: str) -> Column:
