@@ -14,9 +14,9 @@ prefix to join on. Steps:
    fixes where the window would start; it must lie inside the document from its
    first to its last word. The words at that place are compared one by one.
 
-Everything is built-in functions. The set of benchmark shingles is broadcast if it
-has at most ``BROADCAST_ROWS`` rows (8 bytes each); a larger one is joined by an
-exchange.
+Everything is built-in functions. Of the set of benchmark shingles at most about
+``BROADCAST_ROWS`` rows (8 bytes each) are broadcast at a time; a larger set takes as many
+passes over the texts. Words never move with a shingle that no item has.
 
 Null and empty texts have no words and nothing is hit; items without words have no
 windows. Equal items and windows are found all alike. Texts of any length are read
@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.llm.common import KEY, ascii_lower, key_of, materialize, packed, unpacked
+from farelake.session import scratch_path
 
 WINDOW = 13
 SHINGLE = 5
@@ -100,7 +101,8 @@ def occurrences(
     )
     itself = spark.range(1).select(F.lit(_ITSELF).cast("bigint").alias("shingle"))
     sought = windows.select("shingle").union(itself).distinct()
-    bounded = sought.count() <= BROADCAST_ROWS
+    # What is broadcast is bounded: more shingles are as many passes over the texts.
+    parts = -(-sought.count() // max(1, BROADCAST_ROWS))
     # At most SHINGLE different sizes.
     sizes = windows.select(F.least(F.lit(SHINGLE), F.col("size")).alias("s")).distinct()
     sizes = sorted(row["s"] for row in sizes.collect()) or [SHINGLE]
@@ -123,17 +125,20 @@ def occurrences(
         rows = rows.select(*KEY, "n", "w", "p.*")
     # Words that any window around the shingle can reach.
     since = F.greatest(F.lit(0), F.col("at") - (WINDOW - 1))
-    hits = rows.join(F.broadcast(sought) if bounded else sought, "shingle").select(
-        *KEY,
-        "n",
-        "at",
-        "shingle",
-        since.alias("since"),
-        F.when(
-            F.col("shingle") != _ITSELF, F.slice("w", since + 1, F.lit(2 * WINDOW - 1))
-        ).alias("near"),
-    )
-    hits = materialize(spark, hits, "benchmark-hits")
+    near = F.slice("w", since + 1, F.lit(2 * WINDOW - 1))
+    path = scratch_path(spark, "benchmark-hits")
+    for part in range(parts):
+        some = sought.where(F.pmod("shingle", F.lit(parts)) == part) if parts > 1 else sought
+        hits = rows.join(F.broadcast(some), "shingle").select(
+            *KEY,
+            "n",
+            "at",
+            "shingle",
+            since.alias("since"),
+            F.when(F.col("shingle") != _ITSELF, near).alias("near"),
+        )
+        hits.write.mode("append").parquet(path)
+    hits = spark.read.schema(hits.schema).parquet(path)
 
     counts = hits.where(F.col("shingle") == _ITSELF).select(*KEY, "n")
     rarity = hits.groupBy("shingle").agg(F.count("*").alias("found"))
