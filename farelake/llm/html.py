@@ -6,6 +6,12 @@ neither is anything whose class, id or role says so; where a page marks its arti
 (``article``, or without one ``main`` or that role), exactly the rest of it is the text.
 An article is kept whole even if other pages hold the same one.
 
+Names say so as whole words of a class or id: ``sidebar``, ``site-nav`` or ``adSlot``, but not
+``has-sidebar``, ``no-sidebar`` or ``comments-closed``, which tell how a page looks. They never
+send away the page itself or a heading, and inside an article ids are places to link to and only
+classes of sections count. A form that holds the article is a wrapper. Where names or forms would
+leave nothing of an article that a page marks, they are not believed about what holds it.
+
 Pages that mark no article leave blocks open. For these the token streams of all
 pages of a host are compared (:mod:`farelake.llm.runs`; a token is the digest of a
 block): runs of blocks with ``LEAST_WORDS`` words or more that occur on pages of the
@@ -44,7 +50,7 @@ BROADCAST_PAGES = 20_000
 
 # Names of elements and words that tell what an element is for.
 SKIPPED = set("script style title textarea noscript template iframe object svg math".split())
-CHROME = set("nav footer aside form button select dialog menu head".split())
+CHROME = set("nav footer aside button select dialog menu head".split())
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol option p pre "
@@ -58,6 +64,15 @@ TELLS = set(
     "comments disqus reply replies discussion related recommended share sharing social widget "
     "pagination pager login search".split()
 )
+#: Beside a tell, these make a name that tells how a page looks, not what an element is for.
+STATES = set(
+    "has have with without no not is hide hides show shows open opened closed enabled disabled "
+    "allowed none off on free active inactive".split()
+)
+#: Elements whose classes count inside an article, and those whose ids do.
+SECTIONS = set("div section ul ol dl table figure span p header".split())
+PARTS = set("div ul ol".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6 html body".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert".split())
 IMPLIED_END = {"li": {"ul", "ol", "menu"}, "p": set(), "td": {"table"}, "th": {"table"}}
 IMPLIED_END |= {"tr": {"table"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
@@ -74,11 +89,24 @@ _ATTRIBUTE = re.compile(
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _NAME_PARTS = re.compile(r"[^a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
-ARTICLE, MAIN, OPEN, AWAY = 3, 2, 1, 0
+#: Zones of a page. What is DOUBTED by its name is away unless that leaves no article, and
+#: what is WRAPPED in a form unless it is an article.
+ARTICLE, MAIN, OPEN, AWAY, DOUBTED, WRAPPED = 3, 2, 1, 0, -1, -2
+
+
+def _tells(value: str) -> bool:
+    """Whether a class or id has a word that says what its element is for."""
+    for word in value.split():
+        parts = [part for part in _NAME_PARTS.split(_HUMP.sub(" ", word).lower()) if part]
+        if not TELLS.isdisjoint(parts) and STATES.isdisjoint(parts):
+            return True
+    return False
 
 
 def _purpose(name: str, attributes: str, in_article: bool) -> int:
-    """What an element makes of its content: ARTICLE, MAIN, OPEN (as its parent) or AWAY."""
+    """What an element makes of its content; OPEN is as its parent."""
+    if name == "form":
+        return WRAPPED
     if name in CHROME or name == "header" and not in_article:
         return AWAY
     found = {"article": ARTICLE, "main": MAIN}.get(name, OPEN)
@@ -86,9 +114,10 @@ def _purpose(name: str, attributes: str, in_article: bool) -> int:
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
             if key in ("class", "id"):
-                parts = _NAME_PARTS.split(_HUMP.sub(" ", value).lower())
-                if not TELLS.isdisjoint(parts):
-                    return AWAY
+                inner = SECTIONS if key == "class" else PARTS
+                named = name in inner if in_article else name not in HEADINGS
+                if named and _tells(value):
+                    return AWAY if in_article else DOUBTED
                 continue
             value = value.lower()
             if key == "role":
@@ -105,7 +134,18 @@ def _purpose(name: str, attributes: str, in_article: bool) -> int:
 
 def blocks_of(html: str | None) -> list[tuple[str, int]]:
     """Text and zone of each block of a page, in order; blocks without text are left out."""
-    html = html or ""
+    blocks, doubted = _blocks_of(html or "", believe=True)
+    if doubted and best_zone(blocks) < MAIN:
+        blocks, _ = _blocks_of(html or "", believe=False)
+    return blocks
+
+
+def _blocks_of(html: str, believe: bool) -> tuple[list[tuple[str, int]], bool]:
+    """The blocks, and whether a name sent an article away.
+
+    Unless names are believed, an article inside what they send away is one all the same.
+    """
+    doubted = False
     out: list[tuple[str, int]] = []
     pieces: list[str] = []
     stack: list[tuple[str, int]] = []  # open elements, and the zone inside each
@@ -158,13 +198,23 @@ def blocks_of(html: str | None) -> list[tuple[str, int]]:
         if name in VOID or tag[3].endswith("/"):
             continue
         purpose = _purpose(name, tag[3], zone >= MAIN)
-        inside = AWAY if AWAY in (zone, purpose) else max(zone, purpose)
+        if zone <= AWAY:
+            inside = zone
+            if purpose == AWAY or purpose == DOUBTED and zone == WRAPPED:
+                inside = purpose
+            elif purpose >= MAIN and zone == DOUBTED:
+                doubted = True
+                inside = zone if believe else purpose
+            elif purpose >= MAIN and zone == WRAPPED:
+                inside = purpose
+        else:
+            inside = purpose if purpose <= AWAY else max(zone, purpose)
         if inside != zone and name not in BLOCKS:
             end_block()
         stack.append((name, inside))
         zone = inside
     end_block()
-    return out
+    return [(text, max(zone, AWAY)) for text, zone in out], doubted
 
 
 def host_of(url: str | None) -> str:

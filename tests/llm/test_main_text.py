@@ -21,3 +21,69 @@ def test_copies_and_passages_of_two_pages_stay(spark):
         spark, spark.createDataFrame(pages, "page_id int, url string, html string")
     ).collect()
     assert {r.page_id: r.text for r in rows} == stories
+
+
+# Whole pages and the text a reader would call theirs, written by hand.
+STORY = "The river rose at night. By noon it had reached the mill."
+P = f"<p>{STORY}</p>"
+AROUND = "<nav><a href=/>Home</a></nav>%s<footer>All rights reserved</footer>"
+PAGES = [
+    # Names of a page that tell how it looks.
+    (f'<body class="single has-sidebar comments-open"><article>{P}</article></body>', STORY),
+    (f'<div id="page" class="no-sidebar"><article>{P}</article></div>', STORY),
+    (f'<article class="post comments-closed">{P}</article>', STORY),
+    (f'<html class="no-overlay"><body><article>{P}</article></body></html>', STORY),
+    (f'<body class="sidebar menu"><main>{P}</main></body>', STORY),
+    (f'<body id="search"><div class="with-menu withoutSidebar">{P}</div></body>', STORY),
+    # Forms.
+    (f'<form id="aspnetForm"><div><nav>Menu</nav><article>{P}</article></div></form>', STORY),
+    (f'<article>{P}<form><p>Your mail</p></form></article>', STORY),
+    (f'<form><p>Your mail</p></form><article>{P}</article><form><div>Search</div></form>', STORY),
+    (f'<form><div class="sidebar"><article>Teaser</article></div><article>{P}</article></form>', STORY),
+    # Anchors and headings of an article.
+    (f'<article><h2 id="related-work">Related work</h2>{P}</article>', f"Related work {STORY}"),
+    (f'<article><h2 id="discussion">Discussion</h2>{P}</article>', f"Discussion {STORY}"),
+    (f'<article><section id="search">{P}</section></article>', STORY),
+    (f'<article><h3 class="share">To share</h3>{P}</article>', f"To share {STORY}"),
+    (f'<article><p id="comment">{STORY}</p></article>', STORY),
+    # What is no part of an article inside one.
+    (f'<article>{P}<div class="share-buttons">Tell a friend</div></article>', STORY),
+    (f'<article>{P}<div id="comments"><p>Nice one</p></div></article>', STORY),
+    (f'<article>{P}<ul class="related-posts"><li>Other story</li></ul></article>', STORY),
+    (f'<article>{P}<div class="adSlot">Buy</div><p class="ad">Now</p></article>', STORY),
+    (f'<article><header><h1>Flood</h1></header>{P}<aside>Map</aside></article>', f"Flood {STORY}"),
+    (f'<main>{P}<div id="sidebar">Links</div><section class="newsletter">Join</section></main>', STORY),
+    # What is no article although it is marked.
+    (f'<div class="related"><article>Teaser</article></div><article>{P}</article>', STORY),
+    (f'<aside><article>Teaser</article></aside><article>{P}</article>', STORY),
+    (f'<main><article>{P}</article><div class="comment-list"><article>Nice</article></div></main>', STORY),
+    # Names that would leave nothing of the only article.
+    (f'<div class="search-results"><article>{P}</article></div>', STORY),
+    (f'<section id="discussion"><div class="widget"><main>{P}</main></div></section>', STORY),
+    # Markup of a whole page, references and white space.
+    (
+        "<!doctype html><html><head><title>Flood</title><style>p{}</style></head><body>"
+        + AROUND % f"<div class='cookie-banner'>We use cookies</div><article>{P}</article>"
+        + "<script>var a = '<p>no</p>';</script></body></html>",
+        STORY,
+    ),
+    ("<article><p>Tea &amp;\n  caf&eacute; &#x2014;<br>open</p><p> </p></article>", "Tea & café — open"),
+    (AROUND % "", ""),
+]
+
+
+def test_pages_written_by_hand():
+    for markup, expected in PAGES:
+        blocks = html.blocks_of(markup)
+        best = html.best_zone(blocks)
+        text = " ".join(t for t, zone in blocks if zone == best and best > html.AWAY)
+        assert text == expected, markup
+
+
+def test_the_operator_gives_the_text_of_pages_written_by_hand(spark):
+    """Extra columns whose names clash, repeated rows, and a host each."""
+    rows = [(i, f"http://h{i}.example/", page, "x", 1) for i, (page, _) in enumerate(PAGES)]
+    schema = "page_id int, url string, html string, text string, k_id int"
+    found = html.main_text(spark, spark.createDataFrame(rows + rows[:5], schema)).collect()
+    assert len(found) == len(PAGES) + 5
+    assert all(r.text == PAGES[r.page_id][1] and r.n_chars == len(r.text) for r in found)
