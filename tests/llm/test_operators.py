@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -111,6 +113,30 @@ def test_decontamination_by_exchange_equals_broadcast(spark, monkeypatch):
     assert sorted(map(tuple, decontaminate.report(spark, docs, items).collect())) == expected
 
 
+def test_decontamination_moves_no_words_of_documents(spark, monkeypatch, capsys):
+    """However many shingles the items have, no exchange carries the words of a text."""
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    docs = frame(spark, [f"x {ITEMS[0][1]}", ITEMS[1][1], None])
+    written = []
+    write = DataFrameWriter.parquet
+
+    def noted(self, path, *args, **more):
+        written.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *args, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 20)
+    expected = {k: brute_hits(t, ITEMS)[1] for k, t in enumerate([f"x {ITEMS[0][1]}", ITEMS[1][1], None])}
+    rows = decontaminate.report(spark, docs, items).collect()
+    assert {r.doc_id: r.n_hit for r in rows} == expected
+    hits = [plan for plan in written if "near" in plan]
+    assert len(hits) > 2
+    for plan in hits:
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert not any("w#" in line or "near#" in line for line in exchanges)
+
+
 def test_decontamination_of_odd_tables(spark):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     none = items.limit(0)
@@ -213,6 +239,28 @@ def test_secrets_equal_brute_force(spark):
     assert secrets.report(frame(spark, []), "doc_id", "text").count() == 0
 
 
+def test_secrets_of_a_text_with_many_matches(spark):
+    """Spans of every kind in a text of 50,000 matches; the time follows their number."""
+    parts = ["AKIA%016d", "token=abc%06d", "%024x", "w%d wörter"]
+
+    def seconds(n):
+        text = " ".join(parts[i % 4] % i for i in range(n))
+        begun = time.monotonic()
+        (row,) = secrets.scan(frame(spark, [text])).collect()
+        got = [(secrets.KINDS[s.kind], s.start, s.end) for s in row.spans]
+        base = [(k, *m.span()) for k, p in BASE for m in re.finditer(p, text)]
+        assert [s for s in got if s[0] != "entropy"] == sorted(base, key=lambda s: s[1])
+        assert len(base) == 3 * n // 4
+        return time.monotonic() - begun
+
+    seconds(100)
+    few, many = seconds(12_500), seconds(50_000)
+    assert many < 10 * few
+
+
+BASE = [("assign", secrets.ASSIGN), ("access", secrets.ACCESS), ("hex", secrets.HEX)]
+
+
 def test_secrets_run_no_python(spark):
     plan = secrets.report(frame(spark, ["x"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
@@ -422,6 +470,24 @@ def test_language_of_texts_and_of_mixed_texts(spark):
     assert frame(spark, ["a b"]).select(langid.predictor(spark, nothing)("text")["lang_pred"]).first()[0] == "und"
 
 
+def test_language_of_a_dirty_column_learns_the_commonest_values(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    rows = [("kato mira", "aa")] * 30 + [("schwul grunz", "bb")] * 20
+    rows += [(f"noise {i}", f"x{i}") for i in range(40)]
+    model = langid.train(spark, spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == ["aa", "bb"]
+
+
+def test_language_reads_every_letter_of_scripts_without_spaces():
+    """A long run of letters is words of twenty, whose features cover all of it."""
+    run = "abcdefghijklmnopqrstuvwxyz" * 4
+    assert langid.words_of(f"{run} Ab") == [run[i : i + 20] for i in range(0, 104, 20)] + ["ab"]
+    plain = langid.features(langid.words_of(run))
+    for at in (0, 30, 77, 103):
+        other = langid.features(langid.words_of(run[:at] + "ß" + run[at + 1 :]))
+        assert plain.shape == other.shape and (plain != other).any()
+
+
 def test_forward_backward_equals_one_by_one():
     r = np.random.default_rng(0)
     lengths, k = [1, 7, 2, 40, 13], 3
