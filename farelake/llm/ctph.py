@@ -4,8 +4,8 @@ A hash rolled over the last ``ROLLED`` bytes decides where a chunk of the text
 ends: where its lowest bits are all ones. Boundaries so depend on nearby bytes only
 and come back after an edit. Every chunk gives one letter of the signature. The
 block size is the smallest power of two that leads one to expect at most ``CHUNKS``
-boundaries in the whole text; a text that repeats itself and has more than
-``MOST_CHUNKS`` gets a larger one. A second signature is made at twice the size. A
+boundaries in the whole text. It is halved while a text has fewer than ``LEAST_CHUNKS``, as one
+that repeats itself may, and then doubled while it has more than ``MOST_CHUNKS``. A second signature is made at twice the size. A
 fingerprint is ``block:signature:signature at twice the block``.
 
 Two fingerprints are compared where their block sizes agree or one is twice the
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from farelake.llm.common import per_text
 
 CHUNKS = 64
+LEAST_CHUNKS = 31
 MOST_CHUNKS = 256
 ROLLED = 7
 #: Ranges of ids for each task; several even out what a task gets.
@@ -59,13 +60,19 @@ def signature(text: str) -> str:
     block = 1
     while block * CHUNKS < len(data):
         block *= 2
-    ends = np.arange(1, len(data))
-    if block > 1:
-        ends = np.flatnonzero((rolled & np.uint32(block - 1)) == block - 1) + 1
+
+    def boundaries(size: int) -> np.ndarray:
+        if size == 1:
+            return np.arange(1, len(data))
+        return np.flatnonzero((rolled & np.uint32(size - 1)) == size - 1) + 1
 
     def at(size: int) -> np.ndarray:
         return ends[(rolled[ends - 1] & np.uint32(size - 1)) == size - 1]
 
+    ends = boundaries(block)
+    while block > 1 and len(ends) < LEAST_CHUNKS:
+        block //= 2
+        ends = boundaries(block)
     while len(ends) > MOST_CHUNKS:
         block *= 2
         ends = at(block)
