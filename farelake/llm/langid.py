@@ -32,6 +32,8 @@ BITS = 18
 #: Most rows of each language, and of all languages, the model is fitted on.
 SAMPLE_ROWS = 600
 ALL_ROWS = 12_000
+#: Most languages the model tells apart; a model of so many has 67 MB.
+MOST_LANGUAGES = 64
 #: Words in a row from one text, on average, where texts are mixed for training.
 STRETCH = 12
 SEQUENCE = 64
@@ -40,11 +42,15 @@ EPOCHS = 3
 UNKNOWN = "und"
 _LETTERS = 20
 _MOST_WORDS_KEPT = 1 << 18
-_WORDS = re.compile(r"[^\W\d_]+")
+_WORDS = re.compile(r"[^\W\d_]{1,%d}" % _LETTERS)
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters in lower case; none if the text has no letter."""
+    """Runs of letters in lower case; none if the text has no letter.
+
+    Longer runs, as of scripts without spaces, are cut into words of ``_LETTERS`` letters, so
+    that every letter is read.
+    """
     found = _WORDS.findall((text or "").lower())
     return found if any(c.isalpha() for word in found for c in word) else []
 
@@ -261,12 +267,14 @@ class Model:
 def train(spark: SparkSession, docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from ``text`` and ``lang`` of at most ``sample_rows`` rows of each language.
 
-    There are as many languages as the model has columns, so their names and counts
-    fit on the driver. Rows without text or language are left out. Shards of the sample are fitted
+    Of more than ``MOST_LANGUAGES`` values, those of the most rows are learned, so what a column with
+    dirty values sends to the driver and to tasks is bounded. Rows without text or language are left
+    out. Shards of the sample are fitted
     side by side, and the weights averaged.
     """
     rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    counts = {r["lang"]: r["count"] for r in counted.collect()}
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((1, 0), np.float32), np.zeros((0, 0)))
