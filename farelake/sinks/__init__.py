@@ -1,17 +1,26 @@
 """Writers of every layer."""
 
 from farelake.sinks.files import exists, remove
-from farelake.sinks.parquet import month_leaf, spread_by_month, write_month, write_months
+from farelake.sinks.parquet import (
+    append_months,
+    month_leaf,
+    side_by_side,
+    spread_by_month,
+    write_month,
+    write_months,
+)
 from farelake.sinks.warehouse import FileWarehouse, JdbcWarehouse, Warehouse, register_views
 
 __all__ = [
     "FileWarehouse",
     "JdbcWarehouse",
     "Warehouse",
+    "append_months",
     "exists",
     "month_leaf",
     "register_views",
     "remove",
+    "side_by_side",
     "spread_by_month",
     "write_month",
     "write_months",

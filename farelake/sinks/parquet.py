@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+#: Files a task keeps open at once; with more directories than these it sorts what is left.
+_OPEN_AT_ONCE = 128
+_OPEN_SETTING = "spark.sql.maxConcurrentOutputFileWriters"
 # Fixed value: how a null partition value is named in a path.
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -20,18 +25,39 @@ def spread_by_month(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "year", "month")
 
 
+@contextmanager
+def side_by_side(spark: SparkSession) -> Iterator[None]:
+    """Writes in here keep a file open for each directory instead of sorting a task's rows by it.
+
+    What a task holds is then encoded pages, not all its rows. Spark has no option of a
+    single write for this. Rows are the same either way, so writes of other threads may see it.
+    """
+    before = spark.conf.get(_OPEN_SETTING, None)
+    spark.conf.set(_OPEN_SETTING, str(_OPEN_AT_ONCE))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_OPEN_SETTING)
+        else:
+            spark.conf.set(_OPEN_SETTING, before)
+
+
 def write_months(df: DataFrame, path: str, replace: Literal["all", "present"]) -> None:
     """Overwrite all months, or only those present in ``df``.
 
     The mode is set on this write alone, not on the session.
     """
     mode = {"all": "static", "present": "dynamic"}[replace]
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
-        .partitionBy("year", "month")
-        .parquet(path)
-    )
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    with side_by_side(df.sparkSession):
+        writer.partitionBy("year", "month").parquet(path)
+
+
+def append_months(df: DataFrame, path: str) -> None:
+    """Add rows to their months; each task adds a file to every month it has rows of."""
+    with side_by_side(df.sparkSession):
+        df.write.mode("append").partitionBy("year", "month").parquet(path)
 
 
 def month_leaf(path: str, year: int | None, month: int | None, prefix: str = "") -> str:

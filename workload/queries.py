@@ -52,7 +52,7 @@ from farelake.plans import (
 )
 from farelake.schemas import PAYLOAD, TOPIC_DATASET, contract
 from farelake.session import scratch_path
-from farelake.sinks import FileWarehouse, register_views, write_months
+from farelake.sinks import FileWarehouse, append_months, register_views, write_months
 from farelake.sources import read_bronze, read_gold_or_empty, read_silver
 from farelake.streaming import FileTopic, decode, decode_trips, encode, peek
 from workload.tables import (
@@ -275,7 +275,8 @@ def silver_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = silver(spark, sf_dir).where("VendorID = 1")
     kept = silver(spark, sf_dir).where("VendorID <> 1")
     write_months(kept.hint("rebalance", "year", "month"), path, replace="all")
-    rows.repartition(3).write.mode("append").partitionBy("year", "month").parquet(path)
+    parts = rows.withColumn("part", F.pmod(F.xxhash64("PULocationID", "DOLocationID"), F.lit(3)))
+    append_months(parts.hint("rebalance", "year", "month", "part").drop("part"), path)
     compact_silver(spark, f"{base}/silver")
     left = len(small_months(spark, f"{base}/silver"))
     return read_silver(spark, f"{base}/silver").withColumn("left", F.lit(left))
