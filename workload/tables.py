@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from farelake.operators import clean_trips, conform, monthly_kpis
 from farelake.schemas import BRONZE
-from farelake.sinks import write_months
+from farelake.sinks import side_by_side, write_months
 
 RUN_ID = "run-0001"
 RUN_EPOCH = 1_700_000_000
@@ -81,13 +81,9 @@ def write_raw(spark: SparkSession, sf_dir: str, base: str) -> None:
     name = F.format_string(
         "yellow_tripdata_%d-%02d.parquet", F.col("file_year"), F.col("file_month")
     )
-    (
-        raw.withColumn("raw", name)
-        .drop("part_key", "file_year", "file_month")
-        .hint("rebalance", "raw")
-        .write.partitionBy("raw")
-        .parquet(base)
-    )
+    named = raw.withColumn("raw", name).drop("part_key", "file_year", "file_month")
+    with side_by_side(spark):
+        named.hint("rebalance", "raw").write.partitionBy("raw").parquet(base)
 
 
 def write_one_raw(spark: SparkSession, sf_dir: str, path: str) -> None:
