@@ -162,14 +162,18 @@ def pickup_months(trips: DataFrame, pickup: str = PICKUP) -> set[Month]:
 
 
 def _picked_up_in(months: set[Month]) -> Column:
-    """A filter on the pickup that reaches the scan."""
-    found = F.lit(False)
-    for year, month in sorted(months, key=str):
-        if year is None:
-            found = found | F.col(PICKUP).isNull()
-            continue
-        after = (year, month + 1) if month < 12 else (year + 1, 1)
-        since, until = (F.expr(f"TIMESTAMP '{y:04d}-{m:02d}-01'") for y, m in ((year, month), after))
+    """A filter on the pickup that reaches the scan; months that follow one another are one range."""
+    found = F.col(PICKUP).isNull() if (None, None) in months else F.lit(False)
+    ranges: list[list[int]] = []
+    for number in sorted(12 * year + month - 1 for year, month in months if year is not None):
+        if ranges and ranges[-1][1] == number:
+            ranges[-1][1] = number + 1
+        else:
+            ranges.append([number, number + 1])
+    for bounds in ranges:
+        since, until = (
+            F.expr(f"TIMESTAMP '{number // 12:04d}-{number % 12 + 1:02d}-01'") for number in bounds
+        )
         found = found | ((F.col(PICKUP) >= since) & (F.col(PICKUP) < until))
     return found
 
@@ -185,13 +189,17 @@ def dated_in(months: set[Month]) -> Column:
     return found
 
 
-def replace_months(
-    spark: SparkSession, rows: DataFrame, path: str, months: set[Month], left: set[Month]
-) -> None:
-    """Overwrite some months; those without rows any more are overwritten with none."""
-    write_months(rows, path, replace="present")
+def replace_months(spark: SparkSession, rows: DataFrame, path: str, months: set[Month]) -> None:
+    """Overwrite some months; those without rows any more are overwritten with none.
+
+    Which have rows is seen while they are written.
+    """
+    seen = Observation()
+    left = F.collect_set(F.struct("year", "month")).alias("left")
+    write_months(rows.observe(seen, left), path, replace="present")
     fields = [field for field in rows.schema if field.name not in ("year", "month")]
-    for year, month in months - left:
+    present = {(row.year, row.month) for row in seen.get.get("left") or []}
+    for year, month in months - present:
         write_month(spark.createDataFrame([], StructType(fields)), path, year, month)
 
 
@@ -233,8 +241,7 @@ def build_silver(
     if months is None:
         write_months(rows, path, replace="all")
     else:
-        left = {(r.year, r.month) for r in cleaned.select("year", "month").distinct().collect()}
-        replace_months(spark, rows, path, months, left)
+        replace_months(spark, rows, path, months)
     skipped = skipped_files(spark, bronze_base, dataset).collect() if skip_corrupt else []
     for row in skipped:
         _LOG.warning("skipped as corrupt or empty: %s", row.path)
@@ -269,8 +276,7 @@ def build_gold(
         write_months(monthly_kpis(silver), path, replace="all")
     else:
         touched = silver.where(dated_in(months))
-        left = {(r.year, r.month) for r in touched.select("year", "month").distinct().collect()}
-        replace_months(spark, monthly_kpis(touched), path, months, left)
+        replace_months(spark, monthly_kpis(touched), path, months)
     publish_gold(spark, gold_base, warehouse, undated)
     return GoldStatus.WRITTEN
 
@@ -313,6 +319,10 @@ def ingest_topic(
     return ingest_messages(topic.read(spark), bronze_base, dataset)
 
 
+def _months_of(rows: DataFrame) -> set[Month]:
+    return {(r.year, r.month) for r in rows.select("year", "month").distinct().collect()}
+
+
 def merge_messages(
     spark: SparkSession, envelope: DataFrame, bronze_base: str, ledger: Ledger, dataset: str
 ) -> None:
@@ -328,21 +338,22 @@ def merge_messages(
     fresh = spark.read.parquet(fresh)
     if fresh.isEmpty():
         return
-    stored = fresh.limit(0)
-    if exists(spark, path):
-        stored = spark.read.schema(fresh.schema).option("basePath", path).parquet(path)
-    older = stored.select("message_key", "year", "month").join(
-        fresh.select("message_key"), "message_key", "left_semi"
+    months = _months_of(fresh)
+    if not exists(spark, path):
+        ledger.note(months)
+        replace_months(spark, spread_by_month(fresh), path, months)
+        return
+    stored = spark.read.schema(fresh.schema).option("basePath", path).parquet(path)
+    digest = F.xxhash64("message_key").alias("digest")
+    older = stored.select("year", "month", "message_key", digest).join(
+        fresh.select("message_key", digest), ["digest", "message_key"], "left_semi"
     )
-    found = fresh.select("year", "month").union(older.select("year", "month")).distinct()
-    months = {(row.year, row.month) for row in found.collect()}
+    repeated = _months_of(older)
+    months |= repeated
     ledger.note(months)
-    merged = scratch_path(spark, "messages-merged")
     both = stored.where(dated_in(months)).unionByName(fresh)
-    last_of_each_key(both).write.parquet(merged)
-    rows = spark.read.schema(fresh.schema).parquet(merged)
-    left = {(r.year, r.month) for r in rows.select("year", "month").distinct().collect()}
-    replace_months(spark, spread_by_month(rows), path, months, left)
+    rows = last_of_each_key(both) if repeated else both
+    replace_months(spark, spread_by_month(rows), path, months)
 
 
 def publish_topic(

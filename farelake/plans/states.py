@@ -96,7 +96,7 @@ def merge_states(
         changed, gone = kpis.exceptAll(stored), stored.exceptAll(kpis)
         new, old = ({(r.year, r.month) for r in rows.collect()} for rows in (changed, gone))
         if new or old:
-            replace_months(spark, kpis.where(dated_in(new)), path, new | old, new)
+            replace_months(spark, kpis.where(dated_in(new)), path, new | old)
     publish_gold(spark, gold_base, warehouse, undated)
     return GoldStatus.WRITTEN
 
