@@ -57,7 +57,7 @@ def below(base: str, path: Column) -> Column:
 
 def scanned_path() -> Column:
     """Path of the file a row was read from, without the escapes of a URI."""
-    return F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+    return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
 
 
 def raw_inputs(

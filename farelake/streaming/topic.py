@@ -221,33 +221,42 @@ def decode_trips(envelope: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def trip_messages(envelope: DataFrame) -> DataFrame:
     """Trip records after the columns of :data:`MESSAGE`, the last of each key.
 
-    What the envelope lacks is null; messages without a key are all kept.
+    What the envelope lacks is null; messages without a key are all kept. Only the messages
+    that count are parsed.
     """
     columns = zip(("key", "timestamp", "offset"), MESSAGE)
     named = [
         (F.col(name) if name in envelope.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for name, f in columns
     ]
-    records = decode_trips(envelope.select(*named, "value"), keep=MESSAGE.names)
-    return last_of_each_key(records) if "key" in envelope.columns else records
+    messages = envelope.select(*named, "value")
+    if "key" in envelope.columns:
+        messages = last_of_each_key(messages)
+    return decode_trips(messages, keep=MESSAGE.names)
 
 
 def last_of_each_key(records: DataFrame) -> DataFrame:
     """The record of each ``message_key`` with the latest time, then the greatest offset.
 
-    A key occurs as often as its record was published, so no group is large; tasks drop
-    all but their last of a key before the exchange.
+    A key occurs as often as its record was published, so no group is large. Keys of an
+    input begin alike, so rows are sorted by a digest first, which tells nearly all apart. The last is
+    the one that none lags behind: a rank would be cut in each task before the exchange, which
+    sorts all rows once more and drops next to none.
     """
     key, time, offset = (F.col(name) for name in MESSAGE.names)
-    latest = Window.partitionBy(key).orderBy(time.desc_nulls_last(), offset.desc_nulls_last())
-    keyed = records.where(key.isNotNull()).withColumn("place", F.row_number().over(latest))
-    return keyed.where("place = 1").drop("place").unionByName(records.where(key.isNull()))
+    latest = Window.partitionBy(F.xxhash64(key), key).orderBy(
+        time.desc_nulls_last(), offset.desc_nulls_last()
+    )
+    keyed = records.where(key.isNotNull()).withColumn("later", F.lag(F.lit(1)).over(latest))
+    last = keyed.where("later IS NULL").drop("later")
+    return last.unionByName(records.where(key.isNull()))
 
 
 def message_key(input_path: str, path: Column, row: Column) -> Column:
     """Name of a record: its input, its file there, and its place in the file."""
     name = input_path.rstrip("/").rsplit("/", 1)[-1]
-    inside = F.regexp_replace(path, rf"^.*/\Q{name}\E/?", "")
+    inside = F.substring_index(path, f"/{name}", -1)
+    inside = F.when(inside.startswith("/"), F.substring(inside, 2, 1 << 20)).otherwise(inside)
     return F.concat_ws("#", F.lit(name), inside, row)
 
 
