@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from helpers import plan
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -575,6 +576,17 @@ def test_simhash_links_lose_no_pair(spark):
     assert got == expected and len(got) > 100
 
 
+@pytest.mark.parametrize("rows", [50, 20_000])
+def test_simhash_cells_are_never_broadcast(spark, capsys, rows):
+    """Their size is taken for that of the fingerprints, of which each has some 30 cells."""
+    fps = spark.range(rows).select(F.xxhash64("id").alias("fp"))
+    found = simhash.links(fps)
+    found.collect()
+    nodes = plan(found, capsys)
+    assert "SortMergeJoin" in nodes
+    assert "Broadcast" not in nodes
+
+
 def test_simhash_of_odd_rows(spark):
     docs = frame(spark, ["a b c d"] * 4 + [None, "", "q r s t"], [None, None, 3, 3, 2, None, None])
     found = simhash.near_duplicates(spark, docs).collect()
