@@ -36,7 +36,14 @@ from farelake.schemas import (
     TOPIC_DATASET,
 )
 from farelake.session import scratch_path
-from farelake.sinks import Warehouse, exists, spread_by_month, write_month, write_months
+from farelake.sinks import (
+    Warehouse,
+    exists,
+    spread_by_month,
+    staged,
+    write_month,
+    write_months,
+)
 from farelake.sources import (
     first_rows,
     raw_inputs,
@@ -297,10 +304,12 @@ def ingest_messages(
     """Messages into Bronze by pickup month; months without messages are kept.
 
     Of messages with one key the last counts, so it doesn't matter how often a record was
-    published. Bronze keeps what names and orders a message beside the record.
+    published. Bronze keeps what names and orders a message beside the record. The records
+    are written before they are dealt out by month, so the disk never holds both exchanges.
     """
     path = f"{bronze_base}/{dataset}"
-    write_months(spread_by_month(trip_messages(envelope)), path, replace="present")
+    with staged(trip_messages(envelope), "messages") as records:
+        write_months(spread_by_month(records), path, replace="present")
     return path
 
 

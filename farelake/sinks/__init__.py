@@ -3,9 +3,11 @@
 from farelake.sinks.files import exists, remove
 from farelake.sinks.parquet import (
     append_months,
+    cleared,
     month_leaf,
     side_by_side,
     spread_by_month,
+    staged,
     write_month,
     write_months,
 )
@@ -16,12 +18,14 @@ __all__ = [
     "JdbcWarehouse",
     "Warehouse",
     "append_months",
+    "cleared",
     "exists",
     "month_leaf",
     "register_views",
     "remove",
     "side_by_side",
     "spread_by_month",
+    "staged",
     "write_month",
     "write_months",
 ]

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 
+from farelake.session import scratch_path
+from farelake.sinks.files import remove
+
 #: Files a task keeps open at once; with more directories than these it sorts what is left.
 _OPEN_AT_ONCE = 128
 _OPEN_SETTING = "spark.sql.maxConcurrentOutputFileWriters"
+_CLEAN_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Fixed value: how a null partition value is named in a path.
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -26,21 +30,50 @@ def spread_by_month(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def side_by_side(spark: SparkSession) -> Iterator[None]:
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def side_by_side(spark: SparkSession) -> AbstractContextManager[None]:
     """Writes in here keep a file open for each directory instead of sorting a task's rows by it.
 
     What a task holds is then encoded pages, not all its rows. Spark has no option of a
     single write for this. Rows are the same either way, so writes of other threads may see it.
     """
-    before = spark.conf.get(_OPEN_SETTING, None)
-    spark.conf.set(_OPEN_SETTING, str(_OPEN_AT_ONCE))
+    return _setting(spark, _OPEN_SETTING, str(_OPEN_AT_ONCE))
+
+
+def cleared(spark: SparkSession) -> AbstractContextManager[None]:
+    """What is executed in here leaves none of its shuffle files behind.
+
+    Else they stay on the disks of the executors until the driver happens to collect its garbage, so
+    those of one step lie beside those of the next.
+    """
+    return _setting(spark, _CLEAN_SETTING, "true")
+
+
+@contextmanager
+def staged(rows: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Rows written to the scratch folder and read from there; in the end they are removed.
+
+    What was shuffled to make them is gone before they are used.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, name)
     try:
-        yield
+        with cleared(spark):
+            rows.write.option("compression", "zstd").parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(_OPEN_SETTING)
-        else:
-            spark.conf.set(_OPEN_SETTING, before)
+        remove(spark, path)
 
 
 def write_months(df: DataFrame, path: str, replace: Literal["all", "present"]) -> None:
@@ -50,7 +83,7 @@ def write_months(df: DataFrame, path: str, replace: Literal["all", "present"]) -
     """
     mode = {"all": "static", "present": "dynamic"}[replace]
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
-    with side_by_side(df.sparkSession):
+    with side_by_side(df.sparkSession), cleared(df.sparkSession):
         writer.partitionBy("year", "month").parquet(path)
 
 

@@ -1,13 +1,19 @@
-"""What following and replaying a topic costs: parses, sorts and filters in the plans."""
+"""What following and replaying a topic costs: parses, sorts and filters in the plans, and disk."""
 
 from __future__ import annotations
 
-from helpers import plan
+import glob
+import re
+import time
+
+import pyarrow.parquet as pq
+from helpers import parquet_files, plan
 from pyspark.sql import functions as F
 
 from farelake.operators.clean import PICKUP
+from farelake.plans import ingest_messages
 from farelake.plans.jobs import _picked_up_in, replace_months
-from farelake.streaming import message_key
+from farelake.streaming import FileTopic, message_key
 from farelake.streaming.topic import trip_messages
 
 
@@ -55,3 +61,59 @@ def test_names_of_messages_stay_as_they_were(spark):
     name = message_key("file:/a/m.parquet/", F.col("p"), F.lit(7))
     old = F.concat_ws("#", F.lit("m.parquet"), F.regexp_replace("p", r"^.*/\Qm.parquet\E/?", ""), F.lit(7))
     assert all(row.new == row.old for row in frame.select(name.alias("new"), old.alias("old")).collect())
+
+
+def envelope(spark, since, until):
+    """Messages named by number, a day apart."""
+    day = F.date_format(F.date_add(F.lit("2020-01-01"), F.col("id").cast("int")), "yyyy-MM-dd")
+    value = F.format_string(
+        '{"tpep_pickup_datetime": "%sT00:00:00", "fare_amount": %d.5}', day, F.col("id")
+    )
+    rows = spark.range(since, until, 1, 4)
+    return rows.select(
+        F.format_string("a#%d", "id").cast("binary").alias("key"), value.alias("value"),
+        F.lit(until).cast("long").alias("offset"),
+    )
+
+
+def left_over(spark):
+    """Files of shuffles and of scratch folders that are on the disk."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = disk.getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    made = glob.glob(f"{scratch}/farelake-me*")
+    return {name for name in names if name.startswith("shuffle_")} | set(made)
+
+
+def settled(spark, before):
+    """What is left over once files have had the time to go."""
+    until = time.time() + 10
+    while (found := left_over(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return found
+
+
+def test_messages_leave_neither_shuffles_nor_scratch_behind(spark, base):
+    before = left_over(spark)
+    for since, until in ((0, 60), (30, 100)):
+        ingest_messages(envelope(spark, since, until), base, "t")
+    assert not settled(spark, before)
+    stored = spark.read.parquet(f"{base}/t")
+    fares = sorted(r.fare_amount for r in stored.select("fare_amount").collect())
+    # Months that come again hold what the second lot has of them alone.
+    assert fares == [n + 0.5 for n in range(30, 100)]
+
+
+def test_records_are_exchanged_parsed_and_without_their_digest(spark, capsys):
+    nodes = plan(trip_messages(envelope(spark, 0, 9)), capsys)
+    (read,) = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", nodes)
+    names = re.findall(r"(\w+)#\d+", read)
+    assert {"fare_amount", "message_key"} <= set(names)
+    assert "value" not in names and not any(name.startswith("_w") for name in names)
+
+
+def test_messages_in_files_are_compressed_well(spark, base):
+    FileTopic(f"{base}/topic").write(envelope(spark, 0, 100))
+    for path in parquet_files(f"{base}/topic"):
+        assert pq.read_metadata(path).row_group(0).column(1).compression == "ZSTD"
