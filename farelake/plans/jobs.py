@@ -35,9 +35,9 @@ from farelake.schemas import (
     GOLD_TABLE,
     TOPIC_DATASET,
 )
-from farelake.session import scratch_path
 from farelake.sinks import (
     Warehouse,
+    cleared,
     exists,
     spread_by_month,
     staged,
@@ -332,6 +332,18 @@ def _months_of(rows: DataFrame) -> set[Month]:
     return {(r.year, r.month) for r in rows.select("year", "month").distinct().collect()}
 
 
+def _older_records(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Names and months of stored records whose keys come again.
+
+    Keys begin alike, so their files are many times smaller than they are, and files are what
+    Spark would choose a broadcast by.
+    """
+    digest = F.xxhash64("message_key").alias("digest")
+    keys = fresh.select("message_key", digest).hint("merge")
+    stored = stored.select("year", "month", "message_key", digest)
+    return stored.join(keys, ["digest", "message_key"], "left_semi")
+
+
 def merge_messages(
     spark: SparkSession, envelope: DataFrame, bronze_base: str, ledger: Ledger, dataset: str
 ) -> None:
@@ -341,28 +353,28 @@ def merge_messages(
     older records of the same keys; these are written down in ``ledger`` first. Merging the same
     messages twice changes nothing.
     """
-    path = f"{bronze_base}/{dataset}"
-    fresh = scratch_path(spark, "messages")
-    trip_messages(envelope).write.parquet(fresh)
-    fresh = spark.read.parquet(fresh)
-    if fresh.isEmpty():
-        return
+    with staged(trip_messages(envelope), "messages") as fresh:
+        if not fresh.isEmpty():
+            _merge_records(spark, fresh, f"{bronze_base}/{dataset}", ledger)
+
+
+def _merge_records(spark: SparkSession, fresh: DataFrame, path: str, ledger: Ledger) -> None:
     months = _months_of(fresh)
     if not exists(spark, path):
         ledger.note(months)
         replace_months(spark, spread_by_month(fresh), path, months)
         return
     stored = spark.read.schema(fresh.schema).option("basePath", path).parquet(path)
-    digest = F.xxhash64("message_key").alias("digest")
-    older = stored.select("year", "month", "message_key", digest).join(
-        fresh.select("message_key", digest), ["digest", "message_key"], "left_semi"
-    )
-    repeated = _months_of(older)
+    with cleared(spark):
+        repeated = _months_of(_older_records(stored, fresh))
     months |= repeated
     ledger.note(months)
     both = stored.where(dated_in(months)).unionByName(fresh)
-    rows = last_of_each_key(both) if repeated else both
-    replace_months(spark, spread_by_month(rows), path, months)
+    if not repeated:
+        replace_months(spark, spread_by_month(both), path, months)
+        return
+    with staged(last_of_each_key(both), "merged") as rows:
+        replace_months(spark, spread_by_month(rows), path, months)
 
 
 def publish_topic(
