@@ -329,7 +329,8 @@ def ingest_topic(
 
 
 def _months_of(rows: DataFrame) -> set[Month]:
-    return {(r.year, r.month) for r in rows.select("year", "month").distinct().collect()}
+    with cleared(rows.sparkSession):
+        return {(r.year, r.month) for r in rows.select("year", "month").distinct().collect()}
 
 
 def _older_records(stored: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -365,8 +366,7 @@ def _merge_records(spark: SparkSession, fresh: DataFrame, path: str, ledger: Led
         replace_months(spark, spread_by_month(fresh), path, months)
         return
     stored = spark.read.schema(fresh.schema).option("basePath", path).parquet(path)
-    with cleared(spark):
-        repeated = _months_of(_older_records(stored, fresh))
+    repeated = _months_of(_older_records(stored, fresh))
     months |= repeated
     ledger.note(months)
     both = stored.where(dated_in(months)).unionByName(fresh)
